@@ -166,9 +166,9 @@ def _evaluate(rows, features, beta, shift, on_driver: bool) -> np.ndarray:
     per_time, names = _step_sums(rows, features, beta, shift)
     if on_driver:
         frame = per_time.toPandas().sort_values("t", ascending=False)
-        for n in names:
-            frame[f"r{n}"] = frame[f"w{n}"].cumsum()
-        return _contributions(frame, p)
+        at_risk = frame[[f"w{n}" for n in names]].cumsum()
+        at_risk.columns = [f"r{n}" for n in names]
+        return _contributions(pd.concat([frame, at_risk], axis=1), p)
     summed = prefix_sum(per_time, "t", {f"r{n}": f"w{n}" for n in names}, descending=True)
     size = 1 + p + p * (p + 1) // 2
 

@@ -36,6 +36,13 @@ def label_scores(df: DataFrame, probability: str = "p", threshold: float = 0.5)
     )
 
 
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need the zoned timestamp type; wall-clock times take the session zone."""
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
+
+
 def windowed_summary(
     df: DataFrame,
     ts: str,
@@ -46,7 +53,8 @@ def windowed_summary(
     """Counts per tumbling window and label. A window closes once event time passes its
     end by ``late``; state holds open windows only."""
     return (
-        df.withWatermark(ts, late)
+        _event_time(df, ts)
+        .withWatermark(ts, late)
         .groupBy(F.window(ts, size).alias("w"), label)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), label, "n")
@@ -55,7 +63,7 @@ def windowed_summary(
 
 def first_per_id(df: DataFrame, ts: str, id_col: str, late: str = "10 minutes") -> DataFrame:
     """Drops repeats of an id that arrive within the watermark."""
-    return df.withWatermark(ts, late).dropDuplicatesWithinWatermark([id_col])
+    return _event_time(df, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark([id_col])
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
