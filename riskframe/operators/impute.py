@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.parse import nan_to_null
 from riskframe.functions.scores import clip
 from riskframe.operators.ordering import exact_quantiles, quantile_values
-from riskframe.session import cut_lineage
+from riskframe.session import join_checked
 
 
 def sentinel_to_null(df: DataFrame, cols: Sequence[str], value: float) -> DataFrame:
@@ -37,17 +37,13 @@ def impute_group_median(
     column as imputed so far.
 
     The group medians are an aggregate joined back, not a window, so a hot group is
-    never sorted in one task. They are written once (one row per group) because the
-    fallback and later steps read the filled column again.
+    never sorted in one task.
     """
     value = nan_to_null(F.col(col).cast("double"))
-    by_group = cut_lineage(
-        exact_quantiles(df.select(group, col), [col], [0.5], [group]).select(
-            group, F.col("q")[0].alias("_median")
-        ),
-        "medians",
+    by_group = exact_quantiles(df.select(group, col), [col], [0.5], [group]).select(
+        group, F.col("q")[0].alias("_median")
     )
-    filled = df.join(by_group, group, "left").withColumn(
+    filled = join_checked(df, by_group, [group], "left").withColumn(
         col, F.coalesce(value, F.col("_median"))
     )
     filled = filled.drop("_median").select(*df.columns)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.parse import nan_to_null
 from riskframe.functions.scores import age_band, histogram_bin, outcome
 from riskframe.operators.ordering import exact_quantiles
+from riskframe.session import join_checked
 
 
 def _long(wide: DataFrame, name: str, entries: Sequence[tuple[str, list[Column]]], keep=()) -> DataFrame:
@@ -186,7 +187,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     fence = F.lit(1.5) * (F.col("q75") - F.col("q25"))
     rows = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("x"))
     if by:
-        rows = rows.join(q, by)
+        rows = join_checked(rows, q, by)
     else:
         rows = rows.withColumns({c: F.lit(v) for c, v in q.first().asDict().items()})
     inside = (F.col("x") >= F.col("q25") - fence) & (F.col("x") <= F.col("q75") + fence)

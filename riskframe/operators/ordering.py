@@ -16,11 +16,15 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import cut_lineage
+from riskframe.session import cut_lineage, join_checked
 
-MIN_BUCKETS, MAX_BUCKETS = 16, 4096
+MIN_BUCKETS, MAX_BUCKETS = 64, 4096
+# Partial sketches meet in this many tasks first, so the last one merges few.
+SKETCH_GROUPS = 256
 # A window over this many aggregated rows is light work for one task.
 WINDOW_ROWS = 100_000
+# Exact percentile aggregates keep every distinct value; this many cells fit one task.
+PERCENTILE_CELLS = 1_000_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -28,10 +32,31 @@ def bucket_count(df: DataFrame) -> int:
     return min(max(n, MIN_BUCKETS), MAX_BUCKETS)
 
 
-def _cut_points(column: Column, buckets: int) -> Column:
-    """Aggregate: approximate cut points of a column, at most ``buckets`` - 1 doubles."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    return F.percentile_approx(column, probabilities, accuracy=10 * buckets)
+def at_most(df: DataFrame, rows: int) -> bool:
+    """True when ``df`` has at most ``rows`` rows; reads only as far as needed."""
+    return not df.select(F.lit(1)).offset(rows).limit(1).collect()
+
+
+def _sketch(column: Column, buckets: int) -> Column:
+    probabilities = _doubles([i / buckets for i in range(1, buckets)])
+    return F.percentile_approx(column, probabilities, accuracy=min(10 * buckets, 10_000))
+
+
+def _cut_points(
+    df: DataFrame, columns: Mapping[str, Column], buckets: int
+) -> dict[str, list[float]]:
+    """Per column, at most ``buckets`` - 1 approximate cut points.
+
+    Sketches merge in two levels: groups of input partitions, then the cut points of all
+    groups. That blurs the cut points a little, which only affects balance.
+    """
+    none = F.array().cast("array<double>")
+    parts = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_g")).agg(
+        *[F.coalesce(_sketch(c, buckets), none).alias(o) for o, c in columns.items()],
+    )
+    points = parts.select(F.inline(F.arrays_zip(*columns)))
+    row = points.agg(*[_sketch(F.col(o), buckets).alias(o) for o in columns]).first()
+    return {o: list(row[o] or []) for o in columns}
 
 
 def _doubles(values: Sequence[float]) -> Column:
@@ -41,13 +66,13 @@ def _doubles(values: Sequence[float]) -> Column:
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast("array<double>")
 
 
-def _bucket_of(value: Column, cuts: Sequence[float] | None) -> Column:
+def _bucket_of(value: Column, cuts: Sequence[float]) -> Column:
     """Number of cut points below ``value``; 0 for null, so never null as a join key.
 
     Looks among every isqrt(B)-th cut point first, so a lookup costs about 2*sqrt(B)
     comparisons.
     """
-    fine = sorted(set(cuts or []))
+    fine = sorted(set(cuts))
     step = max(isqrt(len(fine)), 1)
     skipped = F.size(F.filter(_doubles(fine[step - 1 :: step]), lambda e: e < value)) * F.lit(step)
     window = F.slice(_doubles(fine), skipped + F.lit(1), F.lit(step))
@@ -68,11 +93,8 @@ def prefix_sum(
     ``<out>`` (inclusive running sum) and ``<out>_total`` (sum over the group). The input
     is written once. Up to ``window_rows`` rows take a plain window, more are bucketed.
     """
-    buckets = bucket_count(df)
     by = list(by)
     stored = cut_lineage(df, "prefix")
-    position = F.col(order).cast("double")
-    size, cuts = stored.agg(F.count(F.lit(1)), _cut_points(position, buckets)).first()
 
     def ordered(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()
@@ -80,7 +102,7 @@ def prefix_sum(
     def group(*keys: str):
         return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
-    if size <= window_rows:
+    if at_most(stored, window_rows):
         whole = group(*by)
         upto = whole.orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
         return stored.select(
@@ -88,7 +110,9 @@ def prefix_sum(
             *[F.sum(c).over(upto).alias(o) for o, c in sums.items()],
             *[F.sum(c).over(whole).alias(f"{o}_total") for o, c in sums.items()],
         )
-    rows = stored.withColumn("_b", _bucket_of(position, cuts))
+    position = F.col(order).cast("double")
+    cuts = _cut_points(stored, {"order": position}, bucket_count(df))
+    rows = stored.withColumn("_b", _bucket_of(position, cuts["order"]))
     # At most B rows per group: the windows below run over bucket totals only.
     totals = rows.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_{o}") for o, c in sums.items()])
     before = group(*by).orderBy(ordered("_b")).rowsBetween(Window.unboundedPreceding, -1)
@@ -113,22 +137,41 @@ def prefix_sum(
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    small_cells: int = PERCENTILE_CELLS,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per (by, series).
 
     Output: ``by``, ``series`` (column name), ``n`` (non-null values) and ``q``, an
     array aligned with ``probs``. Null and NaN are skipped.
 
-    Two light passes locate, per series, the buckets that hold the wanted ranks;
-    only the rows of those buckets are shuffled and sorted.
+    Small tables (checked: rows x columns within ``small_cells``) take Spark's exact
+    percentile. Otherwise two light passes locate, per series, the buckets that hold the wanted ranks (a table
+    of a few rows per group, broadcast when it is small); only the rows of those buckets
+    are shuffled and sorted.
     """
-    buckets = bucket_count(df)
     by, cols = list(by), list(cols)
     clean = df.select(
         *by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]
     )
-    cuts = clean.agg(*[_cut_points(F.col(c), buckets).alias(c) for c in cols]).first()
+    if at_most(clean, small_cells // len(cols)):
+        wide = clean.groupBy(*by).agg(
+            *[
+                F.struct(
+                    F.lit(c).alias("series"),
+                    F.count(c).alias("n"),
+                    F.percentile(c, _doubles(probs)).alias("q"),
+                ).alias(f"_{i}")
+                for i, c in enumerate(cols)
+            ]
+        )
+        return wide.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(cols))]))).where(
+            "n > 0"
+        )
+    cuts = _cut_points(clean, {c: F.col(c) for c in cols}, bucket_count(df))
     series = [
         F.struct(
             F.lit(c).alias("series"),
@@ -158,7 +201,9 @@ def exact_quantiles(
         for r in pair:
             wanted = wanted | holds(r, F.col("_before"), F.col("_upto"))
     picked = (
-        long.join(cells.where(wanted).select(*key, "_b", "n", "_before"), [*key, "_b"])
+        join_checked(
+            long, cells.where(wanted).select(*key, "_b", "n", "_before"), [*key, "_b"]
+        )
         .groupBy(*key, "_b", "n", "_before", "value")
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn(
@@ -242,7 +287,7 @@ def hash_cutoff(
     )
     rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h"))
     return (
-        rows.join(cells, [*by, "_b"])
+        join_checked(rows, cells, [*by, "_b"])
         .withColumn("_r", rank)
         .where(F.col("_r") == F.col("_k"))
         .select(*by, F.col("_h").alias("cutoff"))

@@ -18,6 +18,7 @@ from riskframe.operators.ordering import (
     row_hash,
 )
 from riskframe.operators.tiles import nearest_neighbours
+from riskframe.session import join_checked
 
 
 def stratified_split(
@@ -27,7 +28,7 @@ def stratified_split(
     cut = hash_cutoff(df, id_col, seed, F.round(F.col("n") * F.lit(test_share)), [label])
     in_test = F.coalesce(row_hash(id_col, seed) <= F.col("cutoff"), F.lit(False))
     return (
-        df.join(cut, label, "left")
+        join_checked(df, cut, [label], "left")
         .withColumn("split", F.when(in_test, "test").otherwise("train"))
         .drop("cutoff")
         .select(*df.columns, "split")

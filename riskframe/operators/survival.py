@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scores import interpolate, loan_tier
 from riskframe.operators.ordering import prefix_sum
+from riskframe.session import cut_lineage, join_checked
 
 # Published coefficients on standardised features; the others are 0.
 PUBLISHED_COX = {
@@ -100,23 +101,26 @@ def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFram
     over risk answers how many partners each event beats. Equal times form one extra
     group per time.
     """
-    cells = df.groupBy(
-        F.col(duration).cast("double").alias("t"), F.col(risk).cast("double").alias("risk")
-    ).agg(
-        F.sum(F.col(event).cast("long")).alias("events"),
-        F.count(F.lit(1)).alias("n"),
+    cells = cut_lineage(
+        df.groupBy(
+            F.col(duration).cast("double").alias("t"), F.col(risk).cast("double").alias("risk")
+        ).agg(
+            F.sum(F.col(event).cast("long")).alias("events"),
+            F.count(F.lit(1)).alias("n"),
+        ),
+        "concordance",
     )
     times = cells.groupBy("t").agg(F.lit(1).alias("one"))
     ranks = prefix_sum(times, "t", {"rank": "one"}).select("t", (F.col("rank") - 1).alias("rank"))
-    ranked = cells.join(ranks, "t")
-    bits = F.length(F.bin(F.greatest(times.agg(F.count(F.lit(1))).scalar() - 1, F.lit(1))))
+    ranked = join_checked(cells, ranks, ["t"])
+    bits = max((times.count() - 1).bit_length(), 1)
     none = F.lit(0).cast("long")
 
     def bit_of(b: Column) -> Column:
         return F.call_function("shiftright", F.col("rank"), b) % 2
 
     by_bit = (
-        ranked.withColumn("b", F.explode(F.sequence(F.lit(0), bits - 1)))
+        ranked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
         .withColumn("side", bit_of(F.col("b")))
         .select(
             "b",

@@ -5,9 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Rows of a few narrow columns: some megabytes at most.
+BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,3 +48,16 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def join_checked(
+    df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner", limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join a large table to a derived one that is usually tiny.
+
+    The derived side is written and counted first. Up to ``limit`` rows it is broadcast,
+    so the large side does not move; beyond, Spark joins by shuffle and splits hot keys.
+    """
+    stored = cut_lineage(side, "side")
+    small = stored.count() <= limit
+    return df.join(F.broadcast(stored) if small else stored, list(on), how)
