@@ -64,8 +64,10 @@ def kaplan_meier(
 
 
 def median_survival(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """First time with S(t) <= 0.5, null when the curve stays above."""
-    return curve.groupBy(*by).agg(F.min(F.when(F.col("s") <= 0.5, F.col("t"))).alias("median_t"))
+    """First time with S(t) <= 0.5, null when the curve stays above. The margin covers the
+    rounding of a product computed as a sum of logarithms."""
+    reached = F.col("s") <= 0.5 + 1e-12
+    return curve.groupBy(*by).agg(F.min(F.when(reached, F.col("t"))).alias("median_t"))
 
 
 def curve_points(curve: DataFrame, t: str = "t", s: str = "s") -> Column:

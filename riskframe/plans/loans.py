@@ -355,7 +355,7 @@ coalesce(exp(log_s * exp(spread)), s) as s_high from curve""",
     ),
     "median_survival": sql(
         f"""with {TABLE_CTE}, {_km("term_months")}
-select term_months, min(case when s <= 0.5 then t end) as median_t from curve group by 1""",
+select term_months, min(case when s <= 0.5 + 1e-12 then t end) as median_t from curve group by 1""",
         views=_views,
     ),
     "interpolate_curve": sql(
