@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,17 +92,3 @@ def histogram_bin(x: Column, low: float, high: float, bins: int) -> Column:
     width = (high - low) / bins
     index = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
     return F.when((x >= low) & (x <= high), index.cast("int"))
-
-
-def interpolate(points: Sequence[tuple[Column, Column]] | Column, at: Column) -> Column:
-    """Linear interpolation on a sorted array of structs (t, s), constant beyond the ends."""
-    below = F.filter(points, lambda p: p["t"] <= at)
-    above = F.filter(points, lambda p: p["t"] >= at)
-    left = F.try_element_at(below, F.lit(-1))
-    right = F.try_element_at(above, F.lit(1))
-    inside = left["s"] + (right["s"] - left["s"]) * (at - left["t"]) / (right["t"] - left["t"])
-    return (
-        F.when(left.isNull(), right["s"])
-        .when(right.isNull() | (left["t"] == right["t"]), left["s"])
-        .otherwise(inside)
-    )

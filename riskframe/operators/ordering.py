@@ -11,7 +11,6 @@ computed here is exact.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +23,8 @@ SKETCH_GROUPS = 256
 # A window over this many aggregated rows is light work for one task.
 WINDOW_ROWS = 100_000
 # Exact percentile aggregates keep every distinct value; this many cells fit one task.
-PERCENTILE_CELLS = 1_000_000
+PERCENTILE_CELLS = 2_000_000
+TREE_LEAVES = 64
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -38,7 +38,7 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def _sketch(column: Column, buckets: int) -> Column:
-    probabilities = _doubles([i / buckets for i in range(1, buckets)])
+    probabilities = double_array([i / buckets for i in range(1, buckets)])
     return F.percentile_approx(column, probabilities, accuracy=min(10 * buckets, 10_000))
 
 
@@ -59,24 +59,48 @@ def _cut_points(
     return {o: list(row[o] or []) for o in columns}
 
 
-def _doubles(values: Sequence[float]) -> Column:
+def double_array(values: Sequence[float]) -> Column:
     """An array literal; text keeps the plan small and folds to one constant."""
     if not values:
         return F.array().cast("array<double>")
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast("array<double>")
 
 
-def _bucket_of(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points below ``value``; 0 for null, so never null as a join key.
+def _literal(v: float) -> str:
+    return f"double('{v!r}')"
 
-    Looks among every isqrt(B)-th cut point first, so a lookup costs about 2*sqrt(B)
-    comparisons.
+
+def _search_tree(name: str, cuts: Sequence[float], lo: int, hi: int, strict: str) -> str:
+    """Nested IFs that find how many of ``cuts[lo:hi]`` lie below, plus ``lo``."""
+    if lo == hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    below = _search_tree(name, cuts, mid + 1, hi, strict)
+    above = _search_tree(name, cuts, lo, mid, strict)
+    return f"if({_literal(cuts[mid])} {strict} {name}, {below}, {above})"
+
+
+def count_below(name: str, cuts: Sequence[float], inclusive: bool = False) -> Column:
+    """How many of the sorted distinct ``cuts`` are below column ``name`` (or equal to it).
+
+    Up to 64 cuts: a tree of comparisons that stays in generated code. More: the tree
+    picks one of 64 blocks, the rest is counted inside the block.
     """
-    fine = sorted(set(cuts))
-    step = max(isqrt(len(fine)), 1)
-    skipped = F.size(F.filter(_doubles(fine[step - 1 :: step]), lambda e: e < value)) * F.lit(step)
-    window = F.slice(_doubles(fine), skipped + F.lit(1), F.lit(step))
-    return F.coalesce(skipped + F.size(F.filter(window, lambda e: e < value)), F.lit(0))
+    strict = "<=" if inclusive else "<"
+    quoted = f"cast(`{name}` as double)"
+    step = -(-(len(cuts) + 1) // TREE_LEAVES)
+    coarse = list(cuts[step - 1 :: step])
+    block = F.expr(_search_tree(quoted, coarse, 0, len(coarse), strict))
+    if step == 1:
+        return block
+    value = F.col(name).cast("double")
+    inside = F.slice(double_array(cuts), block * step + 1, F.lit(step - 1))
+    test = (lambda e: e <= value) if inclusive else (lambda e: e < value)
+    return F.coalesce(block * step + F.size(F.filter(inside, test)), F.lit(0))
+
+
+def _bucket_of(name: str, cuts: Sequence[float]) -> Column:
+    return count_below(name, sorted(set(cuts)))
 
 
 def prefix_sum(
@@ -112,7 +136,7 @@ def prefix_sum(
         )
     position = F.col(order).cast("double")
     cuts = _cut_points(stored, {"order": position}, bucket_count(df))
-    rows = stored.withColumn("_b", _bucket_of(position, cuts["order"]))
+    rows = stored.withColumn("_b", _bucket_of(order, cuts["order"]))
     # At most B rows per group: the windows below run over bucket totals only.
     totals = rows.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_{o}") for o, c in sums.items()])
     before = group(*by).orderBy(ordered("_b")).rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +187,7 @@ def exact_quantiles(
                 F.struct(
                     F.lit(c).alias("series"),
                     F.count(c).alias("n"),
-                    F.percentile(c, _doubles(probs)).alias("q"),
+                    F.percentile(c, double_array(probs)).alias("q"),
                 ).alias(f"_{i}")
                 for i, c in enumerate(cols)
             ]
@@ -176,7 +200,7 @@ def exact_quantiles(
         F.struct(
             F.lit(c).alias("series"),
             F.col(c).alias("value"),
-            _bucket_of(F.col(c), cuts[c]).alias("_b"),
+            _bucket_of(c, cuts[c]).alias("_b"),
         )
         for c in cols
     ]

@@ -6,13 +6,14 @@ aggregated per distinct value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.scores import interpolate, loan_tier
-from riskframe.operators.ordering import prefix_sum
+from riskframe.functions.scores import loan_tier
+from riskframe.operators.ordering import count_below, double_array, prefix_sum
 from riskframe.session import cut_lineage, join_checked
 
 # Published coefficients on standardised features; the others are 0.
@@ -70,23 +71,39 @@ def median_survival(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return curve.groupBy(*by).agg(F.min(F.when(reached, F.col("t"))).alias("median_t"))
 
 
-def curve_points(curve: DataFrame, t: str = "t", s: str = "s") -> Column:
-    """A curve as one sorted array (scalar subquery).
+def curve_values(curve: DataFrame, t: str = "t", s: str = "s") -> list[tuple[float, float]]:
+    """A curve as sorted numbers.
 
     For curves over the loan durations only: at most 720 distinct times, because
     durations have one decimal and end at 72 months.
     """
-    return curve.agg(
-        F.sort_array(F.collect_list(F.struct(F.col(t).alias("t"), F.col(s).alias("s"))))
-    ).scalar()
+    return sorted((r[0], r[1]) for r in curve.select(t, s).collect())
 
 
-def interpolate_at(curve: DataFrame, times: DataFrame, at: str) -> DataFrame:
-    """Adds ``s``: the curve read at column ``at``, linear between its steps."""
-    return (
-        times.withColumn("_p", curve_points(curve))
-        .withColumn("s", interpolate(F.col("_p"), F.col(at)))
-        .drop("_p")
+def interpolate_at(
+    curve: Sequence[tuple[float, float]], df: DataFrame, at: str, out: str = "s"
+) -> DataFrame:
+    """Adds ``out``: the curve read at column ``at``, linear between its steps and constant
+    beyond them."""
+    times = [t for t, _ in curve]
+    if not times:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    ts, ss = double_array(times), double_array([s for _, s in curve])
+    placed = df.withColumn("_k", count_below(at, times, inclusive=True))
+    left, right = F.greatest(F.col("_k"), F.lit(1)), F.least(F.col("_k") + 1, F.lit(len(times)))
+    placed = placed.withColumns(
+        {
+            "_t0": F.element_at(ts, left),
+            "_s0": F.element_at(ss, left),
+            "_t1": F.element_at(ts, right),
+            "_s1": F.element_at(ss, right),
+        }
+    )
+    x, t0, s0 = F.col(at).cast("double"), F.col("_t0"), F.col("_s0")
+    inside = s0 + (F.col("_s1") - s0) * (x - t0) / (F.col("_t1") - t0)
+    value = F.when((F.col("_k") == 0) | (t0 == F.col("_t1")) | (x == t0), s0).otherwise(inside)
+    return placed.withColumn(out, F.when(x.isNotNull(), value)).drop(
+        "_k", "_t0", "_s0", "_t1", "_s1"
     )
 
 
@@ -185,18 +202,20 @@ def baseline_hazard(
     )
 
 
-def survival_at(points: Column, hazard: Column, t: float) -> Column:
-    """S(t|x), linear between the steps of the curve, from sorted (t, h0) points."""
-    below = F.filter(points, lambda p: p["t"] <= t)
-    above = F.filter(points, lambda p: p["t"] >= t)
-    left, right = F.try_element_at(below, F.lit(-1)), F.try_element_at(above, F.lit(1))
-    s_left, s_right = F.exp(-left["s"] * hazard), F.exp(-right["s"] * hazard)
-    inside = s_left + (s_right - s_left) * (F.lit(float(t)) - left["t"]) / (right["t"] - left["t"])
-    return (
-        F.when(left.isNull(), s_right)
-        .when(right.isNull() | (left["t"] == right["t"]), s_left)
-        .otherwise(inside)
-    )
+def survival_at(
+    h0: Sequence[tuple[float, float]], hazard: Column, at: float
+) -> Column:
+    """S(at|x) = exp(-H0 x hazard), linear between the steps of the curve. The steps next
+    to ``at`` are the same for every row, so they are constants."""
+    left = max((p for p in h0 if p[0] <= at), default=None)
+    right = min((p for p in h0 if p[0] >= at), default=None)
+    if left is None and right is None:
+        return F.lit(None).cast("double")
+    if left is None or right is None or left[0] == right[0]:
+        only = left or right
+        return F.exp(F.lit(-only[1]) * hazard)
+    s0, s1 = F.exp(F.lit(-left[1]) * hazard), F.exp(F.lit(-right[1]) * hazard)
+    return s0 + (s1 - s0) * F.lit(float(at) - left[0]) / F.lit(right[0] - left[0])
 
 
 def score_loans(df: DataFrame, baseline: DataFrame, horizons=(12, 24, 36)) -> DataFrame:
@@ -205,20 +224,27 @@ def score_loans(df: DataFrame, baseline: DataFrame, horizons=(12, 24, 36)) -> Da
     ``df`` holds ``hazard_ratio``; ``baseline`` is the (bounded) table of
     :func:`baseline_hazard`.
     """
-    points = baseline.agg(
-        F.sort_array(F.collect_list(F.struct("t", F.col("h0").alias("s"))))
-    ).scalar()
+    curve = curve_values(baseline, "t", "h0")
     hazard = F.col("hazard_ratio")
-    half = F.filter(F.col("_p"), lambda p: F.exp(-p["s"] * hazard) <= 0.5)
     first = min(horizons)
+    # S(t|x) <= 1/2 from the first step on where H0 >= ln 2 / hazard. Steps without events
+    # repeat H0; only the first of equal values can be the crossing.
+    steps, levels = [], []
+    for t, h in curve:
+        if not levels or h > levels[-1]:
+            steps.append(t)
+            levels.append(h)
+    needed = df.withColumn("_need", F.lit(math.log(2)) / hazard)
+    crossing = F.try_element_at(
+        double_array(steps), count_below("_need", levels) + F.lit(1)
+    )
     return (
-        df.withColumn("_p", points)
-        .withColumns({f"s_{h}m": survival_at(F.col("_p"), hazard, h) for h in horizons})
-        .withColumn("median_months", F.try_element_at(half, F.lit(1))["t"])
+        needed.withColumns({f"s_{h}m": survival_at(curve, hazard, h) for h in horizons})
+        .withColumn("median_months", crossing)
         .withColumn(f"pd_{first}m", 1 - F.col(f"s_{first}m"))
         .withColumn("risk_tier", loan_tier(F.col(f"pd_{first}m")))
         .withColumn("is_low_risk", F.col("risk_tier") == "LOW")
-        .drop("_p")
+        .drop("_need")
     )
 
 

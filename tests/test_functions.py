@@ -54,11 +54,3 @@ def test_thirty_day_months_round_half_even(spark):
     df = spark.sql("select date'2024-01-01' a, date_add(date'2024-01-01', d) b from values (30),(45),(37) t(d)")
     got = [r[0] for r in df.select(parse.thirty_day_months(F.col("b"), F.col("a"))).collect()]
     assert got == [1.0, 1.5, 1.2]
-
-
-def test_interpolation_is_linear_and_clamped(spark):
-    df = spark.sql(
-        "select array(named_struct('t',1d,'s',0.9d), named_struct('t',3d,'s',0.5d)) p, x from values (0d),(1d),(2d),(3d),(9d) v(x)"
-    )
-    got = [r[0] for r in df.select(scores.interpolate(F.col("p"), F.col("x"))).collect()]
-    assert got == pytest.approx([0.9, 0.9, 0.7, 0.5, 0.5])

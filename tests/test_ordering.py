@@ -114,3 +114,14 @@ def test_oversampling_reaches_the_ratio_between_real_neighbours(spark):
             assert min(p[i], q[i]) - 1e-9 <= r[c] <= max(p[i], q[i]) + 1e-9
     assert set(shares.values()) == {13, 14}
     assert sampling.smote(df, "id", "y", ["a", "b"], ratio=0.01).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 63, 64, 65, 500])
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_lookup_among_cuts(spark, n, inclusive):
+    cuts = [i * 1.5 - 20 for i in range(n)]
+    probes = [-1e9, -20.0, -19.0, 0.0, 1.0, 10.0, 74.5, 1e9]
+    df = spark.createDataFrame([(v,) for v in probes], "x double")
+    got = [r[0] for r in df.select(ordering.count_below("x", cuts, inclusive)).collect()]
+    side = "right" if inclusive else "left"
+    assert got == list(np.searchsorted(cuts, probes, side=side))

@@ -107,3 +107,16 @@ def test_scored_curves_fall_and_order_by_hazard(spark):
     scored = survival.score_loans(rows, base).orderBy("hazard_ratio").collect()
     assert all(r["s_12m"] >= r["s_24m"] >= r["s_36m"] for r in scored)
     assert all(a["s_12m"] >= b["s_12m"] for a, b in zip(scored, scored[1:]))
+
+
+def test_interpolation_is_linear_and_clamped(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,), (9.0,), (None,)], "x double")
+    got = [r["s"] for r in survival.interpolate_at([(1.0, 0.9), (3.0, 0.5)], df, "x").collect()]
+    assert got[:5] == pytest.approx([0.9, 0.9, 0.7, 0.5, 0.5]) and got[5] is None
+
+
+def test_median_is_the_first_crossing(spark):
+    base = spark.createDataFrame([(1.0, 0.1), (2.0, 0.1), (3.0, 0.5), (4.0, 1.0)], "t double, h0 double")
+    df = spark.createDataFrame([(0.5,), (1.0,), (2.0,), (10.0,)], "hazard_ratio double")
+    got = [r["median_months"] for r in survival.score_loans(df, base).collect()]
+    assert got == [None, 4.0, 3.0, 1.0]
