@@ -20,7 +20,9 @@ from riskframe.operators.ordering import prefix_sum
 from riskframe.session import cut_lineage
 
 # Per-time sums of this many times fit the driver; beyond, they stay distributed.
-MAX_TIMES_ON_DRIVER = 10_000
+MAX_TIMES_ON_DRIVER = 2_000
+# A task flushes its partial sums beyond this many distinct times.
+HELD_TIMES = 4_096
 DIRECT_TIES = 10_000
 
 
@@ -112,29 +114,29 @@ def tie_sums(d: int, s: float, e: float) -> tuple[float, ...]:
     )
 
 
-def _names(p: int) -> tuple[list[str], list[str], list[tuple[int, int]]]:
-    tri = [(j, k) for j in range(p) for k in range(j, p)]
-    return [f"1_{j}" for j in range(p)], [f"2_{j}_{k}" for j, k in tri], tri
-
-
-def _contributions(frame: pd.DataFrame, p: int) -> np.ndarray:
-    """Sum over times of [log-likelihood part, gradient part, information part]."""
-    firsts, seconds, tri = _names(p)
-    jj, kk = np.array([j for j, _ in tri]), np.array([k for _, k in tri])
-    out = np.zeros(1 + p + len(tri))
-    frame = frame[frame["d"] > 0]
-    at_risk1 = frame[[f"r{n}" for n in firsts]].to_numpy()
-    at_risk2 = frame[[f"r{n}" for n in seconds]].to_numpy()
-    event1 = frame[[f"e{n}" for n in firsts]].to_numpy()
-    event2 = frame[[f"e{n}" for n in seconds]].to_numpy()
-    for i, (d, s, e) in enumerate(zip(frame["d"], frame["r0"], frame["e0"])):
-        a, b = at_risk1[i], event1[i]
-        logs, h1, m1, h2, k1, k2 = tie_sums(int(d), float(s), float(e))
+def _pairs(p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each entry of the upper triangle."""
+    return np.triu_indices(p)
+
+
+def _contributions(d: np.ndarray, at_risk: np.ndarray, events: np.ndarray, p: int) -> np.ndarray:
+    """Sum over times of [log-likelihood part, gradient part, information part].
+
+    Rows are times; columns are sums of w, w*z_j and w*z_j*z_k, over rows at risk and
+    over events at that time.
+    """
+    jj, kk = _pairs(p)
+    out = np.zeros(1 + p + len(jj))
+    for n, r, e in zip(d, at_risk, events):
+        if n <= 0:
+            continue
+        a, b = r[1 : 1 + p], e[1 : 1 + p]
+        logs, h1, m1, h2, k1, k2 = tie_sums(int(n), float(r[0]), float(e[0]))
         out[0] -= logs
         out[1 : 1 + p] -= a * h1 - b * m1
         out[1 + p :] += (
-            at_risk2[i] * h1
-            - event2[i] * m1
+            r[1 + p :] * h1
+            - e[1 + p :] * m1
             - a[jj] * a[kk] * h2
             + (a[jj] * b[kk] + b[jj] * a[kk]) * k1
             - b[jj] * b[kk] * k2
@@ -142,44 +144,78 @@ def _contributions(frame: pd.DataFrame, p: int) -> np.ndarray:
     return out
 
 
-def _step_sums(rows: DataFrame, features: Sequence[str], beta: np.ndarray, shift: float):
-    """Per-time sums over all rows (w*) and over events (e*)."""
-    p = len(features)
-    firsts, seconds, tri = _names(p)
-    lp = sum((F.col(f) * F.lit(float(b)) for f, b in zip(features, beta)), F.lit(-shift))
-    w = F.exp(lp)
-    weighted = rows.withColumn("w", w).withColumn("we", F.col("w") * F.col("event"))
-    aggs = [F.sum("event").alias("d"), F.sum("w").alias("w0"), F.sum("we").alias("e0")]
-    for side, weight in (("w", "w"), ("e", "we")):
-        aggs += [
-            F.sum(F.col(weight) * F.col(f)).alias(f"{side}{n}") for f, n in zip(features, firsts)
-        ]
-        aggs += [
-            F.sum(F.col(weight) * F.col(features[j]) * F.col(features[k])).alias(f"{side}{n}")
-            for (j, k), n in zip(tri, seconds)
-        ]
-    return weighted.groupBy("t").agg(*aggs), ["0", *firsts, *seconds]
+def _per_time(rows: DataFrame, features: Sequence[str], beta: np.ndarray, shift: float) -> DataFrame:
+    """Long table (t, pos, v) of per-time sums: pos 0 is the number of events, then the
+    sums over all rows, then the sums over events.
+
+    Tasks add up their rows per time before anything is shuffled.
+    """
+    features = list(features)
+    jj, kk = _pairs(len(features))
+
+    def sums(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        z, e = batch[features].to_numpy(), batch["event"].to_numpy(dtype=float)
+        w = np.exp(z @ beta - shift)[:, None]
+        full = np.hstack([np.ones((len(z), 1)), z, z[:, jj] * z[:, kk]]) * w
+        return merge(
+            batch["t"].to_numpy(), np.hstack([e[:, None], full, full * e[:, None]])
+        )
+
+    def merge(t: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(t, kind="stable")
+        times, starts = np.unique(t[order], return_index=True)
+        return times, np.add.reduceat(v[order], starts, axis=0)
+
+    def partial(batches):
+        held = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            new = sums(batch)
+            held = new if held is None else merge(
+                np.concatenate([held[0], new[0]]), np.vstack([held[1], new[1]])
+            )
+            if len(held[0]) > HELD_TIMES:
+                yield pd.DataFrame({"t": held[0], "v": list(held[1])})
+                held = None
+        if held is not None:
+            yield pd.DataFrame({"t": held[0], "v": list(held[1])})
+
+    return (
+        rows.mapInPandas(partial, "t double, v array<double>")
+        .select("t", F.posexplode("v").alias("pos", "v"))
+        .groupBy("t", "pos")
+        .agg(F.sum("v").alias("v"))
+    )
 
 
 def _evaluate(rows, features, beta, shift, on_driver: bool) -> np.ndarray:
     p = len(features)
-    per_time, names = _step_sums(rows, features, beta, shift)
+    width = 1 + p + p * (p + 1) // 2
+    long = _per_time(rows, features, beta, shift)
     if on_driver:
-        frame = per_time.toPandas().sort_values("t", ascending=False)
-        at_risk = frame[[f"w{n}" for n in names]].cumsum()
-        at_risk.columns = [f"r{n}" for n in names]
-        return _contributions(pd.concat([frame, at_risk], axis=1), p)
-    summed = prefix_sum(per_time, "t", {f"r{n}": f"w{n}" for n in names}, descending=True)
-    size = 1 + p + p * (p + 1) // 2
+        table = long.toPandas().pivot(index="t", columns="pos", values="v")
+        v = table.sort_index(ascending=False).to_numpy()
+        return _contributions(v[:, 0], v[:, 1 : 1 + width].cumsum(axis=0), v[:, 1 + width :], p)
+    # One running sum per position, latest time first; then back to one row per time.
+    running = prefix_sum(long, "t", {"upto": "v"}, ["pos"], descending=True)
+    per_time = running.groupBy("t").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("pos", "v", "upto"))),
+            lambda r: F.when(r["pos"].between(1, width), r["upto"]).otherwise(r["v"]),
+        ).alias("v")
+    )
 
     def partial(frames):
-        total = np.zeros(size)
+        total = np.zeros(width)
         for frame in frames:
-            total += _contributions(frame, p)
-        yield pd.DataFrame([total], columns=[f"v{i}" for i in range(size)])
+            if not frame.empty:
+                v = np.vstack(frame["v"])
+                total += _contributions(v[:, 0], v[:, 1 : 1 + width], v[:, 1 + width :], p)
+        yield pd.DataFrame({"pos": range(width), "v": total})
 
-    parts = summed.mapInPandas(partial, ", ".join(f"v{i} double" for i in range(size)))
-    return np.array(parts.agg(*[F.sum(f"v{i}") for i in range(size)]).first())
+    parts = per_time.mapInPandas(partial, "pos int, v double").groupBy("pos").agg(F.sum("v"))
+    return np.array([r[1] for r in sorted(parts.collect())])
 
 
 def fit_cox(
@@ -227,8 +263,8 @@ def fit_cox(
         ll -= n * penalizer / 2 * float(beta @ beta)
         gradient = event_sum + v[1 : 1 + p] - n * penalizer * beta
         information = np.zeros((p, p))
-        for (j, k), x in zip(_names(p)[2], v[1 + p :]):
-            information[j, k] = information[k, j] = x
+        jj, kk = _pairs(p)
+        information[jj, kk] = information[kk, jj] = v[1 + p :]
         return ll, gradient, information + n * penalizer * np.eye(p)
 
     beta = np.zeros(p)
