@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.functions import parse
 from riskframe.operators.ordering import quantile_values
 from riskframe.operators.sampling import sample_rows
+from riskframe.session import cut_lineage
 
 # Fixed values of the business rules.
 GRADES = {"A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "F": 6, "G": 7}
@@ -67,7 +68,11 @@ def parse_loans(df: DataFrame) -> DataFrame:
 
 def clean_loans(df: DataFrame, sample: int | None = None, seed: int = 42) -> DataFrame:
     """Optional uniform sample, known dates, status and grade, parsed columns, medians
-    and zeros for missing values, incomes up to the 99th percentile."""
+    and zeros for missing values, incomes up to the 99th percentile.
+
+    The parsed table is written once; the quantiles and all later steps read typed
+    columns and parse nothing again.
+    """
     if sample is not None:
         df = sample_rows(df, "loan_id", sample, seed)
     known = df.where(
@@ -75,7 +80,7 @@ def clean_loans(df: DataFrame, sample: int | None = None, seed: int = 42) -> Dat
         & F.col("loan_status").isNotNull()
         & F.col("grade").isin(*GRADES)
     )
-    parsed = parse_loans(known)
+    parsed = cut_lineage(parse_loans(known).drop("term", "emp_length"), "loans")
     q = quantile_values(parsed, [*MEDIAN_FILLED, "annual_inc"], [0.5, 0.99])
     filled = parsed.withColumns(
         {c: F.coalesce(F.col(c), F.lit(q[c][0]).cast("double")) for c in MEDIAN_FILLED}

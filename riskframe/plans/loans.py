@@ -14,13 +14,8 @@ from riskframe.session import cut_lineage
 DURATION, EVENT = "duration_months", "event"
 
 
-def _loans(spark: SparkSession, sf: str) -> DataFrame:
-    """The loan table. The view is a join; fits read it several times, so it is written."""
-    return cut_lineage(view(spark, sf, "loans"), "loans")
-
-
 def _table(spark, sf) -> DataFrame:
-    return loans.survival_table(_loans(spark, sf))
+    return loans.survival_table(view(spark, sf, "loans"))
 
 
 def _hazards(spark, sf) -> DataFrame:
@@ -48,11 +43,11 @@ _CLEAN_COLUMNS = [
 
 
 def loan_clean(spark, sf):
-    return rounded(loans.clean_loans(_loans(spark, sf)).select(*_CLEAN_COLUMNS))
+    return rounded(loans.clean_loans(view(spark, sf, "loans")).select(*_CLEAN_COLUMNS))
 
 
 def loan_events(spark, sf):
-    events = loans.loan_events(loans.clean_loans(_loans(spark, sf)))
+    events = loans.loan_events(loans.clean_loans(view(spark, sf, "loans")))
     return events.select("loan_id", DURATION, EVENT)
 
 
@@ -65,7 +60,7 @@ def grade_lookup(spark, sf):
     return df.select("loan_id", "grade", loans.grade_code(F.col("grade")).alias("grade_encoded"))
 
 
-def validate_loans(spark, sf):
+def validateview(spark, sf, "loans"):
     parsed = loans.parse_loans(view(spark, sf, "loans"))
     checked = quality.with_violations(parsed, quality.loan_rules())
     return checked.select("loan_id", F.concat_ws(",", "violations").alias("violations"))
