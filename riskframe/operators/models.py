@@ -25,6 +25,9 @@ from riskframe.operators.sampling import holdout_flag
 from riskframe.session import cut_lineage
 
 
+ROWS_PER_PARTITION = 50_000
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
@@ -105,9 +108,13 @@ def fit_reconstruction(normal: DataFrame, cols: Sequence[str], k: int = 8) -> Re
 
 def stable_order(df: DataFrame, id_col: str, name: str) -> DataFrame:
     """A written table whose partitions do not depend on the input's layout; MLlib's
-    row sampling depends on partitioning."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartition(n, id_col).sortWithinPartitions(id_col), name)
+    row sampling depends on partitioning. Small tables take few partitions, because every
+    tree level is a job over all of them."""
+    stored = cut_lineage(df, f"{name}-rows")
+    wanted = -(-max(stored.count(), 1) // ROWS_PER_PARTITION)
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = stored.repartition(min(wanted, most), id_col).sortWithinPartitions(id_col)
+    return cut_lineage(ordered, name)
 
 
 def gbt_estimator(
