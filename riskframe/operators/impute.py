@@ -63,6 +63,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], low: float, high: float) -> Da
 
 
 def keep_up_to_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
-    """Rows at or below the column's own exact quantile; missing values drop out."""
+    """Rows at or below the column's own exact quantile; missing values drop out (null
+    compares to null, NaN is above every number). The plain comparison pushes down."""
     cut = F.lit(quantile_values(df, [col], [q])[col][0]).cast("double")
-    return df.where(nan_to_null(F.col(col).cast("double")) <= cut)
+    return df.where(F.col(col) <= cut)

@@ -86,7 +86,7 @@ def clean_loans(df: DataFrame, sample: int | None = None, seed: int = 42) -> Dat
         {c: F.coalesce(F.col(c), F.lit(q[c][0]).cast("double")) for c in MEDIAN_FILLED}
     ).na.fill(0, ZERO_FILLED)
     p99 = F.lit(q["annual_inc"][1]).cast("double")
-    return filled.where(parse.nan_to_null(F.col("annual_inc")) <= p99)
+    return filled.where(F.col("annual_inc") <= p99)
 
 
 def loan_events(clean: DataFrame) -> DataFrame:

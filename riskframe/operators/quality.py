@@ -33,11 +33,12 @@ def with_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(rows that keep every rule, rejected rows with their violations).
 
-    The valid side filters by one conjunct per rule, so each can push down to the scan.
+    The valid side filters by one conjunct per rule, so each can push down to the scan; a
+    rule that is null filters its row out.
     """
     valid = df
     for holds in rules.values():
-        valid = valid.where(F.coalesce(holds, F.lit(False)))
+        valid = valid.where(holds)
     return valid, with_violations(df, rules).where(F.size("violations") > 0)
 
 

@@ -36,6 +36,9 @@ def tile_join(
 
     i_parts = parts(left)
     j_parts = i_parts if right is left else parts(right)
+    # New column identities on the right, so that a table tiled with itself is not pruned
+    # by the needs of only one side.
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     l_rows = left.select("*", part(i_parts).alias("_i"), every(j_parts).alias("_j"))
     r_rows = right.select("*", part(j_parts).alias("_j"), every(i_parts).alias("_i"))
     return l_rows.groupBy("_i", "_j").cogroup(r_rows.groupBy("_i", "_j")).applyInPandas(fn, schema)

@@ -99,6 +99,15 @@ def test_quantile_trim_drops_missing_values(spark):
     assert impute.keep_up_to_quantile(df, "x", 0.99).count() == 100
 
 
+def test_fitted_cuts_and_rules_push_down_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("cast(id as double) x", "cast(id % 90 as int) age").write.parquet(path)
+    df = impute.keep_up_to_quantile(spark.read.parquet(path), "x", 0.99)
+    valid, _ = quality.split_valid(df, {"age": quality.within("age", 18, 80)})
+    plan = valid._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(x,989.01)" in plan and "GreaterThanOrEqual(age,18)" in plan
+
+
 def test_value_order_and_labels(spark):
     centres = [(0, 0, 1.0), (0, 0, 5.0), (0, 0, -2.0)]
     assert rfm.value_order(centres) == [1, 0, 2]
@@ -144,6 +153,7 @@ def test_silhouettes_match_brute_force_across_tiles(spark):
 
     exact = rfm.silhouette_exact(df, "id", rfm.RFM, rows_per_tile=16).first()["silhouette"]
     assert exact == pytest.approx(brute(1))
+    assert rfm.silhouette_exact(df, "id", rfm.RFM, rows_per_tile=16).select("n").first()["n"] == 61
     assert rfm.silhouette_squared(df, "id", rfm.RFM).first()["silhouette"] == pytest.approx(brute(2))
 
 

@@ -93,6 +93,7 @@ def test_neighbours_across_tiles_match_brute_force(spark):
     got = {}
     for r in tiles.nearest_neighbours(df, "id", list("abcd"), 5, rows_per_tile=20).collect():
         got.setdefault(r["id"], {})[r["rank"]] = r["neighbour"]
+    assert tiles.nearest_neighbours(df, "id", list("abcd"), 5, rows_per_tile=20).count() == 450
     for i in range(90):
         d = ((x - x[i]) ** 2).sum(axis=1)
         order = [j for j in sorted(range(90), key=lambda j: (d[j], j)) if j != i][:5]
