@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.functions.scores import age_band
 from riskframe.operators import credit, explain, impute, metrics, models, quality
 from riskframe.plans.fixtures import view
 from riskframe.plans.shape import rounded, sql

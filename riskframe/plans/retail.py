@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import models, quality, rfm
 from riskframe.operators.impute import keep_up_to_quantile
 from riskframe.operators.ordering import exact_quantiles
-from riskframe.plans.fixtures import table, view, view_on
+from riskframe.plans.fixtures import table, view
 from riskframe.plans.shape import rounded, sql
 
 # Centroids in robust-scaled RFM space.

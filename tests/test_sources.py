@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from riskframe.operators import quality
