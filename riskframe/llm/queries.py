@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import langid, quality_mil
+from riskframe.llm import langid, line_rules, quality_mil, sharding
 from riskframe.llm.common import held_out
 
 
@@ -27,8 +27,18 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard_by_bytes(_read(spark, sf, "documents"))
+
+
+def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return line_rules.apply_rules(_read(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op7_shards": op7_shards,
     "op8_language": op8_language,
+    "op10_line_rules": op10_line_rules,
 }
 ORACLES: dict[str, str] = {}

@@ -84,12 +84,35 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Split a text column (null counts as empty) into chunks of whole texts."""
     data, at = _bytes_of(column)
     i, n = 0, len(at) - 1
+    if not n:
+        yield Chunk(0, data[:0], np.zeros(1, np.int64))
     while i < n:
         j = max(int(np.searchsorted(at, at[i] + size, side="right")) - 1, i + 1)
         yield Chunk(i, data[at[i] : at[j]], at[i : j + 1] - at[i])
         i = j
 
 
+def range_hash(chunk: Chunk, begin: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A hash of each byte range; equal bytes give equal hashes wherever they stand."""
+    n = len(chunk.data)
+    up, down = _power_tables(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(BYTE_CODE[LOWER[chunk.data] if lower else chunk.data] * up[:n], out=total[1:])
+    size = (end - begin).astype(np.uint64) * WORD_LENGTH_FACTOR
+    return mix((total[end] - total[begin]) * down[begin] + size)
+
+
+def sequence_hash(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A hash of each consecutive run of ``counts`` values; their order matters."""
+    n = len(values)
+    up, down = _power_tables(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * up[:n], out=total[1:])
+    end = np.cumsum(counts)
+    begin = end - counts
+    return mix((total[end] - total[begin]) * down[begin] + counts.astype(np.uint64) * WORD_LENGTH_FACTOR)
+
+
 def words(chunk: Chunk, lower: bool = True) -> Words:
     """Words are runs of bytes other than space and 0x09-0x0D; ``lower`` folds A-Z for the hash."""
     data, n = chunk.data, len(chunk.data)
@@ -106,11 +129,7 @@ def words(chunk: Chunk, lower: bool = True) -> Words:
     stop[inner[inner < n]] = True
     stops = np.flatnonzero(stop)
     end = stops[np.searchsorted(stops, begin, side="right")] if len(begin) else begin
-    up, down = _power_tables(n + 1)
-    code = BYTE_CODE[LOWER[data] if lower else data]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(code * up[:n], out=total[1:])
-    h = mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * WORD_LENGTH_FACTOR)
+    h = range_hash(chunk, begin, end, lower)
     text = np.searchsorted(chunk.start, begin, side="right") - 1
     return Words(begin, end, text, h, np.bincount(text, minlength=len(chunk)))
 
