@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import langid, line_rules, quality_mil, sharding
+from riskframe.llm import langid, line_rules, pii, quality_mil, sharding
 from riskframe.llm.common import held_out
 
 
@@ -27,6 +27,15 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+# Stands for a secret that a deployment takes from its own store.
+PII_KEY = "riskframe-example-key"
+
+
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    return pii.pseudonymise_counted(docs, PII_KEY)
+
+
 def op7_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_by_bytes(_read(spark, sf, "documents"))
 
@@ -37,6 +46,7 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op6_pii": op6_pii,
     "op7_shards": op7_shards,
     "op8_language": op8_language,
     "op10_line_rules": op10_line_rules,
