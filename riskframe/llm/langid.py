@@ -83,14 +83,14 @@ def _sample_features(buckets: int):
                 for i in range(len(chunk)):
                     own = [f[chunk.start[i] : chunk.start[i + 1]] for f in found]
                     n = np.bincount(np.concatenate([*own, [buckets]]), minlength=buckets + 1)[:-1]
-                    index.append(np.flatnonzero(n).astype(np.int32))
-                    value.append((n[n > 0] / max(n.sum(), 1)).astype(np.float32))
+                    index.append(np.flatnonzero(n).astype(np.int32).tobytes())
+                    value.append((n[n > 0] / max(n.sum(), 1)).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("label"),
-                    pa.array(index, pa.list_(pa.int32())),
-                    pa.array(value, pa.list_(pa.float32())),
+                    pa.array(index, pa.binary()),
+                    pa.array(value, pa.binary()),
                 ],
                 ["id", "label", "at", "value"],
             )
@@ -150,7 +150,7 @@ def train(
             F.col(label_col).cast("string").alias("label"),
             F.col(text_col).alias("text"),
         )
-        .mapInArrow(_sample_features(buckets), "id string, label string, at array<int>, value array<float>")
+        .mapInArrow(_sample_features(buckets), "id string, label string, at binary, value binary")
         .collect()  # max_rows sparse vectors
     )
     rows.sort(key=lambda r: r.id)
@@ -159,7 +159,7 @@ def train(
         return LanguageModel([], np.zeros((buckets, 0)), np.zeros(0))
     x = np.zeros((len(rows), buckets), np.float32)
     for i, r in enumerate(rows):
-        x[i, r.at] = r.value
+        x[i, np.frombuffer(r.at, np.int32)] = np.frombuffer(r.value, np.float32)
     y = np.array([languages.index(r.label) for r in rows])
     rng = np.random.default_rng(seed)
     apart = rng.random(len(rows)) < calibration_share

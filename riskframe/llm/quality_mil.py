@@ -134,10 +134,10 @@ def _bags(batches):
         for chunk in tx.chunks(batch.column("text")):
             x, per_text = passages(chunk)
             at = np.concatenate([[0], np.cumsum(per_text)])
-            rows += [x[at[i] : at[i + 1]].ravel() for i in range(len(chunk))]
+            rows += [x[at[i] : at[i + 1]].tobytes() for i in range(len(chunk))]
             counts.append(per_text)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("label"), pa.array(rows, pa.list_(pa.float32()))], ["id", "label", "x"]
+            [batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())], ["id", "label", "x"]
         )
 
 
@@ -161,12 +161,12 @@ def train(
         F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text")
     )
     # max_rows bags of bounded size
-    rows = sorted(sample.mapInArrow(_bags, "id string, label int, x array<float>").collect(), key=lambda r: r.id)
+    rows = sorted(sample.mapInArrow(_bags, "id string, label int, x binary").collect(), key=lambda r: r.id)
     y = np.array([r.label for r in rows], float)
     zero = np.zeros(FEATURES)
     if len(set(y)) < 2:
         return Weights(zero, zero, {}, float(y.mean()) if len(y) else 0.5)
-    bags = [np.array(r.x, float).reshape(-1, FEATURES) for r in rows]
+    bags = [np.frombuffer(r.x, np.float32).astype(float).reshape(-1, FEATURES) for r in rows]
     every = np.vstack(bags)
     rng = np.random.default_rng(seed)
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskframe.llm import langid, line_rules, pii, quality_mil, sharding
-from riskframe.llm.common import held_out
+from riskframe.llm import langid, line_rules, mixing, pii, quality_mil, sharding
+from riskframe.llm.common import held_out, store
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -27,6 +28,31 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+# Wanted shares of tokens per domain of ``labels``, and the most uses of a domain's supply.
+MIX_WEIGHTS = {"good": 0.86, "low": 0.08, "toxic": 0.06}
+MIX_REPEATS = 1.05
+
+
+def label_domain() -> Column:
+    """The domain of a labelled row."""
+    return F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").otherwise("good")
+
+
+def mixing_model(docs: DataFrame, labels: DataFrame) -> mixing.DomainModel:
+    domains = labels.where("quality is not null and toxic is not null").select("doc_id", label_domain().alias("domain"))
+    return mixing.train(docs.select("doc_id", "text").join(domains, "doc_id"))
+
+
+def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    model = mixing_model(docs, _read(spark, sf, "labels"))
+    rows = store(docs.select("doc_id", mixing.posteriors(model, F.col("text")).alias("m")).select("doc_id", "m.*"), "mix")
+    mix = mixing.fit(rows, model.domains, MIX_WEIGHTS, MIX_REPEATS)
+    p = [F.col("p")[j] for j in range(len(model.domains))]
+    named = [c.alias(f"p_{d}") for c, d in zip(p, model.domains, strict=True)]
+    return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix.steps, p).alias("rate"))
+
+
 # Stands for a secret that a deployment takes from its own store.
 PII_KEY = "riskframe-example-key"
 
@@ -46,6 +72,7 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op4_mixing": op4_mixing,
     "op6_pii": op6_pii,
     "op7_shards": op7_shards,
     "op8_language": op8_language,
