@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import langid, line_rules, mixing, pii, quality_mil, sharding
+from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, pii, quality_mil, sharding
 from riskframe.llm.common import held_out, store
 
 
@@ -28,6 +28,26 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def vocabulary() -> bpe_lexicon.Vocabulary:
+    """The vocabulary file stays in the package that brings it; the driver reads it."""
+    import public_tokenizers
+
+    return bpe_lexicon.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    words = vocabulary()
+    lexicon = bpe_lexicon.build_lexicon(docs, words)
+    decoded = bpe_lexicon.decode_docs(bpe_lexicon.encode_docs(docs, words, lexicon), words)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 # Wanted shares of tokens per domain of ``labels``, and the most uses of a domain's supply.
 MIX_WEIGHTS = {"good": 0.86, "low": 0.08, "toxic": 0.06}
 MIX_REPEATS = 1.05
@@ -72,6 +92,7 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
     "op6_pii": op6_pii,
     "op7_shards": op7_shards,
