@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, pii, quality_mil, sharding
+from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, partenum, pii, quality_mil, sharding
 from riskframe.llm.common import held_out, store
 
 
@@ -86,6 +86,10 @@ def op7_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_by_bytes(_read(spark, sf, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return partenum.jaccard_components(_read(spark, sf, "documents"))
+
+
 def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return line_rules.apply_rules(_read(spark, sf, "documents"))
 
@@ -97,6 +101,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_shards": op7_shards,
     "op8_language": op8_language,
+    "op9_jaccard": op9_jaccard,
     "op10_line_rules": op10_line_rules,
 }
 ORACLES: dict[str, str] = {}
