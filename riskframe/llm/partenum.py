@@ -48,7 +48,7 @@ SKETCH_LONGS = 8
 # Up to this many rows an id list is broadcast; more are joined by shuffle.
 BROADCAST_IDS = 100_000
 # Buckets above this size are divided before their pairs are compared.
-BUCKET_ROWS = 256
+BUCKET_ROWS = 512
 DIVISIONS = 3
 PIVOT_ROUNDS = 3
 
@@ -266,6 +266,15 @@ def _linked(left: Column, right: Column, n: int, percent: int) -> Column:
     return run(left, right)
 
 
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether sizes n<a>, n<b> and sketches s<a>, s<b> allow a link."""
+    na, nb, sa, sb = (F.col(c) for c in (f"n{a}", f"n{b}", f"s{a}", f"s{b}"))
+    differ = sum(F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(SKETCH_LONGS))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
+        differ * (100 + percent) <= (100 - percent) * (na + nb)
+    )
+
+
 class _Join:
     """One run: the described candidates and what is known of their components."""
 
@@ -273,17 +282,14 @@ class _Join:
         self.known, self.n, self.percent = known, n, percent
         self.links = self.roots = None
 
+    def info(self, end: str) -> DataFrame:
+        """Size and sketch of every candidate, named after one end of a pair."""
+        return self.known.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
+
     def verify(self, pairs: DataFrame) -> int:
         """Compare pairs (a, b), add the links and refresh the components; returns the links found."""
-        info = self.known.select("id", "n", "sketch")
-        left = info.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        right = info.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        low, high = F.least("na", "nb"), F.greatest("na", "nb")
-        differ = sum(F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_LONGS))
-        near = (100 * low >= self.percent * high) & (
-            differ * (100 + self.percent) <= (100 - self.percent) * (F.col("na") + F.col("nb"))
-        )
-        possible = pairs.distinct().join(left, "a").join(right, "b").where(near).select("a", "b")
+        possible = pairs.distinct().join(self.info("a"), "a").join(self.info("b"), "b")
+        possible = possible.where(_near("a", "b", self.percent)).select("a", "b")
         texts = self.known.select("id", "text")
         both = possible.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -307,20 +313,29 @@ class _Join:
 
 
 def _divide(join: _Join, rows: DataFrame, bucket_rows: int) -> DataFrame:
-    """Replace buckets above ``bucket_rows`` by their division with independent signatures."""
+    """Replace buckets above ``bucket_rows`` by their division with independent signatures.
+
+    Linked members share a part of the division too. A bucket of texts that share no more than a
+    passage falls apart; one of truly similar texts would be repeated in every part and stays whole.
+    """
     done = []
     for seed in range(1, DIVISIONS + 1):
-        large = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > bucket_rows)
-        large = store(large.select("sig"), "large-buckets")
+        sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+        large = store(sizes.where(F.col("size") > bucket_rows), "large-buckets")
         if large.isEmpty():
             break
         done.append(rows.join(large, "sig", "left_anti"))
-        hot = rows.join(large, "sig").select("sig", "id")
-        ids = hot.select("id").distinct()
-        again = join.known.join(ids, "id", "left_semi").select(
+        hot = rows.join(large, "sig")
+        again = join.known.join(hot.select("id").distinct(), "id", "left_semi").select(
             "id", F.explode(_describe(F.col("text"), join.n, join.percent, seed)["sigs"]).alias("other")
         )
-        divided = hot.join(again, "id").select(F.xxhash64("sig", "other").alias("sig"), "id")
+        parts = hot.select("sig", "size", "id").join(again, "id")
+        parts = store(parts.select("sig", "size", F.xxhash64("sig", "other").alias("part"), "id"), "parts")
+        per_part = parts.groupBy("sig", "size", "part").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
+        pairs = per_part.groupBy("sig", "size").agg(F.sum(F.col("own") * F.col("own")).alias("after"))
+        whole = store(pairs.where(2 * F.col("after") > F.col("size") * F.col("size")).select("sig"), "whole-buckets")
+        done.append(hot.drop("size").join(whole, "sig"))
+        divided = parts.join(whole, "sig", "left_anti").select(F.col("part").alias("sig"), "id")
         rows = store(join.unresolved(divided), "divided")
     for part in done:
         rows = rows.unionByName(part)
@@ -373,9 +388,10 @@ def jaccard_components(
             break
     rows = store(join.unresolved(rows.select("id", "sig")), "open")
     rows = _divide(join, rows, bucket_rows)
-    other = rows.select("sig", F.col("id").alias("b"), F.col("root").alias("other_root"))
-    across = rows.join(other, "sig").where("id > b and root <> other_root").select(F.col("id").alias("a"), "b")
-    join.verify(across)
+    left = rows.withColumnRenamed("id", "a").join(join.info("a"), "a")
+    right = rows.select("sig", F.col("id").alias("b"), F.col("root").alias("other")).join(join.info("b"), "b")
+    across = left.join(right, "sig").where((F.col("a") > F.col("b")) & (F.col("root") != F.col("other")))
+    join.verify(across.where(_near("a", "b", percent)).select("a", "b"))
 
     roots = join.links.select(F.col("u").alias("rep"), F.col("v").alias("root"))
     return members.join(roots, "rep", "left").select(
