@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, partenum, pii, quality_mil, sharding
+from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, partenum, pii, quality_mil, sharding, toolcalls, topk_mih
 from riskframe.llm.common import held_out, store
 
 
@@ -28,6 +28,11 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _read(spark, sf, "embeddings")
+    return topk_mih.search(vectors, vectors.where("vec_id % 100 = 0"), TOP_K)
+
+
 def vocabulary() -> bpe_lexicon.Vocabulary:
     """The vocabulary file stays in the package that brings it; the driver reads it."""
     import public_tokenizers
@@ -48,6 +53,8 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+TOP_K = 10
+
 # Wanted shares of tokens per domain of ``labels``, and the most uses of a domain's supply.
 MIX_WEIGHTS = {"good": 0.86, "low": 0.08, "toxic": 0.06}
 MIX_REPEATS = 1.05
@@ -73,6 +80,47 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix.steps, p).alias("rate"))
 
 
+TOOL_SCHEMAS = {
+    "calculate": {"mode": {"type": "string", "required": True}, "values": {"type": "array", "required": True}},
+    "lookup": {"deep": {"type": "boolean", "required": True}, "key": {"type": "string", "required": True}},
+    "search": {
+        "limit": {"type": "integer", "required": True, "min": 1, "max": 15},
+        "query": {"type": "string", "required": True},
+    },
+}
+
+# Calls derived from user turns, in SQL that Spark and DuckDB read alike; ``_json`` quotes a string.
+_TOOL = "case turn % 3 when 0 then 'search' when 1 then 'lookup' else 'calculate' end"
+_ARGUMENTS = """
+    case turn % 3
+    when 0 then '{"query": ' || _json(text) || ', "limit": ' || cast(length(text) % 20 as string) || '}'
+    when 1 then '{"key": "' || md5(text) || '"' || case when length(text) % 5 = 0 then '' else ', "deep": true' end || '}'
+    else '{"values": [' || cast(length(text) as string) || ', 2.50], "mode": '
+         || case when length(text) % 4 = 0 then '7' else '"sum"' end || '}'
+    end
+"""
+
+
+def tool_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every user turn issues a call that depends on that of the user turn two before; an assistant
+    turn is the result of the call one turn before."""
+    quoted = "replace(replace(replace(text, '\\\\', '\\\\\\\\'), '\"', '\\\\\"'), '\\n', '\\\\n')"
+    arguments = _ARGUMENTS.replace("_json(text)", "'\"' || " + quoted + " || '\"'")
+    calls = messages.where("role = 'user'").selectExpr(
+        "conv_id", "turn", "concat('c', conv_id, '-', turn) as call_id",
+        "case when turn >= 2 then concat('c', conv_id, '-', turn - 2) end as parent_id",
+        f"{_TOOL} as tool", f"{arguments} as arguments",
+    )
+    results = messages.where("role = 'assistant'").selectExpr("conv_id", "turn", "concat('c', conv_id, '-', turn - 1) as call_id")
+    return calls, results
+
+
+def op5_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    messages = _read(spark, sf, "conversations")
+    calls, results = tool_calls(messages)
+    return toolcalls.message_lines(messages, toolcalls.link_calls(calls, results, TOOL_SCHEMAS))
+
+
 # Stands for a secret that a deployment takes from its own store.
 PII_KEY = "riskframe-example-key"
 
@@ -96,12 +144,74 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_topk": op2_topk,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
+    "op5_tool_calls": op5_tool_calls,
     "op6_pii": op6_pii,
     "op7_shards": op7_shards,
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_line_rules": op10_line_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_tool_calls": f"""
+        with recursive calls as (
+            select conv_id, turn, min(text) as text, min({_TOOL}) as tool from conversations where role = 'user'
+            group by conv_id, turn
+        ),
+        results as (select distinct conv_id, turn from conversations where role = 'assistant'),
+        chain as (
+            select conv_id, turn, 0 as depth from calls c
+            where not exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2)
+            union all
+            select c.conv_id, c.turn, p.depth + 1 from chain p join calls c on c.conv_id = p.conv_id and c.turn = p.turn + 2
+        ),
+        linked as (
+            select c.*, d.depth, r.turn is not null as answered, length(text) as n,
+                   concat('c', c.conv_id, '-', c.turn) as call_id,
+                   case when c.turn >= 2 then concat('c', c.conv_id, '-', c.turn - 2) end as parent_id,
+                   case c.turn % 3
+                   when 0 then case when length(text) % 20 between 1 and 15 then '' else 'range:limit' end
+                   when 1 then case when length(text) % 5 = 0 then 'missing:deep' else '' end
+                   else case when length(text) % 4 = 0 then 'type:mode' else '' end end as error
+            from calls c join chain d using (conv_id, turn) left join results r on r.conv_id = c.conv_id and r.turn = c.turn + 1
+        ),
+        checked as (
+            select *, case when depth = 0 and parent_id is not null then 'parent' || case when error = '' then '' else ',' end
+                      else '' end || error as errors
+            from linked
+        )
+        select m.conv_id, m.turn, m.role, coalesce(c.call_id, a.call_id, o.call_id) as call_id,
+               case when c.call_id is not null then case when c.answered then 'answered' else 'unanswered' end
+                    when a.call_id is not null then 'answered' when o.call_id is not null then 'orphan' else 'plain' end as status,
+               cast(coalesce(c.depth, a.depth) as int) as depth, c.errors,
+               '{{' || case when coalesce(a.call_id, o.call_id) is null then '' else '"answers":"' || coalesce(a.call_id, o.call_id) || '",' end
+               || case when c.call_id is null then '' else '"call":{{"arguments":' || case m.turn % 3
+                    when 0 then '{{"limit":' || (c.n % 20) || ',"query":' || to_json(c.text) || '}}'
+                    when 1 then '{{' || case when c.n % 5 = 0 then '' else '"deep":true,' end || '"key":"' || md5(c.text) || '"}}'
+                    else '{{"mode":' || case when c.n % 4 = 0 then '7' else '"sum"' end || ',"values":[' || c.n || ',2.5]}}' end
+                    || case when c.parent_id is null then '' else ',"depends_on":"' || c.parent_id || '"' end
+                    || ',"id":"' || c.call_id || '","tool":"' || c.tool || '","valid":' || (c.errors = '') || '}},' end
+               || '"content":' || to_json(m.text) || ',"role":"' || m.role || '","turn":' || m.turn || '}}' as line
+        from conversations m
+        left join checked c on m.role = 'user' and c.conv_id = m.conv_id and c.turn = m.turn
+        left join checked a on m.role = 'assistant' and a.conv_id = m.conv_id and a.turn = m.turn - 1
+        left join (select conv_id, turn, concat('c', conv_id, '-', turn - 1) as call_id from results) o
+            on m.role = 'assistant' and a.call_id is null and o.conv_id = m.conv_id and o.turn = m.turn
+    """,
+    "op2_topk": f"""
+        with codes as (
+            select vec_id, list_transform(embedding, lambda x: case when x >= 0 then 1 else 0 end) as code from embeddings
+        ),
+        pairs as (
+            select q.vec_id as query_id, c.vec_id as neighbor_id,
+                   cast(list_sum(list_transform(list_zip(q.code, c.code), lambda p: abs(p[1] - p[2]))) as int) as distance
+            from codes q join codes c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
+        ),
+        ranked as (
+            select *, cast(row_number() over (partition by query_id order by distance, neighbor_id) as int) as rank from pairs
+        )
+        select query_id, rank, neighbor_id, distance from ranked where rank <= {TOP_K}
+    """,
+}
