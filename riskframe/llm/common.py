@@ -71,8 +71,8 @@ def bounded_sample(df: DataFrame, id_col: str, rows: int, seed: int = 17) -> Dat
     ids count once each.
     """
     order = F.xxhash64(F.col(id_col), F.lit(seed))
-    ids = df.select(F.col(id_col), order.alias("_h")).where(F.col(id_col).isNotNull()).distinct()
-    chosen = ids.orderBy("_h", id_col).limit(rows).select(F.col(id_col).alias("_chosen"))
+    ids = df.select(F.col(id_col), order.alias("__order")).where(F.col(id_col).isNotNull()).distinct()
+    chosen = ids.orderBy("__order", id_col).limit(rows).select(F.col(id_col).alias("__chosen"))
     # ``rows`` bounds the broadcast side.
-    found = df.join(F.broadcast(chosen), F.col(id_col) == F.col("_chosen"), "left_semi")
+    found = df.join(F.broadcast(chosen), F.col(id_col) == F.col("__chosen"), "left_semi")
     return found.dropDuplicates([id_col])

@@ -212,16 +212,16 @@ def prediction(model: LanguageModel, text: Column) -> Column:
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (calibrated, 0 to 1) and ``rejected``."""
-    raw = docs.withColumn("_p", prediction(model, F.col(text_col)))
-    lettered = F.col("_p.lettered")
-    score = F.when(lettered, F.col("_p.found.score")).otherwise(F.lit(0.0))
+    raw = docs.withColumn("__prediction", prediction(model, F.col(text_col)))
+    lettered = F.col("__prediction.lettered")
+    score = F.when(lettered, F.col("__prediction.found.score")).otherwise(F.lit(0.0))
     return raw.withColumns(
         {
-            "lang_pred": F.when(lettered, F.col("_p.found.lang")).otherwise(F.lit(UNKNOWN)),
+            "lang_pred": F.when(lettered, F.col("__prediction.found.lang")).otherwise(F.lit(UNKNOWN)),
             "score": score,
             "rejected": ~lettered | (score < model.threshold),
         }
-    ).drop("_p")
+    ).drop("__prediction")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -241,19 +241,19 @@ def _filled(text: Column, found: Column, key: str, invert: bool) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", invert: bool = False) -> DataFrame:
     """``docs`` with the values in ``text_col`` replaced; all other columns unchanged."""
-    found = docs.withColumn("_found", found_values(F.col(text_col)))
-    return found.withColumn(text_col, _filled(F.col(text_col), F.col("_found"), key, invert)).drop("_found")
+    found = docs.withColumn("__found", found_values(F.col(text_col)))
+    return found.withColumn(text_col, _filled(F.col(text_col), F.col("__found"), key, invert)).drop("__found")
 
 
 def pseudonymise_counted(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """As ``pseudonymise``, with ``n_<kind>`` per kind."""
-    found = docs.withColumn("_found", found_values(F.col(text_col)))
+    found = docs.withColumn("__found", found_values(F.col(text_col)))
 
     def count(kind: str) -> Column:
-        return F.coalesce(F.size(F.filter("_found", lambda f: f["kind"] == kind)), F.lit(0))
+        return F.coalesce(F.size(F.filter("__found", lambda f: f["kind"] == kind)), F.lit(0))
 
     return (
         found.withColumns({f"n_{k}": count(k) for k in KINDS})
-        .withColumn(text_col, _filled(F.col(text_col), F.col("_found"), key, False))
-        .drop("_found")
+        .withColumn(text_col, _filled(F.col(text_col), F.col("__found"), key, False))
+        .drop("__found")
     )
