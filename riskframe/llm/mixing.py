@@ -184,6 +184,8 @@ def fit(
     than ``repeats`` times its supply; domains without supply are left out of that bound.
     """
     n = len(domains)
+    if not n:
+        return Mix([], {})
     t, p = F.col("tokens").cast("double"), [F.col("p")[j] for j in range(n)]
 
     def totals(*columns: Column) -> np.ndarray:
