@@ -50,7 +50,7 @@ BROADCAST_IDS = 100_000
 # Buckets above this size are divided before their pairs are compared.
 BUCKET_ROWS = 512
 DIVISIONS = 3
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 
 _U = np.uint64
 
