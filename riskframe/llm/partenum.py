@@ -355,7 +355,8 @@ def jaccard_components(
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     members = store(docs.select("id", _digest(F.col("text"), n).alias("d")).select("id", "d.*"), "sets")
     named = members.where("n > 0 and id is not null")
-    classes = named.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    # Stored, so that the join below deals out rows anew and Spark can split a set that many share.
+    classes = store(named.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "classes")
     members = store(
         members.join(classes, ["n", "d1", "d2"], "left").select("id", "n", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("rep")).alias("rep")),
         "members",
