@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordering import prefix_sum
+from riskframe.session import cut_lineage
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -58,9 +59,11 @@ def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) ->
     )
 
 
-def average_precision(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Sum of recall step times precision."""
-    curve = pr_curve(df, score, label, by)
+def average_precision(
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), curve: DataFrame | None = None
+) -> DataFrame:
+    """Sum of recall step times precision; ``curve`` is a PR curve computed before."""
+    curve = pr_curve(df, score, label, by) if curve is None else curve
     step = _ratio(F.col("pos"), F.col("tp_total"))
     return curve.groupBy(*by).agg(F.sum(step * F.col("precision")).alias("average_precision"))
 
@@ -88,11 +91,12 @@ def _f1(precision: Column, recall: Column) -> Column:
     return F.lit(2.0) * precision * recall / (precision + recall + F.lit(1e-8))
 
 
-def best_threshold(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+def best_threshold(
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), curve: DataFrame | None = None
+) -> DataFrame:
     """Threshold of the highest F1, the smallest one on ties, with its counts."""
-    curve = pr_curve(df, score, label, by).withColumn(
-        "f1", _f1(F.col("precision"), F.col("recall"))
-    )
+    curve = pr_curve(df, score, label, by) if curve is None else curve
+    curve = curve.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
     fields = ["f1", "threshold", "precision", "recall", "tp", "flagged", "tp_total", "flagged_total"]
     best = F.max_by(
         F.struct(*fields), F.struct(F.col("f1"), (-F.col("threshold")).alias("t"))
@@ -130,8 +134,9 @@ def model_comparison(df: DataFrame, scores: Sequence[str], label: str) -> DataFr
             )
         ),
     )
-    ap = average_precision(long, "score", label, ["model"])
-    best = best_threshold(long, "score", label, ["model"])
+    curve = cut_lineage(pr_curve(long, "score", label, ["model"]), "curve")
+    ap = average_precision(long, "score", label, ["model"], curve)
+    best = best_threshold(long, "score", label, ["model"], curve)
     return best.join(ap, "model").select(
         "model",
         "average_precision",

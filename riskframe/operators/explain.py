@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import factorial
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.models import PlattModel
 from riskframe.session import scratch_path
 
 
@@ -150,7 +151,25 @@ def tree_attribution(
 ) -> DataFrame:
     """Path-dependent Shapley values of the boosted margin for every row: ``id``, one
     column per feature, ``base``. Row values plus base equal the margin."""
-    leaves = tree_leaves(model, df)
+    return _attribution(df, tree_leaves(model, df), cols, id_col)
+
+
+def calibrated_attribution(df: DataFrame, model: PlattModel, cols: Sequence[str], id_col: str) -> DataFrame:
+    """The same for the mean of a calibrated model's margins over its folds.
+
+    A fold's margin is slope times its booster's raw margin plus an intercept. Shapley values are
+    additive, so the leaves of all folds, scaled by slope over folds, explain the mean.
+    """
+    n = len(model.folds)
+    leaves = [
+        replace(leaf, value=leaf.value * slope / n)
+        for fold, slope, _ in model.folds
+        for leaf in tree_leaves(fold.stages[-1], df)
+    ]
+    return _attribution(df, leaves, cols, id_col)
+
+
+def _attribution(df: DataFrame, leaves: list[Leaf], cols: Sequence[str], id_col: str) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     base = base_margin(leaves)
     cols = list(cols)

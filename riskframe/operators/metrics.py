@@ -4,8 +4,10 @@ quantiles where a quantile is asked for)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,14 +131,41 @@ def mean_differences(df: DataFrame, cols: Sequence[str], label: str) -> DataFram
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Lower triangle of the Pearson matrix, one row per pair."""
-    pairs = [(b, a) for a, b in combinations(cols, 2)]
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    """Lower triangle of the Pearson matrix, one row per pair.
+
+    Tasks add up products of their rows, shifted by rough means, in one matrix each; a matrix is
+    one row per pair, so what is summed over tasks stays small. A constant column of ones gives
+    counts and sums. Rows with a null or NaN are left out.
+    """
+    cols = list(cols)
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    rough = data.agg(*[F.avg(nan_to_null(F.col(c))).alias(c) for c in cols]).first()
+    shift = np.array([m or 0.0 for m in rough], float)
+    low, high = np.triu_indices(len(cols) + 1)
+
+    def products(batches):
+        total = np.zeros((len(cols) + 1, len(cols) + 1))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - shift
+            x = x[~np.isnan(x).any(axis=1)]
+            x = np.hstack([x, np.ones((len(x), 1))])
+            total += x.T @ x
+        yield pd.DataFrame({"i": high, "j": low, "s": total[low, high]})
+
+    sums = data.mapInPandas(products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    # One row per pair of columns: (k + 1)(k + 2) / 2 numbers.
+    total = np.zeros((len(cols) + 1, len(cols) + 1))
+    for r in sums.collect():
+        total[r.i, r.j] = total[r.j, r.i] = r.s
+    count, by_column = total[-1, -1], total[:-1, -1]
+    centred = total[:-1, :-1] - np.outer(by_column, by_column) / max(count, 1)
+    deviation = np.sqrt(np.diag(centred))
     rows = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("corr"))
-        for a, b in pairs
+        (cols[i], cols[j], float(centred[i, j] / (deviation[i] * deviation[j])) if deviation[i] * deviation[j] else None)
+        for i in range(len(cols))
+        for j in range(i)
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 def label_summary(df: DataFrame, label: str) -> DataFrame:

@@ -108,13 +108,10 @@ def fit_reconstruction(normal: DataFrame, cols: Sequence[str], k: int = 8) -> Re
 
 def stable_order(df: DataFrame, id_col: str, name: str) -> DataFrame:
     """A written table whose partitions do not depend on the input's layout; MLlib's
-    row sampling depends on partitioning. Small tables take few partitions, because every
-    tree level is a job over all of them."""
-    stored = cut_lineage(df, f"{name}-rows")
-    wanted = -(-max(stored.count(), 1) // ROWS_PER_PARTITION)
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = stored.repartition(min(wanted, most), id_col).sortWithinPartitions(id_col)
-    return cut_lineage(ordered, name)
+    row sampling depends on partitioning. Partitions grow with the rows; small tables take
+    few, because every tree level is a job over all of them."""
+    wanted = -(-max(df.count(), 1) // ROWS_PER_PARTITION)
+    return cut_lineage(df.repartition(wanted, id_col).sortWithinPartitions(id_col), name)
 
 
 def gbt_estimator(

@@ -41,7 +41,8 @@ def rfm_table(clean: DataFrame, reference: Column | None = None) -> DataFrame:
     """One row per customer. ``reference`` defaults to the last purchase plus one day.
 
     The distinct invoice count is aggregated per (customer, invoice) before anything
-    moves to the customer, so one huge customer does not make one huge task.
+    moves to the customer, so one huge customer does not make one huge task. Money is
+    summed at six decimals: exact for prices of up to six, in any order of rows.
     """
     if reference is None:
         reference = clean.agg(
@@ -52,7 +53,7 @@ def rfm_table(clean: DataFrame, reference: Column | None = None) -> DataFrame:
         .agg(
             F.max("invoice_ts").alias("_last"),
             F.count_distinct("invoice").cast("double").alias("frequency"),
-            F.sum(F.col("total_price").cast("decimal(18,2)")).cast("double").alias("monetary"),
+            F.sum(F.col("total_price").cast("decimal(30,6)")).cast("double").alias("monetary"),
         )
         .withColumn("_ref", reference)
         .withColumn("recency", whole_days(F.col("_ref"), F.col("_last")).cast("double"))
@@ -236,19 +237,18 @@ def silhouette_squared(assigned: DataFrame, id_col: str, cols: Sequence[str]) ->
         *[F.sum(c).alias(f"s_{c}") for c in cols],
     )
     table = stats.agg(F.collect_list(F.struct(*stats.columns))).scalar()
-    rows = assigned.select(
-        F.col(id_col).alias("id"), F.col("cluster_id").alias("own"), *cols, norm.alias("_x2"),
-        F.explode(table).alias("k"),
-    )
-    cross = sum((F.col(c) * F.col("k")[f"s_{c}"] for c in cols), F.lit(0.0))
-    per_row = rows.select(
-        "id",
-        "own",
-        F.col("k.cluster_id").alias("cluster_id"),
-        F.col("k.n").alias("n"),
-        (F.col("k.n") * F.col("_x2") - 2 * cross + F.col("k.q")).alias("total"),
-    )
-    return _silhouette(per_row)
+    rows = assigned.select(F.col("cluster_id").alias("own"), *cols, norm.alias("x2"), table.alias("clusters"))
+
+    def total(k: Column) -> Column:
+        cross = sum((F.col(c) * k[f"s_{c}"] for c in cols), F.lit(0.0))
+        return k["n"] * F.col("x2") - 2 * cross + k["q"]
+
+    own = F.filter("clusters", lambda k: k["cluster_id"] == F.col("own"))[0]
+    others = F.filter("clusters", lambda k: k["cluster_id"] != F.col("own"))
+    a = F.when(own["n"] > 1, total(own) / (own["n"] - 1))
+    b = F.array_min(F.transform(others, lambda k: total(k) / k["n"]))
+    value = F.when(own["n"] == 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return rows.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))
 
 
 def _silhouette(per_row: DataFrame) -> DataFrame:

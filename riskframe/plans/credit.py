@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.operators import credit, explain, impute, metrics, models, quality
+from riskframe.operators import credit, explain, impute, metrics, models, quality, sampling
 from riskframe.plans.fixtures import view
 from riskframe.plans.shape import rounded, sql
+from riskframe.session import cut_lineage
 from riskframe.sources.payload import APPLICANT_FIELDS, explode_payload
 
 LABEL = "serious_dlqin2yrs"
@@ -126,19 +127,23 @@ def credit_gbt(spark, sf):
     return rounded(models.score_with(model, df).select("applicant_id", "p"))
 
 
+def _calibrated(spark, sf):
+    """The model of the training rows, and the test rows, which no fold has seen."""
+    df = cut_lineage(sampling.stratified_split(_features(spark, sf), "applicant_id", LABEL), "applicants")
+    train, test = (df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    return models.fit_platt(train, credit.FEATURES, "applicant_id", LABEL, **_trees(3)), test
+
+
 def platt_calibration(spark, sf):
-    df = _features(spark, sf)
-    model = models.fit_platt(df, credit.FEATURES, "applicant_id", LABEL, **_trees(3))
-    return rounded(model.score(df).select("applicant_id", "pd"))
+    model, test = _calibrated(spark, sf)
+    return rounded(model.score(test).select("applicant_id", "pd"))
 
 
 def credit_scores(spark, sf):
     """Calibrated probability, score, grade, decision and the top three factors."""
-    df = _features(spark, sf)
-    calibrated = models.fit_platt(df, credit.FEATURES, "applicant_id", LABEL, **_trees(3))
-    scored = credit.score_scale(calibrated.score(df), "pd")
-    booster = calibrated.folds[0][0].stages[-1]
-    phi = explain.tree_attribution(df, booster, credit.FEATURES, "applicant_id")
+    calibrated, test = _calibrated(spark, sf)
+    scored = credit.score_scale(calibrated.score(test), "pd")
+    phi = explain.calibrated_attribution(test, calibrated, credit.FEATURES, "applicant_id")
     factors = phi.select(
         F.col("id").alias("applicant_id"),
         explain.top_factors({c: F.col(c) for c in credit.FEATURES}).alias("top_factors"),

@@ -136,18 +136,32 @@ def _stream(spark, sf) -> DataFrame:
     return view_on(spark, "scored", events=events)
 
 
+def _split_stream(spark, sf):
+    rules = {"p": quality.within("p", 0.01, 1.0), "age": quality.within("age", 18, 80)}
+    return scoring.split_stream(_stream(spark, sf), rules, scoring.label_scores, "stream")
+
+
 def stream_scores(spark, sf):
     """The event stream through validation and scoring, drained to a table."""
-    rules = {"p": quality.within("p", 0.01, 1.0), "age": quality.within("age", 18, 80)}
-    stream = scoring.score_stream(_stream(spark, sf), rules, scoring.label_scores)
-    out = scoring.run_to_table(stream.select("id", "p", "flag", "risk_label"), "stream")
-    return rounded(out)
+    return rounded(_split_stream(spark, sf)[0].select("id", "p", "flag", "risk_label"))
+
+
+def stream_rejected(spark, sf):
+    """The rows that the same stream rejects, with the rules they break."""
+    rejected = _split_stream(spark, sf)[1]
+    return rejected.select("id", F.array_join("violations", ",").alias("violations"))
+
+
+def stream_unique_ids(spark, sf):
+    """Ids left after repeats within the watermark are dropped."""
+    first = scoring.first_per_id(_stream(spark, sf), "ts", "user_id")
+    return scoring.run_to_table(first.select("user_id"), "unique").distinct()
 
 
 def stream_summary(spark, sf):
-    """Hourly counts per label of the windows the watermark has closed."""
+    """Hourly counts per label; every event counts, also in windows that are still open."""
     labelled = scoring.label_scores(_stream(spark, sf), "p2")
-    out = scoring.run_to_table(scoring.windowed_summary(labelled, "ts", "risk_label"), "hourly")
+    out = scoring.summary_to_table(scoring.windowed_summary(labelled, "ts", "risk_label"), "hourly")
     return out.select(
         F.col("window_start").cast("string").alias("window_start"), "risk_label", "n"
     )
@@ -160,7 +174,7 @@ QUERIES = {
         average_precision, roc_auc, ks_statistic, best_threshold, threshold_gain,
         model_comparison, brier_score, calibration_curve, confusion_matrix,
         classification_report, error_cost, outcome_profile, density_histogram, ecdf, box_stats,
-        latest_run, best_step, stream_scores, stream_summary,
+        latest_run, best_step, stream_scores, stream_rejected, stream_unique_ids, stream_summary,
     )
 }
 
@@ -345,11 +359,17 @@ from scored where p between 0.01 and 1 and age between 18 and 80""",
         ["p"],
         _views,
     ),
+    "stream_rejected": sql(
+        """select id, concat_ws(',', case when coalesce(p between 0.01 and 1, false) then null else 'p' end,
+case when coalesce(age between 18 and 80, false) then null else 'age' end) as violations
+from scored where not (coalesce(p between 0.01 and 1, false) and coalesce(age between 18 and 80, false))""",
+        views=_views,
+    ),
+    "stream_unique_ids": sql("select distinct user_id from scored", views=_views),
     "stream_summary": sql(
         """select cast(date_trunc('hour', ts) as varchar) as window_start,
 case when p2 >= 0.9 then 'HIGH' when p2 >= 0.5 then 'MEDIUM' else 'LOW' end as risk_label, count(*) as n
 from scored
-where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 10 minute from scored)
 group by all""",
         views=_views,
     ),

@@ -50,7 +50,7 @@ def describe_overall(spark, sf):
 
 
 def describe_by_class(spark, sf):
-    return rounded(metrics.describe(_raw(spark, sf), ["v1", "v2", "amount"], [LABEL]))
+    return rounded(metrics.describe(_raw(spark, sf), [*TRANSACTION_FEATURES], [LABEL]))
 
 
 def mean_diff_rank(spark, sf):
@@ -58,12 +58,12 @@ def mean_diff_rank(spark, sf):
 
 
 def corr_pairs(spark, sf):
-    return rounded(metrics.correlations(_raw(spark, sf), V[:14]))
+    return rounded(metrics.correlations(_raw(spark, sf), [*TRANSACTION_FEATURES]))
 
 
 def winsorize(spark, sf):
-    cols = ["v1", "v2", "v3"]
-    return rounded(impute.winsorize(_raw(spark, sf), cols, 0.01, 0.99).select(ID, *cols))
+    cols = [*TRANSACTION_FEATURES]
+    return rounded(impute.winsorize(cut_lineage(_valid(spark, sf), "valid"), cols, 0.01, 0.99).select(ID, *cols))
 
 
 def standardize(spark, sf):
@@ -233,13 +233,13 @@ _diffs = " union all ".join(
     for c in V
 )
 _corrs = " union all ".join(
-    f"select '{V[i]}' as a, '{V[j]}' as b, corr({V[i]}, {V[j]}) as corr from transactions"
-    for i in range(14)
-    for j in range(i)
+    f"select '{a}' as a, '{b}' as b, corr({a}, {b}) as corr from valid"
+    for i, a in enumerate(TRANSACTION_FEATURES)
+    for b in TRANSACTION_FEATURES[:i]
 )
 _winsor = ", ".join(
-    f"least(greatest({c}, (select quantile_cont({c}, 0.01) from transactions)), (select quantile_cont({c}, 0.99) from transactions)) as {c}"
-    for c in ("v1", "v2", "v3")
+    f"least(greatest({c}, (select quantile_cont({c}, 0.01) from valid)), (select quantile_cont({c}, 0.99) from valid)) as {c}"
+    for c in TRANSACTION_FEATURES
 )
 _all30 = [*V, "amount", "time_s"]
 _scaled30 = ", ".join(
@@ -305,15 +305,15 @@ from c""",
         _views,
     ),
     "describe_overall": sql(_describe(TRANSACTION_FEATURES), _STATS, _views),
-    "describe_by_class": sql(_describe(["v1", "v2", "amount"], "class"), _STATS, _views),
+    "describe_by_class": sql(_describe(TRANSACTION_FEATURES, "class"), _STATS, _views),
     "mean_diff_rank": sql(
         f"""select feature, abs_diff,
 cast(row_number() over (order by abs_diff desc, feature) as int) as rank from ({_diffs}) t""",
         ["abs_diff"],
         _views,
     ),
-    "corr_pairs": sql(_corrs, ["corr"], _views),
-    "winsorize": sql(f"select txn_id, {_winsor} from transactions", ["v1", "v2", "v3"], _views),
+    "corr_pairs": sql(f"with {_VALID} {_corrs}", ["corr"], _views),
+    "winsorize": sql(f"with {_VALID} select txn_id, {_winsor} from valid", [*TRANSACTION_FEATURES], _views),
     "standardize": sql(
         f"""with {_VALID}
 select txn_id, (time_s - (select avg(time_s) from valid)) / (select stddev_pop(time_s) from valid) as time_s,

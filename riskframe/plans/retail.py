@@ -209,7 +209,7 @@ rfm_all as (
          cast(floor((epoch((select max(invoice_ts) + interval 1 day from clean))
                      - epoch(max(invoice_ts))) / 86400) as double) as recency,
          cast(count(distinct invoice) as double) as frequency,
-         cast(sum(cast(total_price as decimal(18,2))) as double) as monetary
+         sum(total_price) as monetary
   from clean group by customer_id
 )"""
 RFM_CTE = f"""{RFM_ALL},

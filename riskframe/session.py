@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from collections.abc import Sequence
@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_made: dict[str, SparkSession] = {}
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Rows of a few narrow columns: some megabytes at most.
 BROADCAST_ROWS = 100_000
@@ -18,8 +19,8 @@ BROADCAST_ROWS = 100_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. A machine-local folder is
-    made only when the session itself runs on one machine and names none.
+    A cluster names it in ``spark.checkpoint.dir``. A session on one machine that names none, as
+    in tests, gets a folder in its warehouse.
     """
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
         _CHECKPOINT_KEY, None
@@ -28,14 +29,34 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="riskframe-")
+    made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     spark.conf.set(_CHECKPOINT_KEY, made)
     return made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, deleted when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of a session, once its results are written elsewhere."""
+    context = spark.sparkContext
+    for path in [p for p, s in _made.items() if s is spark]:
+        del _made[path]
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _delete_all() -> None:
+    for spark in {id(s): s for s in _made.values()}.values():
+        try:
+            delete_scratch(spark)
+        except Exception:  # the session may be gone already; nothing more can be done
+            continue
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

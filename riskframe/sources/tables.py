@@ -11,8 +11,12 @@ from pyspark.sql import types as T
 from riskframe.functions.parse import nan_to_null
 from riskframe.operators.loans import RAW_COLUMNS
 from riskframe.operators.quality import require_columns
+from riskframe.session import cut_lineage
 from riskframe.sources import schemas
 
+# Equal rows that one row of a count stands for when they are numbered.
+EQUAL_ROWS = 10_000
+
 
 def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
     """Column names of a CSV file or folder; reads the header only."""
@@ -58,8 +62,25 @@ def _types(schema: T.StructType, only: Sequence[str] | None = None) -> dict[str,
     return {f.name: f.dataType for f in schema if only is None or f.name in only}
 
 
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """Adds a unique id made of a hash of the row and its number among equal rows.
+
+    It depends on values alone, however the file is split. Equal rows are counted before they
+    move and numbered from their count, in pieces that Spark may spread, so a row that is repeated
+    without end does not make one task. The result is written once for all later steps.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    size = F.lit(EQUAL_ROWS)
+    pieces = counted.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / size)))).hint("rebalance")
+    numbers = F.sequence(F.col("__piece") * size + 1, F.least("__n", (F.col("__piece") + 1) * size))
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("null")) for c in columns])
+    rows = pieces.withColumn("__number", F.explode(numbers)).withColumn(name, F.xxhash64(F.md5(text), "__number"))
+    return cut_lineage(rows.select(name, *columns), "identified")
+
+
 def read_card_transactions(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, _types(schemas.CARD_SCHEMA), schemas.CARD_HEADERS)
+    return with_row_id(read_csv(spark, path, _types(schemas.CARD_SCHEMA), schemas.CARD_HEADERS), "txn_id")
 
 
 def read_retail(spark: SparkSession, path: str, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
@@ -77,17 +98,19 @@ def read_retail(spark: SparkSession, path: str, timestamp_format: str = "yyyy-MM
 
 
 def read_applicants(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, _types(schemas.APPLICANT_SCHEMA), schemas.APPLICANT_HEADERS)
+    """Applicants with ``applicant_id``, which the file does not hold."""
+    raw = read_csv(spark, path, _types(schemas.APPLICANT_SCHEMA), schemas.APPLICANT_HEADERS)
+    return with_row_id(raw, "applicant_id")
 
 
 def read_loans(spark: SparkSession, path: str) -> DataFrame:
-    """The 16 loan columns of a wide CSV."""
+    """The 16 loan columns of a wide CSV, with ``loan_id``."""
     text = {
         "loan_status", "issue_d", "last_pymnt_d", "term", "int_rate", "grade", "emp_length",
         "revol_util",
     }
     types = {c: T.StringType() if c in text else T.DoubleType() for c in RAW_COLUMNS}
-    return read_csv(spark, path, types)
+    return with_row_id(read_csv(spark, path, types), "loan_id")
 
 
 def write_split(df: DataFrame, path: str, label: str) -> None:

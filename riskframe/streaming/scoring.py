@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.scores import at_or_above, fraud_label
-from riskframe.operators.quality import split_valid
+from riskframe.operators.quality import split_valid, with_violations
 from riskframe.session import scratch_path
 
 
@@ -30,6 +30,34 @@ def score_stream(
     return score(valid)
 
 
+def split_stream(
+    df: DataFrame, rules: Mapping[str, Column], score: Callable[[DataFrame], DataFrame], name: str
+) -> tuple[DataFrame, DataFrame]:
+    """Drain a stream into two tables: scored valid rows, and rejected rows with ``violations``.
+
+    Each micro-batch is checked once and written to both sinks, so no row is lost.
+    """
+    spark = df.sparkSession
+    valid, rejected = scratch_path(spark, name), scratch_path(spark, f"{name}-rejected")
+
+    def checked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        marked = with_violations(rows, rules)
+        return score(marked.where(F.size("violations") == 0).drop("violations")), marked.where(F.size("violations") > 0)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        kept, lost = checked(rows)
+        # One folder per batch, overwritten when a batch is repeated after a failure.
+        kept.write.mode("overwrite").parquet(f"{valid}/batch={batch}")
+        lost.write.mode("overwrite").parquet(f"{rejected}/batch={batch}")
+
+    _drain(df.writeStream.foreachBatch(write), name)
+    empty = spark.createDataFrame([], df.schema)
+    return tuple(
+        spark.read.schema(side.schema).parquet(f"{path}/batch=*")
+        for side, path in zip(checked(empty), (valid, rejected), strict=True)
+    )
+
+
 def label_scores(df: DataFrame, probability: str = "p", threshold: float = 0.5) -> DataFrame:
     return df.withColumn("flag", at_or_above(F.col(probability), threshold)).withColumn(
         "risk_label", fraud_label(F.col(probability))
@@ -66,17 +94,33 @@ def first_per_id(df: DataFrame, ts: str, id_col: str, late: str = "10 minutes")
     return _event_time(df, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark([id_col])
 
 
+def _drain(writer, name: str) -> None:
+    spark = writer._spark
+    state = scratch_path(spark, f"{name}-state")
+    writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Drain everything available into Parquet under the shared folder and read it back."""
     spark = stream.sparkSession
     out = scratch_path(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, f"{name}-state"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _drain(stream.writeStream.format("parquet").option("path", out).outputMode("append"), name)
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def summary_to_table(summary: DataFrame, name: str) -> DataFrame:
+    """Drain a windowed summary with the windows that are still open.
+
+    Every micro-batch writes the rows it changed; a count only grows, so the largest one of a
+    window and label is its latest.
+    """
+    spark = summary.sparkSession
+    out = scratch_path(spark, name)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    _drain(summary.writeStream.outputMode("update").foreachBatch(write), name)
+    changes = spark.read.schema(summary.schema).parquet(f"{out}/batch=*")
+    keys = [c for c in summary.columns if c != "n"]
+    return changes.groupBy(*keys).agg(F.max("n").alias("n"))

@@ -122,3 +122,14 @@ def test_training_table_keeps_synthetic_rows_out_of_the_holdout(spark, labelled)
     assert table.where("holdout and row_id like '%-%'").count() == 0
     assert table.where("row_id like '%-%'").count() > 0
     assert table.where("row_id not like '%-%'").count() == 400
+
+
+def test_calibrated_factors_cover_all_folds(spark, labelled):
+    model = models.fit_platt(labelled, COLS, "id", "y", folds=3, trees=2, depth=2, row_share=1.0)
+    phi = explain.calibrated_attribution(labelled, model, COLS, "id").collect()
+    mean = dict.fromkeys((r["id"] for r in phi), 0.0)
+    for fold, slope, _ in model.folds:
+        for r in fold.transform(labelled).select("id", models.raw_margin().alias("m")).collect():
+            mean[r["id"]] += slope * r["m"] / 3
+    for r in phi:
+        assert abs(sum(r[c] for c in COLS) + r["base"] - mean[r["id"]]) < 1e-9

@@ -196,3 +196,22 @@ def test_results_do_not_depend_on_row_order(spark, scores):
     a = curves.pr_curve(scores.repartition(1), "p", "y").orderBy("threshold").collect()
     b = curves.pr_curve(scores.orderBy(F.rand(1)).repartition(5), "p", "y").orderBy("threshold").collect()
     assert a == b
+
+
+def test_money_is_summed_at_full_precision(spark):
+    from datetime import datetime
+
+    lines = [("c", "i", datetime(2024, 1, 1), 1.0, p) for p in (0.004, 0.004, 0.004, 0.001)]
+    clean = spark.createDataFrame(lines, "customer_id string, invoice string, invoice_ts timestamp, quantity double, price double")
+    clean = clean.withColumn("total_price", F.col("quantity") * F.col("price"))
+    assert rfm.rfm_table(clean).first()["monetary"] == 0.013
+
+
+def test_correlations_equal_numpy_and_skip_incomplete_rows(spark):
+    x = np.random.default_rng(2).normal(1e6, 1.0, (300, 3))
+    x[:, 2] = x[:, 0] * 2 + 5
+    rows = [[float(v) for v in r] for r in x] + [[None, 1.0, 1.0], [float("nan"), 1.0, 2.0]]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = {(r["a"], r["b"]): r["corr"] for r in metrics.correlations(df, ["a", "b", "c"]).collect()}
+    want = np.corrcoef(x.T)
+    assert np.allclose([got["b", "a"], got["c", "a"], got["c", "b"]], [want[1, 0], want[2, 0], want[2, 1]], atol=1e-9)

@@ -7,6 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
+from riskframe.plans import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
@@ -23,7 +24,8 @@ SPREAD = [
 
 
 def test_every_query_has_sql_unless_it_is_a_fitted_model():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(registry.QUERIES) - set(registry.ORACLES) == ROWS_ONLY
+    assert set(registry.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -118,3 +118,47 @@ def test_repeated_ids_pass_once(spark, tmp_path):
     stream = scoring.read_stream(spark, path, spark.read.parquet(path).schema)
     out = scoring.run_to_table(scoring.first_per_id(stream, "ts", "id"), "d")
     assert sorted(r["id"] for r in out.collect()) == [1, 2]
+
+
+def test_rejected_rows_of_a_stream_are_kept(spark, tmp_path):
+    path = str(tmp_path / "in")
+    events(spark, path, [(1, datetime(2024, 1, 1, 0, 5), 0.95), (2, datetime(2024, 1, 1, 0, 6), None)])
+    events(spark, path, [(3, datetime(2024, 1, 1, 0, 7), 0.6), (4, datetime(2024, 1, 1, 0, 8), 1.5)])
+    stream = scoring.read_stream(spark, path, spark.read.parquet(path).schema, maxFilesPerTrigger=1)
+    rules = {"p": quality.within("p", 0.0, 1.0)}
+    valid, rejected = scoring.split_stream(stream, rules, scoring.label_scores, "split")
+    assert sorted(r["id"] for r in valid.collect()) == [1, 3]
+    assert sorted((r["id"], r["violations"]) for r in rejected.collect()) == [(2, ["p"]), (4, ["p"])]
+
+
+def test_a_summary_holds_open_windows(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for day in (1, 2, 3):
+        events(spark, path, [(day, datetime(2024, 1, day, 0, m), 0.95) for m in range(4)])
+    stream = scoring.read_stream(spark, path, spark.read.parquet(path).schema, maxFilesPerTrigger=1)
+    out = scoring.summary_to_table(scoring.windowed_summary(scoring.label_scores(stream), "ts", "risk_label"), "open")
+    assert sorted(r["n"] for r in out.collect()) == [4, 4, 4]
+
+
+def test_row_ids_depend_on_values_alone(spark, monkeypatch):
+    monkeypatch.setattr(tables, "EQUAL_ROWS", 3)
+    rows = [(1, 0.5, None)] * 10 + [(2, None, "a"), (2, None, "b")]
+    df = spark.createDataFrame(rows, "a int, b double, c string")
+    once, again = (tables.with_row_id(df.repartition(n), "row_id").collect() for n in (1, 5))
+    assert len({r["row_id"] for r in once}) == 12 and once[0].asDict().keys() == {"row_id", "a", "b", "c"}
+    assert {r["row_id"] for r in once} == {r["row_id"] for r in again}
+
+
+def test_files_without_ids_reach_the_operators(spark, tmp_path):
+    from riskframe.operators import loans
+
+    path = tmp_path / "loans.csv"
+    values = {
+        "loan_status": "Charged Off", "issue_d": "Jan-2015", "last_pymnt_d": "Jan-2016", "term": " 36 months",
+        "int_rate": "12.5%", "grade": "B", "emp_length": "3 years", "revol_util": "30%",
+    }
+    lines = [",".join(values.get(c, "100") for c in loans.RAW_COLUMNS)] * 2
+    path.write_text("\n".join([",".join(loans.RAW_COLUMNS), *lines]) + "\n")
+    read = tables.read_loans(spark, str(path))
+    assert read.select("loan_id").distinct().count() == 2
+    assert loans.survival_table(read).count() == 2
