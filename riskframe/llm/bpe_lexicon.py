@@ -38,14 +38,20 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import discard, store
 from riskframe.session import shared_dir
 
 WORD_END = "</w>"
 COUNTED_AT_ONCE = 500_000
-CACHED_WORDS = 300_000
-CHUNK_CHARS = 1 << 20
+CACHED_WORDS = 200_000
+CHUNK_CHARS = 1 << 19
+LONGEST_WORD = 100
+# Frequencies from here on are one class: so frequent words are few.
+HIGHEST_COUNT = 1_000_000
 SHORT_WORD = 40
-NO_MERGE = (1 << 60, -1)
+ID_BITS = 24
+NEW_ID = (1 << ID_BITS) - 1
+NO_MERGE = 1 << 62
 
 
 def _byte_letters() -> list[str]:
@@ -107,7 +113,8 @@ class Merger:
         self.inner = [first[c] for c in letters]
         self.last = [first[c + WORD_END] for c in letters]
         rows = vocabulary.merges.tolist()
-        self.ranks = {(a, b): (rank, new) for rank, (a, b, new) in reversed(list(enumerate(rows)))}
+        # Rank and merged id of a pair in one number that orders by rank.
+        self.ranks = {(a, b): rank << ID_BITS | new for rank, (a, b, new) in reversed(list(enumerate(rows)))}
         self.special = vocabulary.special
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.pattern, self.wide_pattern = word_pattern(0xFFFF), word_pattern()
@@ -138,15 +145,20 @@ class Merger:
         return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        """Look at all pairs before every merge."""
+        """The lowest of all pairs each time; a merge changes the two pairs beside it."""
         get = self.ranks.get
-        while len(ids) > 1:
-            found = [get(pair, NO_MERGE) for pair in zip(ids, ids[1:])]  # noqa: B905
+        found = [get(pair, NO_MERGE) for pair in zip(ids, ids[1:])]  # noqa: B905
+        while found:
             best = min(found)
-            if best is NO_MERGE:
+            if best == NO_MERGE:
                 break
             i = found.index(best)
-            ids[i : i + 2] = [best[1]]
+            ids[i : i + 2] = [best & NEW_ID]
+            del found[i]
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), NO_MERGE)
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), NO_MERGE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -156,8 +168,8 @@ class Merger:
         ranks, queue = self.ranks, []
         for i in range(n - 1):
             found = ranks.get((ids[i], ids[i + 1]))
-            if found:
-                queue.append((found[0], i, ids[i], ids[i + 1], found[1]))
+            if found is not None:
+                queue.append((found >> ID_BITS, i, ids[i], ids[i + 1], found & NEW_ID))
         heapq.heapify(queue)
         while queue:
             _, i, left, right, new = heapq.heappop(queue)
@@ -169,13 +181,13 @@ class Merger:
             if after[j] < n:
                 before[after[j]] = i
                 found = ranks.get((new, ids[after[j]]))
-                if found:
-                    heapq.heappush(queue, (found[0], i, new, ids[after[j]], found[1]))
+                if found is not None:
+                    heapq.heappush(queue, (found >> ID_BITS, i, new, ids[after[j]], found & NEW_ID))
             if before[i] >= 0:
                 h = before[i]
                 found = ranks.get((ids[h], new))
-                if found:
-                    heapq.heappush(queue, (found[0], h, ids[h], new, found[1]))
+                if found is not None:
+                    heapq.heappush(queue, (found >> ID_BITS, h, ids[h], new, found & NEW_ID))
         return [i for i in ids if i >= 0]
 
 
@@ -255,7 +267,7 @@ class Lexicon:
         sizes, at, arrays = raw[: 8 * len(cls.ARRAYS)].view(np.int64), 8 * len(cls.ARRAYS), {}
         for (name, kind), n in zip(cls.ARRAYS, sizes.tolist(), strict=True):
             width = n * np.dtype(kind).itemsize
-            arrays[name] = raw[at : at + width].view(kind)
+            arrays[name] = raw[at : at + width].view(kind).view(np.ndarray)
             at += width + -width % 8
         return cls(**arrays)
 
@@ -282,6 +294,12 @@ class Lexicon:
         return rank
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions first, first + 1, ... of runs of ``size`` entries, one run after the other."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) - np.repeat(end - size - first, size)
+
+
 _lexicons: dict[str, Lexicon] = {}
 
 
@@ -300,16 +318,19 @@ class _Encoder:
         self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def learn(self, words: list[str]) -> None:
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        rank = self.lexicon.ranks(raw).tolist()
-        at, known = self.lexicon.at, self.lexicon.ids
-        found = [
-            np.asarray(known[at[r] : at[r + 1]]) if r >= 0 else np.array(self.merger.merge(w), np.int32)
-            for w, r in zip(words, rank, strict=True)
-        ]
-        self.slot.update(zip(words, range(len(self.slot), len(self.slot) + len(words)), strict=True))
-        self.size = np.concatenate([self.size, [len(f) for f in found]])
-        self.ids = np.concatenate([self.ids, *found])
+        rank = self.lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in words])
+        hits = np.flatnonzero(rank >= 0)
+        misses = np.flatnonzero(rank < 0)
+        first = self.lexicon.at[rank[hits]]
+        size = self.lexicon.at[rank[hits] + 1] - first
+        known = self.lexicon.ids[_runs(first, size)]
+        merged = [self.merger.merge(words[i]) for i in misses.tolist()]
+        sizes = np.array([len(m) for m in merged], np.int64)
+        new = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
+        for i in np.concatenate([hits, misses]).tolist():
+            self.slot[words[i]] = len(self.slot)
+        self.size = np.concatenate([self.size, size, sizes])
+        self.ids = np.concatenate([self.ids, known, new])
 
     def encode(self, texts: list[str | None]) -> pa.Array:
         words = [self.merger.words(t) if t else [] for t in texts]
@@ -322,11 +343,8 @@ class _Encoder:
         every = map(self.slot.__getitem__, chain.from_iterable(words))
         slots = np.fromiter(every, np.int64, int(per_text.sum()))
         size = self.size[slots]
-        end = np.cumsum(size)
-        first = np.cumsum(self.size) - self.size
-        # Position k of the result is position k - (start of its word) of the word's ids.
-        flat = self.ids[np.arange(end[-1] if len(end) else 0) - np.repeat(end - size - first[slots], size)]
-        ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(per_text)])]
+        flat = self.ids[_runs((np.cumsum(self.size) - self.size)[slots], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_text)])]
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
 
 
@@ -368,13 +386,25 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
 def build_lexicon(
     docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", max_words: int = 150_000, min_count: int = 2
 ) -> str:
-    """Compile the most frequent words of all texts; returns the file's name on every executor."""
-    spark = docs.sparkSession
-    counts = word_counts(docs, vocabulary, text_col)
-    top = counts.where((F.col("n") >= min_count) & (F.length("word") <= 100)).orderBy(F.desc("n"), "word").limit(max_words)
+    """Compile the most frequent words of all texts; returns the file's name on every executor.
+
+    Words enter by frequency as long as all words of a frequency fit into ``max_words``, which is
+    read off the number of words per frequency: no words are sorted, and ties enter together.
+    """
+    counts = word_counts(docs, vocabulary, text_col).where((F.col("n") >= min_count) & (F.length("word") <= LONGEST_WORD))
+    counts = store(counts, "word-counts")
+    per_count = counts.groupBy(F.least("n", F.lit(HIGHEST_COUNT)).alias("n")).agg(F.count(F.lit(1)).alias("words"))
+    least, room = None, max_words
+    for n, words in sorted(map(tuple, per_count.collect()), reverse=True):  # one row per frequency
+        room -= words
+        if room < 0:
+            break
+        least = n
+    frequent = counts.where(F.col("n") >= least) if least else counts.where("false")
     merger = Merger(vocabulary)
-    entries = {r.word.encode(): merger.merge(r.word) for r in top.select("word").collect()}  # max_words short words
-    return _publish(spark, Lexicon.compile(entries).to_bytes())
+    entries = {r.word.encode(): merger.merge(r.word) for r in frequent.select("word").collect()}  # max_words at most
+    discard(counts)
+    return _publish(docs.sparkSession, Lexicon.compile(entries).to_bytes())
 
 
 def _publish(spark: SparkSession, data: bytes) -> str:
