@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskframe.session import cut_lineage, join_checked
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 4096
+MIN_BUCKETS = 64
 # Partial sketches meet in this many tasks first, so the last one merges few.
 SKETCH_GROUPS = 256
 # A window over this many aggregated rows is light work for one task.
@@ -29,17 +29,17 @@ TREE_LEAVES = 64
 
 def bucket_count(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(n, MIN_BUCKETS), MAX_BUCKETS)
+    return max(n, MIN_BUCKETS)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads only as far as needed."""
-    return not df.select(F.lit(1)).offset(rows).limit(1).collect()
+    """True when ``df`` has at most ``rows`` rows; only a count reaches the driver."""
+    return df.count() <= rows
 
 
 def _sketch(column: Column, buckets: int) -> Column:
     probabilities = double_array([i / buckets for i in range(1, buckets)])
-    return F.percentile_approx(column, probabilities, accuracy=min(10 * buckets, 10_000))
+    return F.percentile_approx(column, probabilities, accuracy=10 * buckets)
 
 
 def _cut_points(
