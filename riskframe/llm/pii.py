@@ -35,8 +35,13 @@ DATE = (
     r"(?![0-9A-Za-z/-]|\.[0-9])"
 )
 IP = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
-PHONE = r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
-CARD = r"(?<![0-9A-Za-z+])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+# A group of a phone number must not be the first part of an address that follows it.
+PHONE = (
+    r"(?<![0-9A-Za-z])\+(?:1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}+(?!\.[0-9]{1,3}\.[0-9])){2,4})(?![0-9A-Za-z])"
+)
+CARD_FORMS = "[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+CARD = rf"(?<![0-9A-Za-z+])(?:{CARD_FORMS})(?![0-9A-Za-z])"
 SECRET = r"(?i:(?<=(?:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']?))[0-9a-f]{16,128}(?![0-9A-Za-z])"
 PATTERN = "|".join([EMAIL, DATE, IP, PHONE, CARD, SECRET])
 KINDS = ("email", "phone", "card", "ip", "date", "secret")
@@ -208,7 +213,7 @@ def kind_of(value: Column) -> Column:
         .when(value.rlike(r"^\+"), F.when(_phone_valid(value), F.lit("phone")))
         .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(_ip_valid(value), F.lit("ip")))
         .when(value.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2[0-9]{4})$"), F.when(_day(value).isNotNull(), F.lit("date")))
-        .when(value.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$") & luhn_valid(value), F.lit("card"))
+        .when(value.rlike(f"^(?:{CARD_FORMS})$") & luhn_valid(value), F.lit("card"))
         .when(value.rlike(r"^[0-9A-Fa-f]{16,128}$") & ~value.rlike(r"^[0-9]{13,19}$"), F.lit("secret"))
     )
 

@@ -66,6 +66,14 @@ def test_values_keep_their_format_and_links(spark):
     assert parts[1][:15] == plain_permute("492934838514630", "k", "card", (pii.DIGITS,))
 
 
+def test_neighbouring_values_are_all_found(spark):
+    text = "+1 (826) 555-4081 190.137.223.204 4929348385146306 12 4929348385146306 7 +49 30 1234567 10.0.0.1 und.34@mail7.example.com"
+    df = spark.createDataFrame([(text,)], "text string")
+    found = pii.pseudonymise_counted(df, "k").first()
+    assert [found[f"n_{k}"] for k in ("phone", "ip", "card", "email")] == [2, 2, 2, 1]
+    assert not set(text.split()) & set(found.text.split()) - {"12", "7", "+1", "+49"}
+
+
 @pytest.mark.parametrize(
     "text",
     [
