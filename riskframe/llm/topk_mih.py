@@ -89,11 +89,14 @@ def search(
     for r in range(width + 1):
         if state.isEmpty():
             break
-        masks = F.array(*[F.lit(v).cast("bigint") for v in range(1 << width) if v.bit_count() == r])
+        # One constant, however many masks there are.
+        masks = ",".join(str(v) for v in range(1 << width) if v.bit_count() == r)
+        masks = F.split(F.lit(masks), ",").cast("array<bigint>")
         own = F.array(*[segment(F.col("code"), j, width) for j in range(m)])
         probes = state.select(F.col("code").alias("query"), F.posexplode(own).alias("j", "own"))
         flipped = F.explode(F.transform(masks, lambda v: v.bitwiseXOR(F.col("own"))))
-        met = probes.select("query", "j", flipped.alias("value")).join(index, ["j", "value"])
+        # Spark's estimate of the probes does not count the masks, so it must not broadcast them.
+        met = probes.select("query", "j", flipped.alias("value")).join(index.hint("merge"), ["j", "value"])
         # A pair is taken once, at the first of its segments that are nearest: not where another
         # segment is nearer (an earlier step saw it), nor where an earlier one is as near.
         gaps = F.array(
