@@ -83,7 +83,7 @@ def _sample_features(buckets: int):
                 for i in range(len(chunk)):
                     own = [f[chunk.start[i] : chunk.start[i + 1]] for f in found]
                     n = np.bincount(np.concatenate([*own, [buckets]]), minlength=buckets + 1)[:-1]
-                    index.append(np.flatnonzero(n).astype(np.int32).tobytes())
+                    index.append(np.flatnonzero(n).astype(np.uint16).tobytes())
                     value.append((n[n > 0] / max(n.sum(), 1)).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -98,7 +98,8 @@ def _sample_features(buckets: int):
     return run
 
 
-def _descend(x, y, classes, dims, epochs, rate, seed, batch=32):
+def _descend(x, y, rows, classes, dims, epochs, rate, seed, batch=32):
+    """Train on the given rows of ``x``; only batches are copied."""
     rng = np.random.default_rng(seed)
     table = (rng.standard_normal((x.shape[1], dims)) / np.sqrt(dims)).astype(np.float32)
     weights = np.zeros((dims, classes), np.float32)
@@ -106,8 +107,8 @@ def _descend(x, y, classes, dims, epochs, rate, seed, batch=32):
     truth = np.eye(classes, dtype=np.float32)[y]
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
+        order = rng.permutation(rows)
+        for at in range(0, len(order), batch):
             own = order[at : at + batch]
             xb = x[own]
             mean = xb @ table
@@ -137,7 +138,7 @@ def train(
     reject_share: float = 0.0005,
     seed: int = 17,
 ) -> LanguageModel:
-    """Fit on at most ``max_rows`` labelled rows of ``docs``.
+    """Fit on at most ``max_rows`` labelled rows of ``docs``; ``buckets`` up to 65,536.
 
     The threshold is the confidence below which at most ``reject_share`` of the rightly predicted
     calibration rows fall, halved, so that it rejects texts unlike any calibration row.
@@ -159,13 +160,14 @@ def train(
         return LanguageModel([], np.zeros((buckets, 0)), np.zeros(0))
     x = np.zeros((len(rows), buckets), np.float32)
     for i, r in enumerate(rows):
-        x[i, np.frombuffer(r.at, np.int32)] = np.frombuffer(r.value, np.float32)
+        x[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.value, np.float32)
     y = np.array([languages.index(r.label) for r in rows])
+    del rows
     rng = np.random.default_rng(seed)
-    apart = rng.random(len(rows)) < calibration_share
+    apart = rng.random(len(y)) < calibration_share
     if apart.all() or not apart.any():
         apart[:] = False
-    logits, bias = _descend(x[~apart], y[~apart], len(languages), dims, epochs, rate, seed)
+    logits, bias = _descend(x, y, np.flatnonzero(~apart), len(languages), dims, epochs, rate, seed)
     model = LanguageModel(languages, logits.astype(np.float32), bias.astype(np.float64))
     xc, yc = (x[apart], y[apart]) if apart.any() else (x, y)
     sums, ones = xc @ model.logits, np.ones(len(xc))
