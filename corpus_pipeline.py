@@ -54,8 +54,9 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = queries.mixing_model(docs, labels)
     read = docs.withColumn("__mix", mixing.posteriors(model, F.col("text")))
-    mix = mixing.fit(store(read.select("__mix.*"), "mix"), model.domains, queries.MIX_WEIGHTS, queries.MIX_REPEATS)
-    rate = mixing.rate_of(mix.steps, [F.col("__mix.p")[j] for j in range(len(model.domains))])
+    rows = store(read.select("__mix.*"), "mix")
+    mix = mixing.fit(rows, model.domains, queries.MIX_WEIGHTS, queries.MIX_REPEATS, keep=queries.MIX_KEEP)
+    rate = mixing.rate_of(mix.steps, [F.col("__mix.p")[j] for j in range(len(model.domains))], keep=mix.keep)
     uses = F.explode(F.array_repeat(F.lit(0), mixing.copies(rate, "doc_id")))
     return read.select(*docs.columns, uses.alias("__use")).select(docs.columns)
 

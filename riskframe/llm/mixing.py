@@ -12,6 +12,10 @@ the same vector ``s`` for all rows. A pass over the rows needs only the list of
 returns one sum per domain: no state is written between steps and nothing grows on the driver.
 From x = 1 the first step solves the problem if no rate is clipped.
 
+Domains named in ``keep`` must not be thinned: they alone set the total, the weights of the others
+are upper limits, a document whose likeliest domain is kept has a rate of at least 1, and any other
+one of at most 1. The rates are the least-squares solution within these bounds.
+
 Defined results: null or empty text has 0 tokens and the prior posteriors of an empty bag. Without
 labelled rows, posteriors are equal; a single domain has posterior 1. An empty table gives an
 empty table. Repeated rows get equal rates. Extra input columns pass through; outputs replace
@@ -20,7 +24,7 @@ columns of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,6 +56,7 @@ class Mix:
     targets: dict[str, float]
     steps: list[list[float]] = field(default_factory=list)
     residuals: list[float] = field(default_factory=list)
+    keep: list[int] = field(default_factory=list)  # places of the kept domains
 
 
 def _present(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,21 +158,37 @@ def posteriors(model: DomainModel, text: Column) -> Column:
     return run(text)
 
 
-def rate_of(steps: Sequence[Sequence[float]], p: Sequence[Column], ahead: bool = False) -> Column:
+def _kept(p: Sequence[Column], keep: Sequence[int]) -> Column:
+    """Whether a kept domain is the likeliest."""
+    clean = F.lit(True)
+    for j in set(range(len(p))) - set(keep):
+        clean = clean & (F.greatest(*[p[k] for k in keep], F.lit(0.0)) >= p[j])
+    return clean
+
+
+def rate_of(
+    steps: Sequence[Sequence[float]], p: Sequence[Column], ahead: bool = False, keep: Sequence[int] = ()
+) -> Column:
     """The rate of a row: all steps so far, replayed from 1; ``ahead`` is the point of the next gradient."""
     if not steps:
         return F.lit(1.0)
     replay = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
 
-    def step(state: Column, s: Column) -> Column:
-        move = F.lit(0.0)
-        for j, pj in enumerate(p):
-            move = move + pj * s[j]
-        x = F.greatest(F.lit(0.0), state["y"] - move)
-        return F.struct(x.alias("x"), (x + s[len(p)] * (x - state["x"])).alias("y"))
+    def replayed(bounded: Callable[[Column], Column]) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            move = F.lit(0.0)
+            for j, pj in enumerate(p):
+                move = move + pj * s[j]
+            x = bounded(state["y"] - move)
+            return F.struct(x.alias("x"), (x + s[len(p)] * (x - state["x"])).alias("y"))
+
+        start = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
+        return F.aggregate(replay, start, step, lambda state: state["y" if ahead else "x"])
 
-    start = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
-    return F.aggregate(replay, start, step, lambda state: state["y" if ahead else "x"])
+    if not keep:
+        return replayed(lambda x: F.greatest(F.lit(0.0), x))
+    thinned = replayed(lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x)))
+    return F.when(_kept(p, keep), replayed(lambda x: F.greatest(F.lit(1.0), x))).otherwise(thinned)
 
 
 def fit(
@@ -177,11 +198,14 @@ def fit(
     repeats: float = 1.0,
     steps: int = 30,
     tolerance: float = 1e-6,
+    keep: Sequence[str] = (),
 ) -> Mix:
     """Fit rates for stored rows (tokens, p), one short pass per step.
 
-    ``weights`` are wanted shares. The total is the largest at which no domain has to be used more
-    than ``repeats`` times its supply; domains without supply are left out of that bound.
+    ``weights`` are wanted shares. The total is the largest at which no domain of ``keep`` has to be
+    used more than ``repeats`` times its supply; the others are used up to their share of that total,
+    and no more than once where their supply is shorter. If the model knows no domain of ``keep``,
+    nothing is thinned. Without ``keep``, every wanted domain with supply bounds the total.
     """
     n = len(domains)
     if not n:
@@ -200,18 +224,27 @@ def fit(
         return Mix(list(domains), dict.fromkeys(domains, 0.0))
     share /= share.sum()
     wanted = (share > 0) & (supply > 0)
-    total = repeats * (supply[wanted] / share[wanted]).min()
-    target = share * total / everything
-    mix = Mix(list(domains), dict(zip(domains, (target * everything).tolist(), strict=True)))
+    kept = np.array([d in keep for d in domains])
+    if keep and not (wanted & kept).any():
+        return Mix(list(domains), dict(zip(domains, supply.tolist(), strict=True)))
+    bound = wanted & kept if keep else wanted
+    total = repeats * (supply[bound] / share[bound]).min()
+    tokens = np.where(kept, share * total, np.minimum(share * total, supply)) if keep else share * total
+    target = tokens / everything
+    places = np.flatnonzero(kept).tolist()
+    mix = Mix(list(domains), dict(zip(domains, tokens.tolist(), strict=True)), keep=places)
     inverse = np.linalg.pinv(gram / everything, rcond=1e-9)
-    since_restart = 0
+    since_restart, last = 0, None
     for _ in range(steps):
-        y = rate_of(mix.steps, p, ahead=True)
+        y = rate_of(mix.steps, p, ahead=True, keep=places)
         # Twelve digits: the order in which tasks add up does not show.
         off = np.round(totals(*[t * c * y for c in p]) / everything, 12) - target
         mix.residuals.append(float(np.abs(off).max()))
-        if mix.residuals[-1] <= tolerance:
+        # Within the bounds of ``keep`` targets may be out of reach; sums that stand still are the solution.
+        still = keep and last is not None and np.abs(off - last).max() <= tolerance
+        if mix.residuals[-1] <= tolerance or still:
             break
+        last = off
         worse = len(mix.residuals) > 1 and mix.residuals[-1] > mix.residuals[-2]
         since_restart = 0 if worse else since_restart + 1
         momentum = max(since_restart - 1, 0) / (since_restart + 2)

@@ -55,9 +55,11 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 TOP_K = 10
 
-# Wanted shares of tokens per domain of ``labels``, and the most uses of a domain's supply.
+# Wanted shares of tokens per domain of ``labels``, the most uses of a kept domain's supply, and the
+# domains that are kept whole; the shares of the others are upper limits.
 MIX_WEIGHTS = {"good": 0.86, "low": 0.08, "toxic": 0.06}
 MIX_REPEATS = 1.05
+MIX_KEEP = ("good",)
 
 
 def label_domain() -> Column:
@@ -74,10 +76,10 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents").select("doc_id", "text")
     model = mixing_model(docs, _read(spark, sf, "labels"))
     rows = store(docs.select("doc_id", mixing.posteriors(model, F.col("text")).alias("m")).select("doc_id", "m.*"), "mix")
-    mix = mixing.fit(rows, model.domains, MIX_WEIGHTS, MIX_REPEATS)
+    mix = mixing.fit(rows, model.domains, MIX_WEIGHTS, MIX_REPEATS, keep=MIX_KEEP)
     p = [F.col("p")[j] for j in range(len(model.domains))]
     named = [c.alias(f"p_{d}") for c, d in zip(p, model.domains, strict=True)]
-    return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix.steps, p).alias("rate"))
+    return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix.steps, p, keep=mix.keep).alias("rate"))
 
 
 TOOL_SCHEMAS = {
