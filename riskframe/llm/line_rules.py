@@ -4,11 +4,12 @@ Each text is read once: word counts, symbols, repeated lines, repeated three-wor
 lines as (hash, words). A line is normalised by folding A-Z and by single spaces between words,
 and hashed to 64 bits. Within a host, a line's frequency is the number of distinct documents that
 hold it; documents with the same lines count once, so copies of one page make nothing boilerplate.
-Lines above the host's limit are removed, and a document of which too little is left is depleted.
+Lines in more than ``min_docs`` of them are removed, and a document of which too little is left is depleted.
 
-The limit of a host is ``max(min_docs, max_share * distinct documents)``. Frequencies are counted
-over all documents, in two aggregations that combine before they shuffle: a line that a third of
-all documents hold is one row per task.
+The limit does not depend on the host's size, unless a caller sets ``max_share``: then it is
+``max(min_docs, max_share * distinct documents)``. Frequencies are counted over all documents, in
+two aggregations that combine before they shuffle: a line that a third of all documents hold is
+one row per task.
 
 Defined results: null or empty text has no words and fails the base rules. A null host is a host
 of its own. Repeated rows are judged alike. Empty tables give empty tables. Other input columns
@@ -122,14 +123,16 @@ def base_failed(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT
     return (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
 
 
-def frequent_lines(measured: DataFrame, min_docs: int = 10, max_share: float = 0.1) -> DataFrame:
+def frequent_lines(measured: DataFrame, min_docs: int = 10, max_share: float = 0.0) -> DataFrame:
     """(host, line, n_docs) above the host's limit, from rows (host, content, line)."""
     distinct = measured.select("host", "content", F.explode(F.array_distinct("line")).alias("line")).distinct()
     per_line = distinct.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
-    per_host = measured.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    limit = F.greatest(F.lit(float(min_docs)), F.col("host_docs") * max_share)
     # Lines that no host can allow go before the join.
     candidates = per_line.where(F.col("n_docs") > min_docs)
+    if not max_share:
+        return candidates
+    per_host = measured.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    limit = F.greatest(F.lit(float(min_docs)), F.col("host_docs") * max_share)
     return candidates.join(per_host, "host").where(F.col("n_docs") > limit).select("host", "line", "n_docs")
 
 
@@ -139,7 +142,7 @@ def apply_rules(
     id_col: str = "doc_id",
     host_col: str = "source",
     min_docs: int = 10,
-    max_share: float = 0.1,
+    max_share: float = 0.0,
     min_left: float = 0.3,
 ) -> DataFrame:
     """Per row: id, the counts, ``n_removed_words``, ``base_failed``, ``depleted`` and ``kept``."""
