@@ -9,7 +9,8 @@ values stay equal across documents and sources, and the key holder can undo it:
 - IPv4 addresses (parts up to 255): the 32-bit number is permuted;
 - dates from 1900-01-01 on, 72,900 days, as 2024-12-31, 31.12.2024 or 12/31/2024 (month first):
   the day number is permuted;
-- e-mail addresses: letters and digits before the @ are permuted within their alphabets;
+- e-mail addresses: letters and digits before the @ are permuted within their alphabets, those of
+  other scripts within their run of code points;
 - secrets of 16 to 128 hex digits after token/secret/password/key and = or : likewise.
 
 Strings go through a Feistel network over characters: each half is shifted, character by
@@ -17,12 +18,17 @@ character within its alphabet, by amounts taken from SHA-512 of key, round and o
 Numbers go through one over two residues with modular sums, so every image is again a valid value
 and no walking is needed. ``invert`` runs the rounds backwards.
 
-Defined results: null text stays null; text without a digit or @ is unchanged; values that fail
-validation are left alone; a value counts as often as it occurs. Only the text column changes.
+Defined results: null text stays null; text without a digit, an @ or 16 hex letters in
+a row is unchanged; values that fail validation are left alone; a value counts as often as it
+occurs. Only the text column changes.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +48,7 @@ PHONE = (
 )
 CARD_FORMS = "[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
 CARD = rf"(?<![0-9A-Za-z+])(?:{CARD_FORMS})(?![0-9A-Za-z])"
-SECRET = r"(?i:(?<=(?:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']?))[0-9a-f]{16,128}(?![0-9A-Za-z])"
+SECRET = r"(?i:(?<=(?:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']?))[0-9a-fA-F]{16,128}(?![0-9A-Za-z])"
 PATTERN = "|".join([EMAIL, DATE, IP, PHONE, CARD, SECRET])
 KINDS = ("email", "phone", "card", "ip", "date", "secret")
 
@@ -55,7 +61,10 @@ ALPHABETS = (
     "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß",
     "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
 )
-HEX = ("0123456789abcdef", "ABCDEF")
+HEX = ("0123456789abcdef",)
+# With an upper-case digit, digits and the letters of each case stay what they are, so the key
+# holder sees which alphabets were used.
+HEX_UPPER = (DIGITS, "abcdef", "ABCDEF")
 DATE_FORMS = (("yyyy-MM-dd", r"^[0-9]{4}-"), ("dd.MM.yyyy", r"^[0-9]{2}\."), ("MM/dd/yyyy", r"^[0-9]{2}/"))
 DATE_SIDE = 270  # 270 * 270 days from 1900-01-01
 
@@ -69,9 +78,52 @@ def _amount(digest: Column, at: Column) -> Column:
     return F.conv(F.substring(digest, at % 32 * 4 + 1, F.lit(4)), 16, 10).cast("int")
 
 
-def _shift(half: Column, digest: Column, alphabets: tuple[str, ...], sign: int) -> Column:
+def _other_runs() -> list[tuple[int, int]]:
+    """Runs (first, last) of code points with letters and numbers outside ALPHABETS.
+
+    Letters that Unicode 3.2 knows form runs of their own: every engine in use knows their images.
+    """
+
+    def group(code: int) -> int:
+        c = chr(code)
+        if c in known or unicodedata.category(c)[0] not in "LN":
+            return 0
+        return 1 if unicodedata.ucd_3_2_0.category(c)[0] in "LN" else 2
+
+    known, runs = set("".join(ALPHABETS)), []
+    for kind, codes in itertools.groupby(range(128, 0x32000), group):
+        if kind:
+            codes = list(codes)
+            runs.append((codes[0], codes[-1]))
+    return runs
+
+
+def _split_runs() -> tuple[str, str]:
+    """Runs of several code points as JSON, and the code points that stand alone as an alphabet."""
+    runs = _other_runs()
+    several = [{"lo": lo, "n": hi - lo + 1} for lo, hi in runs if hi > lo]
+    return json.dumps(several), "".join(chr(lo) for lo, hi in runs if hi == lo)
+
+
+OTHER_RUNS, OTHER_SINGLE = _split_runs()
+
+
+def _shift_other(c: Column, amount: Column) -> Column:
+    """A letter outside ALPHABETS, moved within its run of letters."""
+    code = F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("int")
+    runs = F.from_json(F.lit(OTHER_RUNS), "array<struct<lo:int,n:int>>")
+    run = F.filter(runs, lambda r: code.between(r["lo"], r["lo"] + r["n"] - 1))
+    new = F.transform(run, lambda r: r["lo"] + F.pmod(code - r["lo"] + amount, r["n"]))
+    moved = F.transform(new, lambda v: F.decode(F.unhex(F.lpad(F.hex(v), 8, "0")), "UTF-32"))
+    return F.when(F.size(moved) > 0, F.element_at(moved, 1)).otherwise(c)
+
+
+def _shift(half: Column, digest: Column, alphabets: tuple[str, ...], sign: int, other_letters: bool = False) -> Column:
+    if other_letters:
+        alphabets = (OTHER_SINGLE, *alphabets)
+
     def move(c: Column, i: Column) -> Column:
-        out = c
+        out = _shift_other(c, sign * _amount(digest, i)) if other_letters else c
         for alphabet in alphabets:
             n, at = len(alphabet), F.instr(F.lit(alphabet), c)
             new = F.pmod(at - 1 + sign * _amount(digest, i), F.lit(n)) + 1
@@ -87,15 +139,23 @@ def _rounds(invert: bool) -> Column:
 
 
 def permute_text(
-    value: Column, key: str, tweak: str, alphabets: tuple[str, ...] = ALPHABETS, invert: bool = False
+    value: Column,
+    key: str,
+    tweak: str,
+    alphabets: tuple[str, ...] = ALPHABETS,
+    invert: bool = False,
+    other_letters: bool = False,
 ) -> Column:
-    """Permute the characters of a string within their alphabets; needs two or more characters."""
+    """Permute the characters of a string within their alphabets; needs two or more characters.
+
+    With ``other_letters``, letters and numbers outside ALPHABETS move too.
+    """
     half = F.floor(F.char_length(value) / 2).cast("int")
     sign = -1 if invert else 1
 
     def step(s: Column, turn: Column) -> Column:
-        left = _shift(s["l"], _digest(key, tweak, turn, s["r"]), alphabets, sign)
-        right = _shift(s["r"], _digest(key, tweak, turn, s["l"]), alphabets, sign)
+        left = _shift(s["l"], _digest(key, tweak, turn, s["r"]), alphabets, sign, other_letters)
+        right = _shift(s["r"], _digest(key, tweak, turn, s["l"]), alphabets, sign, other_letters)
         return F.when(turn % 2 == 1, F.struct(left.alias("l"), s["r"].alias("r"))).otherwise(
             F.struct(s["l"].alias("l"), right.alias("r"))
         )
@@ -203,7 +263,15 @@ def _date(value: Column, key: str, invert: bool) -> Column:
 def _email(value: Column, key: str, invert: bool) -> Column:
     local = F.regexp_extract(value, "^[^@]+", 0)
     domain = F.substring(value, F.char_length(local) + 1, F.char_length(value))
-    return F.concat(permute_text(local, key, "email", ALPHABETS, invert), domain)
+    other = permute_text(local, key, "email", ALPHABETS, invert, other_letters=True)
+    latin = permute_text(local, key, "email", ALPHABETS, invert)
+    return F.concat(F.when(local.rlike(f"[^._+{''.join(ALPHABETS)}-]"), other).otherwise(latin), domain)
+
+
+def _secret(value: Column, key: str, invert: bool) -> Column:
+    return F.when(value.rlike("[A-F]"), permute_text(value, key, "secret", HEX_UPPER, invert)).otherwise(
+        permute_text(value, key, "secret", HEX, invert)
+    )
 
 
 def kind_of(value: Column) -> Column:
@@ -225,7 +293,7 @@ def pseudonym(value: Column, kind: Column, key: str, invert: bool = False) -> Co
         .when(kind == "card", _card(value, key, invert))
         .when(kind == "ip", _ip(value, key, invert))
         .when(kind == "date", _date(value, key, invert))
-        .when(kind == "secret", permute_text(value, key, "secret", HEX, invert))
+        .when(kind == "secret", _secret(value, key, invert))
         .otherwise(value)
     )
 
@@ -234,7 +302,7 @@ def found_values(text: Column) -> Column:
     """All candidates of a text in order, as (value, kind); kind is null where validation fails."""
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     values = F.transform(found, lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind")))
-    return F.when(text.rlike("[0-9@]"), values).otherwise(F.array().cast("array<struct<value:string,kind:string>>"))
+    return F.when(text.rlike("[0-9@]|[a-fA-F]{16}"), values).otherwise(F.array().cast("array<struct<value:string,kind:string>>"))
 
 
 def _filled(text: Column, found: Column, key: str, invert: bool) -> Column:
