@@ -1,7 +1,8 @@
 """Documents to token ids in five stages; every stage works on all rows its predecessor kept.
 
 1. language ID (op 8): fits on labelled languages, drops documents that the model rejects;
-2. n-gram Jaccard join (op 9): of each component the document with the smallest id stays;
+2. n-gram Jaccard join (op 9), on sets of five words from a similarity of 0.8 on: of each
+   component the document with the smallest id stays;
 3. PII (op 6): replaces personal data by keyed pseudonyms;
 4. mixing (op 4): fits rates to the target shares of domains and uses each document as many times
    as its rate says; a document that is used more than once occurs as that many rows;
@@ -24,6 +25,8 @@ from riskframe.llm.common import held_out, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~held_out()))
@@ -31,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = partenum.jaccard_components(docs)
+    found = partenum.jaccard_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     extra = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
     small = extra.count() <= partenum.BROADCAST_IDS
     kept = docs.join(F.broadcast(extra) if small else extra, "doc_id", "left_anti").select(docs.columns)

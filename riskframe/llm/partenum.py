@@ -43,7 +43,6 @@ from riskframe.llm.components import components
 
 FAMILIES = 6
 BAND_RATIO = 1.45
-SMALLEST = 6  # smaller sets only link when equal
 SKETCH_LONGS = 8
 # Up to this many rows an id list is broadcast; more are joined by shuffle.
 BROADCAST_IDS = 100_000
@@ -55,12 +54,20 @@ PIVOT_ROUNDS = 1
 _U = np.uint64
 
 
+def smallest(percent: int) -> int:
+    """The smallest size at which sets that differ can link; smaller sets only link when equal."""
+    return -(-percent // (100 - percent))
+
+
+SMALLEST = smallest(85)
+
+
 class Bands:
     """Size bands for a similarity of ``percent``: smallest and largest size, and K."""
 
     def __init__(self, percent: int, largest: int):
         self.percent = percent
-        low, high, self.low, self.high = SMALLEST, 0, [], []
+        low, high, self.low, self.high = smallest(percent), 0, [], []
         while not self.high or self.high[-1] < largest * 2:
             high = max(int(low * BAND_RATIO), -(-100 * low // percent))
             self.low.append(low)
@@ -110,8 +117,8 @@ def signatures(
     values: np.ndarray, counts: np.ndarray, percent: int, seed: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of its set) for sets given one after the other."""
-    bands = Bands(percent, int(counts.max(initial=SMALLEST)))
-    signs = counts >= SMALLEST
+    bands = Bands(percent, int(counts.max(initial=smallest(percent))))
+    signs = counts >= smallest(percent)
     out_sig, out_set = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     start = np.cumsum(counts) - counts
     for step in (0, 1):
