@@ -1,10 +1,11 @@
 """Quality rules with cross-document line frequency.
 
-Each text is read once: word counts, symbols, repeated lines, repeated three-word windows, and its
-lines as (hash, words). A line is normalised by folding A-Z and by single spaces between words,
+A first reading takes word counts, symbols, repeated lines, repeated three-word windows, and its
+lines as hashes. A line is normalised by folding A-Z and by single spaces between words,
 and hashed to 64 bits. Within a host, a line's frequency is the number of distinct documents that
 hold it; documents with the same lines count once, so copies of one page make nothing boilerplate.
-Lines in more than ``min_docs`` of them are removed, and a document of which too little is left is depleted.
+Lines in more than ``min_docs`` of them are removed: a second reading rebuilds the texts without
+them, and a document of which too little is left is depleted.
 
 The limit does not depend on the host's size, unless a caller sets ``max_share``: then it is
 ``max(min_docs, max_share * distinct documents)``. Frequencies are counted over all documents, in
@@ -75,6 +76,8 @@ def _line_rows(chunk: tx.Chunk, words: tx.Words) -> dict[str, np.ndarray]:
     folded = tx.words(chunk).hash
     return {
         "text": np.searchsorted(chunk.start, begin[full], side="right") - 1,
+        "begin": begin[full],
+        "end": end[full],
         "raw": tx.range_hash(chunk, begin[full], end[full]),
         "hash": tx.sequence_hash(folded, count[full]),
         "words": count[full],
@@ -118,6 +121,44 @@ def measure(text: Column) -> Column:
     return run(text)
 
 
+def _without(chunk: tx.Chunk, dead: list[list[int] | None]) -> list[bytes]:
+    """Each text without its lines whose hash is in its list; the other lines stay byte by byte."""
+    lines = _line_rows(chunk, tx.words(chunk, lower=False))
+    gone, hashes = [set(d or ()) for d in dead], lines["hash"].view(np.int64).tolist()
+    pieces = [[] for _ in dead]
+    drops = [False] * len(dead)
+    at = chunk.start[:-1].tolist()
+    for i, h, begin, end in zip(lines["text"].tolist(), hashes, lines["begin"].tolist(), lines["end"].tolist(), strict=True):
+        if h in gone[i]:
+            stop = int(chunk.start[i + 1])
+            pieces[i].append(chunk.data[at[i] : begin].tobytes())
+            drops[i] = end == stop  # the last line has no \n; that of the line before it goes
+            at[i] = min(end + 1, stop)
+    out = []
+    for i, own in enumerate(pieces):
+        left = b"".join(own) + chunk.data[at[i] : chunk.start[i + 1]].tobytes()
+        out.append(left[:-1] if drops[i] and left else left)
+    return out
+
+
+def without_lines(text: Column, dead: Column) -> Column:
+    """A struct (text, n_words): the text without the lines whose hashes are in ``dead``, and its words."""
+
+    @F.arrow_udf("text string, n_words bigint")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for column, lists in batches:
+            texts, counts = [pa.array([], pa.string())], [np.zeros(0, np.int64)]
+            for chunk in tx.chunks(column):
+                left = pa.array(_without(chunk, lists[chunk.first : chunk.first + len(chunk)].to_pylist()), pa.binary())
+                texts.append(left.cast(pa.string()))
+                counts += [tx.words(c).per_text for c in tx.chunks(texts[-1])]
+            yield pa.StructArray.from_arrays(
+                [pa.concat_arrays(texts), pa.array(np.concatenate(counts), pa.int64())], ["text", "n_words"]
+            )
+
+    return run(text, dead)
+
+
 def base_failed(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> Column:
     n = F.col("n_words")
     return (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
@@ -136,7 +177,7 @@ def frequent_lines(measured: DataFrame, min_docs: int = 10, max_share: float = 0
     return candidates.join(per_host, "host").where(F.col("n_docs") > limit).select("host", "line", "n_docs")
 
 
-def apply_rules(
+def clean_texts(
     docs: DataFrame,
     text_col: str = "text",
     id_col: str = "doc_id",
@@ -145,24 +186,42 @@ def apply_rules(
     max_share: float = 0.0,
     min_left: float = 0.3,
 ) -> DataFrame:
-    """Per row: id, the counts, ``n_removed_words``, ``base_failed``, ``depleted`` and ``kept``."""
+    """Per row: id, ``cleaned`` (the text without its host's frequent lines), the counts of the text,
+    ``n_removed_words``, ``base_failed``, ``depleted`` and ``kept``.
+
+    Lines are counted in a first reading; a second one rebuilds the texts. Which lines a text loses
+    depends on its host and its lines only, so those two are the key and texts are not stored.
+    """
     host = F.coalesce(F.concat(F.lit("h:"), F.col(host_col).cast("string")), F.lit("none"))
-    read = docs.select(F.col(id_col).alias("id"), host.alias("host"), measure(F.col(text_col)).alias("m"))
-    measured = store(read.select("id", "host", "m.*").withColumn("row", F.monotonically_increasing_id()), "lines")
-    frequent = store(frequent_lines(measured, min_docs, max_share), "frequent-lines")
+    text = F.col(text_col)
+    read = docs.select(F.col(id_col).alias("id"), host.alias("host"), text.alias("text"), measure(text).alias("m"))
+    measured = store(read.select("host", "m.content", "m.line"), "lines")
+    frequent = store(frequent_lines(measured, min_docs, max_share).select("host", "line"), "frequent-lines")
     small = frequent.count() <= BROADCAST_LINES
-    lines = measured.select("row", "host", F.explode(F.arrays_zip("line", "line_words")).alias("l"))
-    lines = lines.select("row", "host", "l.line", "l.line_words")
-    removed = (
+    lines = measured.select("host", "content", F.explode("line").alias("line"))
+    dead = store(
         lines.join(F.broadcast(frequent) if small else frequent, ["host", "line"])
-        .groupBy("row")
-        .agg(F.sum("line_words").alias("n_removed_words"))
+        .groupBy("host", "content")
+        .agg(F.collect_set("line").alias("dead")),
+        "removed-lines",
     )
-    left = 1 - F.col("n_removed_words") / F.greatest(F.col("n_words"), F.lit(1))
+    found = read.select("id", "host", "text", *[f"m.{c}" for c in [*_COUNTS, "content"]])
+    found = found.join(F.broadcast(dead) if dead.count() <= BROADCAST_LINES else dead, ["host", "content"], "left")
+    found = found.withColumn("left", without_lines(F.col("text"), F.col("dead")))
+    left = F.col("left.n_words")
     return (
-        measured.join(removed, "row", "left")
-        .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("bigint")))
-        .withColumns({"base_failed": base_failed(), "depleted": left < min_left})
+        found.withColumn("n_removed_words", F.col("n_words") - left)
+        .withColumn("cleaned", F.when(F.col("text").isNotNull(), F.col("left.text")))
+        .withColumns({"base_failed": base_failed(), "depleted": left / F.greatest(F.col("n_words"), F.lit(1)) < min_left})
+        # A text without words has nothing to lose.
+        .withColumn("depleted", F.col("depleted") & (F.col("n_removed_words") > 0))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-        .select(F.col("id").alias(id_col), *_COUNTS, "n_removed_words", "base_failed", "depleted", "kept")
+        .select(F.col("id").alias(id_col), "cleaned", *_COUNTS, "n_removed_words", "base_failed", "depleted", "kept")
     )
+
+
+def apply_rules(docs: DataFrame, **options) -> DataFrame:
+    """The measures of ``clean_texts``, which takes the options, with a digest of the cleaned text."""
+    cleaned = clean_texts(docs, **options)
+    digest = F.sha2(F.col("cleaned").cast("binary"), 256).alias("cleaned_sha256")
+    return cleaned.select("*", digest).drop("cleaned")
