@@ -1,10 +1,10 @@
 """Quality rules with cross-document line frequency.
 
-A first reading takes word counts, symbols, repeated lines, repeated three-word windows, and its
-lines as hashes. A line is normalised by folding A-Z and by single spaces between words,
+A first reading takes the lines of each text as hashes, a second one its word counts, symbols,
+repeated lines and repeated three-word windows. A line is normalised by folding A-Z and by single spaces between words,
 and hashed to 64 bits. Within a host, a line's frequency is the number of distinct documents that
 hold it; documents with the same lines count once, so copies of one page make nothing boilerplate.
-Lines in more than ``min_docs`` of them are removed: a second reading rebuilds the texts without
+Lines in more than ``min_docs`` of them are removed: the second reading rebuilds the texts without
 them, and a document of which too little is left is depleted.
 
 The limit does not depend on the host's size, unless a caller sets ``max_share``: then it is
