@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_lexicon, langid, line_rules, mixing, partenum, pii, quality_mil, sharding, toolcalls, topk_mih
+from riskframe.llm import bpe_lexicon, conversation_repair, langid, line_rules, mixing, partenum, pii, quality_mil, sharding, toolcalls, topk_mih
 from riskframe.llm.common import held_out, store
 
 
@@ -144,6 +144,12 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return line_rules.apply_rules(_read(spark, sf, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
+    messages = _read(spark, sf, "conversations")
+    segments = conversation_repair.repaired_segments(conversation_repair.damage(messages))
+    return conversation_repair.conversation_report(messages, segments)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -155,8 +161,99 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_line_rules": op10_line_rules,
+    "op13_repair": op13_repair,
 }
 ORACLES = {
+    "op13_repair": """
+        with recursive
+        crc_table as (
+            select list_transform(range(256), lambda x: list_reduce(range(8), lambda c, k:
+                case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, x)) as t
+        ),
+        keyed as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                   coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+            from conversations
+        ),
+        ways as (
+            select k.* exclude (key), xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: cast(ascii(substr(key, i, 1)) as bigint)),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as way
+            from keyed k, crc_table
+        ),
+        damaged as (
+            select conv_id, turn, case when way = 4 then 'user' else role end as role,
+                   case when way = 1 then '' when way = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+            from ways, range(2) c(copy) where way <> 0 and (copy = 0 or way = 3)
+        ),
+        numbered as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged
+        ),
+        placed as (
+            select *, row_number() over (partition by conv_id, role, text order by i) as nth,
+                   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as ended, left(role, 1) as initial
+            from numbered
+        ),
+        faults as (
+            select *, case when ended = '' then 'blank' when nth > 1 then 'duplicate'
+                           when right(ended, 1) in ('.', '!', '?') then '' else 'truncated' end as fault,
+                   lag(initial) over (partition by conv_id order by i) as earlier
+            from placed
+        ),
+        counts as (
+            select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) as n,
+                   count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+                   count(*) filter (fault = 'truncated') as truncated,
+                   count(*) filter (i > 1 and earlier || initial not in ('su', 'ua', 'au')) as illegal
+            from faults group by conv_id
+        ),
+        -- Least cost, edits and repaired text that lead to each state: 0 nothing yet, 1 after system, 2 after user, 3 after assistant.
+        reached as (
+            select conv_id, cast(0 as bigint) as i, [{'q': 0, 'cost': 0, 'audit': '', 'body': ''}, {'q': 2, 'cost': 2, 'audit': 'I', 'body': chr(10) || 'user:'},
+                                 {'q': 3, 'cost': 4, 'audit': 'II', 'body': chr(10) || 'user:' || chr(10) || 'assistant:'}] as best from counts
+            union all
+            select conv_id, i, best from (
+                with moved as (
+                    select r.conv_id, f.i, unnest(list_concat(
+                        [{'q': b.q, 'cost': b.cost + 3, 'audit': b.audit || 'D', 'body': b.body}],
+                        case when f.fault in ('blank', 'duplicate') then [] else [
+                            {'q': case when b.q = 2 then 3 else 2 end, 'cost': b.cost + 2 + extra, 'audit': b.audit || 'R',
+                             'body': b.body || chr(10) || case when b.q = 2 then 'assistant:' else 'user:' end || f.text}] end,
+                        case when f.fault in ('blank', 'duplicate') or next is null then [] else [
+                            {'q': next, 'cost': b.cost + extra, 'audit': b.audit || 'K', 'body': b.body || chr(10) || f.role || ':' || f.text}] end
+                        )) as s
+                    from reached r join faults f on f.conv_id is not distinct from r.conv_id and f.i = r.i + 1,
+                         unnest(r.best) u(b),
+                         lateral (select case when f.fault = 'truncated' then 1 else 0 end as extra,
+                             case when b.q = 0 and f.initial = 's' then 1 when b.q in (0, 1, 3) and f.initial = 'u' then 2
+                                  when b.q = 2 and f.initial = 'a' then 3 end as next) l
+                ),
+                inserted as (
+                    select conv_id, i, s from moved
+                    union all
+                    select conv_id, i, {'q': case when s.q = 2 then 3 else 2 end, 'cost': s.cost + 2, 'audit': s.audit || 'I',
+                                        'body': s.body || chr(10) || case when s.q = 2 then 'assistant:' else 'user:' end} from moved
+                    union all
+                    select conv_id, i, {'q': case when s.q = 2 then 2 else 3 end, 'cost': s.cost + 4, 'audit': s.audit || 'II',
+                                        'body': s.body || chr(10) || case when s.q = 2 then 'assistant:' || chr(10) || 'user:' else 'user:' || chr(10) || 'assistant:' end} from moved
+                ),
+                least as (
+                    select conv_id, i, s.q as q, min({'cost': s.cost, 'audit': s.audit, 'body': s.body}) as m from inserted group by conv_id, i, s.q
+                )
+                select conv_id, i, list({'q': q, 'cost': m.cost, 'audit': m.audit, 'body': m.body}) as best from least group by conv_id, i
+            )
+        ),
+        ends as (
+            select r.conv_id, min({'cost': b.cost, 'audit': b.audit, 'body': substr(b.body, 2)}) as m
+            from reached r join counts c on c.conv_id is not distinct from r.conv_id and c.n = r.i, unnest(r.best) u(b)
+            where b.q in (0, 3) group by r.conv_id
+        )
+        select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(m.cost, 0) as bigint) as cost,
+               coalesce(m.audit, '') as audit, sha256(coalesce(m.body, '')) as repaired_sha256
+        from (select distinct conv_id from conversations) o
+        left join counts c on c.conv_id is not distinct from o.conv_id
+        left join ends e on e.conv_id is not distinct from o.conv_id
+    """,
     "op5_tool_calls": f"""
         with recursive calls as (
             select conv_id, turn, min(text) as text, min({_TOOL}) as tool from conversations where role = 'user'
