@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_lexicon, conversation_repair, langid, line_rules, mixing, partenum, pii, quality_mil, sharding, toolcalls, topk_mih
+from riskframe.llm import bpe_lexicon, conversation_repair, langid, line_rules, mixing, partenum, pii, quality_mil, secrets, sharding, toolcalls, topk_mih
 from riskframe.llm.common import held_out, store
 
 
@@ -144,6 +144,17 @@ def op10_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return line_rules.apply_rules(_read(spark, sf, "documents"))
 
 
+def op11_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    spans = F.col("spans")
+    found = secrets.find_secrets(_read(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[F.size(secrets.of_kinds(spans, k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.written(secrets.of_kinds(spans, *secrets.BASE)).cast("binary"), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+    )
+
+
 def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
     messages = _read(spark, sf, "conversations")
     segments = conversation_repair.repaired_segments(conversation_repair.damage(messages))
@@ -161,6 +172,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_line_rules": op10_line_rules,
+    "op11_secrets": op11_secrets,
     "op13_repair": op13_repair,
 }
 ORACLES = {
