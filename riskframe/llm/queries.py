@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_lexicon, conversation_repair, langid, line_rules, mixing, partenum, pii, quality_mil, secrets, sharding, toolcalls, topk_mih
+from riskframe.llm import bpe_lexicon, conversation_repair, hard_negatives, langid, line_rules, mixing, partenum, pii, quality_mil, secrets, sharding, toolcalls, topk_mih
 from riskframe.llm.common import held_out, store
 
 
@@ -155,6 +155,13 @@ def op11_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _read(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.valid_rows(vectors.withColumn("label", moved), "vec_id", "embedding", "label")
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
     messages = _read(spark, sf, "conversations")
     segments = conversation_repair.repaired_segments(conversation_repair.damage(messages))
@@ -173,9 +180,32 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_line_rules": op10_line_rules,
     "op11_secrets": op11_secrets,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_repair": op13_repair,
 }
 ORACLES = {
+    "op12_hard_negatives": """
+        with rows as materialized (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)
+        ),
+        scores as materialized (
+            select a.vec_id as anchor_id, a.label as anchor_label, x.vec_id, x.label, cast(list_inner_product(a.q, x.q) as bigint) as score
+            from rows a join rows x on a.vec_id % 100 = 0 and a.vec_id <> x.vec_id
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scores where label = anchor_label
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        )
+        select p.*, s.vec_id as negative_id, s.score as negative_score,
+               cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as int) as rank
+        from positives p join scores s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
+            and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+        qualify rank <= 5
+    """,
     "op13_repair": """
         with recursive
         crc_table as (
