@@ -338,7 +338,7 @@ def _placed(pdf: pd.DataFrame, vector: int, state: int) -> pd.DataFrame:
 
 
 def _places(edges: DataFrame) -> DataFrame:
-    """Vector behind, state before, and whether it is the last, for every segment of ``edges``."""
+    """Vector behind, state before, and whether it is the first or last, for every segment of ``edges``."""
     function = edges.select("key", "part", "seq", "sub", "kinds").mapInArrow(
         _functions, "key string, part bigint, seq bigint, sub bigint, to array<int>, state array<int>"
     )
@@ -352,38 +352,38 @@ def _places(edges: DataFrame) -> DataFrame:
 
     def of_conversation(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _placed(pdf.sort_values("part"), 0, 0)
-        return pdf.assign(last=pdf.part == pdf.part.max())[["key", "part", "vector", "before", "last"]]
+        ends = {"first": pdf.part == pdf.part.min(), "last": pdf.part == pdf.part.max()}
+        return pdf.assign(**ends)[["key", "part", "vector", "before", "first", "last"]]
 
     def of_segment(pdf: pd.DataFrame, place: pd.DataFrame) -> pd.DataFrame:
         pdf = _placed(pdf.sort_values(order), int(place.vector.iloc[0]), int(place.before.iloc[0]))
-        last = np.zeros(len(pdf), bool)
-        last[-1] = place["last"].iloc[0]
-        return pdf.assign(last=last)[["key", "part", *order, "vector", "before", "last"]]
+        first, last = np.zeros((2, len(pdf)), bool)
+        first[0], last[-1] = place["first"].iloc[0], place["last"].iloc[0]
+        return pdf.assign(first=first, last=last)[["key", "part", *order, "vector", "before", "first", "last"]]
 
     # A group holds one row per segment of a range, then one per range.
     ranges = function.groupBy("key", "part").applyInPandas(of_range, "key string, part bigint, to array<int>, state array<int>")
-    placed = ranges.groupBy("key").applyInPandas(of_conversation, "key string, part bigint, vector int, before int, last boolean")
+    placed = ranges.groupBy("key").applyInPandas(of_conversation, "key string, part bigint, vector int, before int, first boolean, last boolean")
     return (
         function.groupBy("key", "part")
         .cogroup(placed.groupBy("key", "part"))
-        .applyInPandas(of_segment, "key string, part bigint, seq bigint, sub bigint, vector int, before int, last boolean")
+        .applyInPandas(of_segment, "key string, part bigint, seq bigint, sub bigint, vector int, before int, first boolean, last boolean")
     )
 
 
-def _solved(kinds: Column, copies: Column, vector: Column, before: Column, last: Column) -> Column:
+def _solved(kinds: Column, copies: Column, vector: Column, before: Column, first: Column, last: Column) -> Column:
     """A struct: audit and cost of a segment, and for each message it leaves: place of its source
     (-1 if inserted) and a new role if it has one."""
 
     @F.arrow_udf("audit string, cost bigint, source array<int>, given array<string>")
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         t = tables()
-        for kind_lists, copy_lists, vectors, befores, lasts in batches:
+        for columns in batches:
             out = []
-            rows = zip(*(c.to_pylist() for c in (kind_lists, copy_lists, vectors, befores, lasts)), strict=True)
-            for kinds, copies, vector, state, is_last in rows:
+            for kinds, copies, vector, state, is_first, is_last in zip(*(c.to_pylist() for c in columns), strict=True):
                 added, start, edits, end = t.solve(np.array(kinds, np.int64), vector, state)
                 more = sum(copies) - len(copies)
-                cost = added + DELETE * more + (t.vectors[start][0] if state == 0 else 0)
+                cost = added + DELETE * more + (t.vectors[start][0] if is_first else 0)
                 audit, source, given = [], [], []
 
                 def give(place: int) -> None:
@@ -413,7 +413,7 @@ def _solved(kinds: Column, copies: Column, vector: Column, before: Column, last:
                 pa.struct([("audit", pa.string()), ("cost", pa.int64()), ("source", pa.list_(pa.int32())), ("given", pa.list_(pa.string()))]),
             )
 
-    return run(kinds, copies, vector, before, last)
+    return run(kinds, copies, vector, before, first, last)
 
 
 def repaired_segments(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -425,7 +425,7 @@ def repaired_segments(messages: DataFrame, conv: str = "conv_id", turn: str = "t
     parts = store(rows.mapInArrow(_segments, _SEGMENT), "segments")
     edges = parts.where("edge")
     placed = edges.join(_places(edges), ["key", "part", "seq", "sub"])
-    whole = parts.where("not edge").select("*", F.lit(0).alias("vector"), F.lit(0).alias("before"), F.lit(True).alias("last"))
+    whole = parts.where("not edge").select("*", F.lit(0).alias("vector"), F.lit(0).alias("before"), F.lit(True).alias("first"), F.lit(True).alias("last"))
 
     def message(z: Column) -> Column:
         old = z["source"] >= 0
@@ -435,9 +435,9 @@ def repaired_segments(messages: DataFrame, conv: str = "conv_id", turn: str = "t
         )
 
     def solved(side: DataFrame) -> DataFrame:
-        done = side.withColumn("s", _solved(*(F.col(c) for c in ("kinds", "copies", "vector", "before", "last"))))
+        done = side.withColumn("s", _solved(*(F.col(c) for c in ("kinds", "copies", "vector", "before", "first", "last"))))
         repaired = F.transform(F.arrays_zip(F.col("s.source").alias("source"), F.col("s.given").alias("given")), message)
-        return done.select("*", "s.audit", "s.cost", repaired.alias("repaired")).drop("s", "kinds", "copies", "roles", "texts", "vector", "before", "last")
+        return done.select("*", "s.audit", "s.cost", repaired.alias("repaired")).drop("s", "kinds", "copies", "roles", "texts", "vector", "before", "first", "last")
 
     return solved(whole).unionByName(solved(placed))
 
