@@ -9,6 +9,8 @@ from riskframe.llm.common import discard, store
 
 # Links per file of the stored state: a few megabytes.
 ROWS_PER_FILE = 50_000
+# Up to this many links the minima per node are broadcast, and the rows of a hot node stay where they are.
+BROADCAST_ROWS = 100_000
 
 
 def _down(edges: DataFrame) -> DataFrame:
@@ -35,14 +37,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = store(_down(links), "links")
     while not _are_stars(edges):
+        size = edges.count()
+
+        def minima(side: DataFrame, small: bool = size <= BROADCAST_ROWS) -> DataFrame:
+            return F.broadcast(side) if small else side
+
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(minima(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(minima(lowest), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = _down(small.unionByName(lowest.select("u", F.col("m").alias("v"))))
         # No more rows than before come out, so this many files hold them.
-        files = 1 + edges.count() // ROWS_PER_FILE
+        files = 1 + size // ROWS_PER_FILE
         after = store(after.coalesce(files), "links")
         discard(edges)
         edges = after

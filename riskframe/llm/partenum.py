@@ -11,7 +11,8 @@ into K + 1 + x partitions; linked sets agree on at least 1 + x of them, whatever
 every nonempty partition content is one signature (the subsets enumerated are single partitions).
 A set with more than x empty partitions also signs in a second, independent partitioning, and so
 on; in the last one it signs its empty partitions too. So linked sets always share a signature,
-and no signature says merely "empty" except in that last resort.
+and no signature says merely "empty" except in that last resort. x is chosen per band so that even
+its smallest sets rarely have more empty partitions than that.
 
 Search. Rows (signature, id) are sorted by signature, and every member of a bucket is compared
 with one pivot; equal signatures inside one task keep one row each before the shuffle. Verified
@@ -50,6 +51,8 @@ BROADCAST_IDS = 100_000
 BUCKET_ROWS = 512
 DIVISIONS = 3
 PIVOT_ROUNDS = 1
+# Signatures per batch that leaves a Python worker.
+EMIT_ROWS = 100_000
 
 _U = np.uint64
 
@@ -62,6 +65,17 @@ def smallest(percent: int) -> int:
 SMALLEST = smallest(85)
 
 
+def _spare(differ: int, size: int) -> int:
+    """Partitions beyond differ + 1 such that ``size`` features rarely leave more than these empty;
+    at most half of ``differ``, where small sets leave too many anyway."""
+    for spare in range(differ // 2 + 1):
+        parts = differ + 1 + spare
+        empty = parts * np.exp(-size / parts)
+        if spare >= empty + np.sqrt(empty):
+            return spare
+    return differ // 16
+
+
 class Bands:
     """Size bands for a similarity of ``percent``: smallest and largest size, and K."""
 
@@ -75,6 +89,9 @@ class Bands:
             low = high + 1
         self.low, self.high = np.array(self.low), np.array(self.high)
         self.differ = 2 * self.high * (100 - percent) // (100 + percent)
+        # The smallest set that signs for a band has a partner of its smallest size.
+        least = -(-percent * self.low // 100)
+        self.spare = np.array([_spare(int(k), int(m)) for k, m in zip(self.differ, least, strict=True)])
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.high, size)
@@ -128,7 +145,7 @@ def signatures(
                 break
             band = bands.of(counts[chosen]) + step
             differ = bands.differ[band]
-            parts = differ + 1 + differ // 16
+            parts = differ + 1 + bands.spare[band]
             size = counts[chosen]
             own = np.repeat(np.arange(len(chosen)), size)
             at = np.repeat(start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -174,28 +191,28 @@ def _digest(text: Column, n: int) -> Column:
 
 
 def _emit(n: int, percent: int):
-    """Rows (sig, id, pivot): the first member of a signature in a batch, with itself as pivot, goes
-    to its bucket; later members of the batch only need the comparison with that first one."""
+    """Rows (sig, id, pivot): the first member of a signature in a chunk, with itself as pivot, goes
+    to its bucket; later members of the chunk only need the comparison with that first one."""
 
     def run(batches):
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            sig, own = [], []
+            # A chunk at a time: memory does not depend on the size of Arrow batches.
             for chunk in tx.chunks(batch.column("text")):
-                s, who = signatures(*shingle_sets(chunk, n), percent)
-                sig.append(s)
-                own.append(ids[chunk.first + who])
-            sig, own = np.concatenate(sig), np.concatenate(own)
-            order = np.lexsort((own, sig))
-            sig, own = sig[order], own[order]
-            first = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
-            pivot = own[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-            passing = ~first
-            # Rows that need no bucket are spread by id.
-            sig = np.where(passing, tx.mix(own.astype(np.uint64)), sig)
-            keep = first | (own != pivot)
-            rows = [sig.view(np.int64)[keep], own[keep], pivot[keep]]
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["sig", "id", "pivot"])
+                sig, who = signatures(*shingle_sets(chunk, n), percent)
+                own = ids[chunk.first + who]
+                order = np.lexsort((own, sig))
+                sig, own = sig[order], own[order]
+                first = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
+                pivot = own[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
+                passing = ~first
+                # Rows that need no bucket are spread by id.
+                sig = np.where(passing, tx.mix(own.astype(np.uint64)), sig)
+                keep = first | (own != pivot)
+                columns = [sig.view(np.int64)[keep], own[keep], pivot[keep]]
+                for at in range(0, max(len(columns[0]), 1), EMIT_ROWS):
+                    rows = [pa.array(c[at : at + EMIT_ROWS], pa.int64()) for c in columns]
+                    yield pa.RecordBatch.from_arrays(rows, ["sig", "id", "pivot"])
 
     return run
 
@@ -400,6 +417,8 @@ def jaccard_components(
     right = rows.select("sig", F.col("id").alias("b"), F.col("root").alias("other")).join(join.info("b"), "b")
     across = left.join(right, "sig").where((F.col("a") > F.col("b")) & (F.col("root") != F.col("other")))
     join.verify(across.where(_near("a", "b", percent)).select("a", "b"))
+    # The result reads members and links only.
+    discard(pairs, candidates, known)
 
     roots = join.links.select(F.col("u").alias("rep"), F.col("v").alias("root"))
     return members.join(roots, "rep", "left").select(
