@@ -38,12 +38,12 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import discard, store
+from riskframe.llm.common import discard, release_memory, store
 from riskframe.session import shared_dir
 
 WORD_END = "</w>"
-COUNTED_AT_ONCE = 500_000
-CACHED_WORDS = 200_000
+COUNTED_AT_ONCE = 200_000
+CACHED_WORDS = 100_000
 CHUNK_CHARS = 1 << 19
 LONGEST_WORD = 100
 # Frequencies from here on are one class: so frequent words are few.
@@ -117,7 +117,7 @@ class Merger:
         self.ranks = {(a, b): rank << ID_BITS | new for rank, (a, b, new) in reversed(list(enumerate(rows)))}
         self.special = vocabulary.special
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.pattern, self.wide_pattern = word_pattern(0xFFFF), word_pattern()
+        self.ascii_pattern, self.pattern, self.wide_pattern = word_pattern(0x7F), word_pattern(0xFFFF), word_pattern()
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; special tokens stand for themselves, after a NUL."""
@@ -129,9 +129,9 @@ class Merger:
         return out
 
     def plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        if text.isascii():
+            return self.ascii_pattern.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return (self.wide_pattern if _BEYOND.search(text) else self.pattern).findall(text)
 
     def merge(self, word: str) -> list[int]:
@@ -303,6 +303,18 @@ def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 _lexicons: dict[str, Lexicon] = {}
 
 
+class _Slots(dict):
+    """Numbers for words, given when a word is first looked up."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class _Encoder:
     """A worker's words seen so far: each has a slot, slots point into one array of ids."""
 
@@ -314,48 +326,52 @@ class _Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slots = _Slots()
         self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def learn(self, words: list[str]) -> None:
         rank = self.lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in words])
-        hits = np.flatnonzero(rank >= 0)
-        misses = np.flatnonzero(rank < 0)
-        first = self.lexicon.at[rank[hits]]
-        size = self.lexicon.at[rank[hits] + 1] - first
-        known = self.lexicon.ids[_runs(first, size)]
-        merged = [self.merger.merge(words[i]) for i in misses.tolist()]
-        sizes = np.array([len(m) for m in merged], np.int64)
-        new = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
-        for i in np.concatenate([hits, misses]).tolist():
-            self.slot[words[i]] = len(self.slot)
-        self.size = np.concatenate([self.size, size, sizes])
-        self.ids = np.concatenate([self.ids, known, new])
+        hit = rank >= 0
+        first = self.lexicon.at[rank[hit]]
+        size = np.zeros(len(words), np.int64)
+        size[hit] = self.lexicon.at[rank[hit] + 1] - first
+        merged = [self.merger.merge(words[i]) for i in np.flatnonzero(~hit).tolist()]
+        size[~hit] = [len(m) for m in merged]
+        begin = np.cumsum(size) - size
+        ids = np.zeros(int(size.sum()), np.int32)
+        ids[_runs(begin[hit], size[hit])] = self.lexicon.ids[_runs(first, size[hit])]
+        ids[_runs(begin[~hit], size[~hit])] = np.fromiter(chain.from_iterable(merged), np.int32, int(size[~hit].sum()))
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str | None]) -> pa.Array:
         words = [self.merger.words(t) if t else [] for t in texts]
-        if len(self.slot) > CACHED_WORDS:
+        if len(self.slots) > CACHED_WORDS:
             self.forget()
-        new = list(set().union(*words) - self.slot.keys())
-        if new:
-            self.learn(new)
         per_text = np.array([len(w) for w in words], np.int64)
-        every = map(self.slot.__getitem__, chain.from_iterable(words))
-        slots = np.fromiter(every, np.int64, int(per_text.sum()))
+        slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64, int(per_text.sum()))
+        if self.slots.new:
+            self.learn(self.slots.new)
+            self.slots.new = []
         size = self.size[slots]
         flat = self.ids[_runs((np.cumsum(self.size) - self.size)[slots], size)]
         ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_text)])]
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
 
+    def encode_column(self, column: pa.Array) -> pa.Array:
+        parts = [self.encode(texts) for texts in _slices(column)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
-def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= CHUNK_CHARS:
-            yield texts[at : i + 1]
-            at, size = i + 1, 0
-    yield texts[at:]
+
+def _slices(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some CHUNK_CHARS bytes at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        done = ends[at - 1] if at else 0
+        stop = max(int(np.searchsorted(ends, done + CHUNK_CHARS)), at + 1)
+        yield column[at:stop].to_pylist()
+        at = stop
 
 
 def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
@@ -372,12 +388,14 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
             return out
 
         for batch in batches:
-            for text in batch.column(0):
-                if text.is_valid:
-                    seen.update(merger.words(text.as_py()))
+            for texts in _slices(batch.column(0)):
+                for text in texts:
+                    if text:
+                        seen.update(merger.words(text))
                 if len(seen) > COUNTED_AT_ONCE:
                     yield rows()
         yield rows()
+        release_memory()
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -427,11 +445,35 @@ def encode(text: Column, vocabulary: Vocabulary, lexicon: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _Encoder(vocabulary, lexicon)
         for column in batches:
-            yield pa.concat_arrays([encoder.encode(part) for part in _slices(column.to_pylist())])
+            yield encoder.encode_column(column)
+        del encoder
+        release_memory()
 
     return run(text)
 
 
+def encode_and_decode(text: Column, vocabulary: Vocabulary, lexicon: str) -> Column:
+    """A struct (ids, decoded): both directions in one worker."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, tokens = _Encoder(vocabulary, lexicon), pa.array(vocabulary.tokens, pa.string())
+        for column in batches:
+            ids = encoder.encode_column(column)
+            yield pa.StructArray.from_arrays([ids, _decoded(ids, tokens)], ["ids", "decoded"])
+        del encoder, tokens
+        release_memory()
+
+    return run(text)
+
+
+def _decoded(column: pa.Array, tokens: pa.Array) -> pa.Array:
+    strings = tokens.take(column.flatten())
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(at, strings), " ")
+
+
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """The text of an id list: its token strings joined by spaces, special tokens included."""
 
@@ -439,10 +481,7 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = pa.array(vocabulary.tokens, pa.string())
         for column in batches:
-            strings = tokens.take(column.flatten())
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            yield pc.binary_join(pa.ListArray.from_arrays(at, strings), " ")
+            yield _decoded(column, tokens)
 
     return run(ids)
 
@@ -452,6 +491,12 @@ def encode_docs(docs: DataFrame, vocabulary: Vocabulary, lexicon: str, text_col:
     return docs.withColumn("ids", encode(F.col(text_col), vocabulary, lexicon))
 
 
+def encode_and_decode_docs(docs: DataFrame, vocabulary: Vocabulary, lexicon: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``."""
+    both = docs.withColumn("__both", encode_and_decode(F.col(text_col), vocabulary, lexicon))
+    return both.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both")
+
+
 def decode_docs(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``decoded``."""
     return docs.withColumn("decoded", decode(F.col(ids_col), vocabulary))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.session import shared_dir
@@ -54,6 +57,16 @@ def _delete_all() -> None:
             return
 
 
+def release_memory() -> None:
+    """Give a Python worker's free memory back to the system; Spark keeps workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        return
+
+
 def crc32_text(column: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes, as a long."""
     return F.crc32(column.cast("binary"))
@@ -64,15 +77,31 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
-def bounded_sample(df: DataFrame, id_col: str, rows: int, seed: int = 17) -> DataFrame:
-    """At most ``rows`` rows, always the same ones: those with the smallest hashed ids.
+def class_sample(
+    df: DataFrame, id_col: str, label_col: str, text_col: str, rows: int, least: int, seed: int = 17
+) -> DataFrame:
+    """At most ``rows`` rows with an id and a label, always the same ones: up to ``least`` of every
+    label first, in turns, then those with the smallest hashed ids.
 
-    Only ids and hashes are sorted; the rows come by a join with at most ``rows`` ids. Repeated
-    ids count once each.
+    Of rows that share an id the one with the least hashed label and text counts. Ids and hashes
+    alone are ranked, and each task passes on no more than ``rows`` of a label; the rows come by a
+    join with at most ``rows`` ids.
     """
-    order = F.xxhash64(F.col(id_col), F.lit(seed))
-    ids = df.select(F.col(id_col), order.alias("__order")).where(F.col(id_col).isNotNull()).distinct()
-    chosen = ids.orderBy("__order", id_col).limit(rows).select(F.col(id_col).alias("__chosen"))
+    content = F.xxhash64(F.col(label_col), F.col(text_col))
+    keyed = df.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    ids = keyed.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(content.alias("content"), F.col(label_col).alias("label"))).alias("__row"))
+    ids = ids.select("__id", "__row.*", F.xxhash64(F.col("__id"), F.lit(seed)).alias("order"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "__id"))
+    ranked = ids.withColumn("rank", rank).where(F.col("rank") <= rows)
+    chosen = ranked.orderBy(F.least("rank", F.lit(least + 1)), "order", "__id").limit(rows)
     # ``rows`` bounds the broadcast side.
-    found = df.join(F.broadcast(chosen), F.col(id_col) == F.col("__chosen"), "left_semi")
+    chosen = F.broadcast(chosen.select("__id", F.col("content").alias("__content")))
+    found = df.join(chosen, (F.col(id_col) == F.col("__id")) & (content == F.col("__content")), "left_semi")
     return found.dropDuplicates([id_col])
+
+
+def passages(text: Column, characters: int, pieces: int = 8) -> Column:
+    """A text, or of a longer one evenly spaced passages of ``characters`` in all."""
+    n, size = F.char_length(text), characters // pieces
+    at = [F.floor(n * k / pieces).cast("int") + 1 for k in range(pieces)]
+    return F.when(n > characters, F.concat_ws(" ", *[F.substring(text, a, F.lit(size)) for a in at])).otherwise(text)

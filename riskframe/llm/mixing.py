@@ -1,20 +1,29 @@
 """Soft-membership mixing of documents to target domain weights.
 
 A softmax classifier over hashed word presence, trained on a labelled table, gives every document
-posteriors p_ij over domains. Nonnegative rates x_i (how often document i is used) are fitted so
-that expected tokens per domain, sum_i x_i t_i p_ij, meet the targets in least squares. The
-objective is (Ax - b)' M (Ax - b) with M the inverse of the Gram matrix sum_i t_i p_i p_i', and
-steps are scaled by 1 / t_i; an accelerated projected-gradient step then is
+posteriors p_ij over domains. Rates x_i (how often document i is used) within bounds are fitted so
+that expected tokens per domain, A x with A x = sum_i x_i t_i p_i, meet the targets b in least squares:
 
-    x_i <- max(0, y_i - p_i . s),   s = M (A y - b),   y_i <- x_i + momentum (x_i - last x_i),
+    minimise |A x - b|^2 / (2 RIDGE) + sum_i t_i (x_i - 1)^2 / 2   (all tokens together are 1)
 
-the same vector ``s`` for all rows. A pass over the rows needs only the list of steps so far, and
-returns one sum per domain: no state is written between steps and nothing grows on the driver.
-From x = 1 the first step solves the problem if no rate is clipped.
+The second part, small against the first, picks the rates closest to 1 among all that fit. Descent is
+by lazily projected gradients: a step moves every rate by p_i . s with the same vector s, and rates are
+the projection of 1 minus the sum of all steps so far,
+
+    x_i = min(upper_i, max(lower_i, 1 - p_i . steps)),
+
+so a pass over the rows needs that one sum, returns a few sums per domain, and no state is written
+between passes. A step is the gradient scaled by the Gram matrix of the rows that are not at a bound;
+each pass tries the step with several dampings at once and keeps the best. The problem is convex, so the
+solution is reached when the gradient A x - b - RIDGE * steps vanishes (``Mix.gradient``); the
+descent stops there, and ``Mix.converged`` says so.
 
 Domains named in ``keep`` must not be thinned: they alone set the total, the weights of the others
-are upper limits, a document whose likeliest domain is kept has a rate of at least 1, and any other
-one of at most 1. The rates are the least-squares solution within these bounds.
+are upper limits, a document whose likeliest domain is kept has a rate from 1 to ``MOST``, and any
+other one of at most 1. Rates are nonnegative always. Targets can be out of reach for two reasons: kept
+documents hold more tokens of a limited domain than its limit allows, or a kept domain is to grow
+while the posteriors of its documents are mixed. ``Mix`` then has the nearest totals, the residual of
+every domain, and in ``exceeded`` the domains whose limit is passed.
 
 Defined results: null or empty text has 0 tokens and the prior posteriors of an empty bag. Without
 labelled rows, posteriors are equal; a single domain has posterior 1. An empty table gives an
@@ -24,7 +33,8 @@ columns of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+import warnings
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,10 +43,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import text as tx
-from riskframe.llm.common import bounded_sample
+from riskframe.llm.common import class_sample, passages, release_memory
 
 BUCKETS = 1 << 17
-MAX_TRAINING_BYTES = 200_000
+# Longer texts take part in training with passages of this many characters in all.
+TRAINING_CHARACTERS = 200_000
+# The weight of rates near 1 against targets; part by which a limit may be passed.
+RIDGE, EXCESS = 1e-5, 0.001
+# Steps tried in one pass: damped by these parts of the current damping, which adapts.
+DAMPINGS = (0.0, 1.0, 30.0, 1000.0)
+# The most uses of a document of a kept domain.
+MOST = 4.0
 
 
 @dataclass
@@ -50,13 +67,27 @@ class DomainModel:
 
 @dataclass
 class Mix:
-    """Steps of the descent, the targets in tokens and the residuals relative to all tokens."""
+    """The sum of all steps, and per domain the target and the expected total, in tokens."""
 
     domains: list[str]
     targets: dict[str, float]
-    steps: list[list[float]] = field(default_factory=list)
-    residuals: list[float] = field(default_factory=list)
+    totals: dict[str, float] = field(default_factory=dict)
+    steps: list[float] = field(default_factory=list)
     keep: list[int] = field(default_factory=list)  # places of the kept domains
+    passes: int = 0
+    gradient: float = 0.0  # largest component at the solution, in shares of all tokens
+    converged: bool = True
+
+    @property
+    def residuals(self) -> dict[str, float]:
+        """Expected total less target."""
+        return {d: self.totals[d] - t for d, t in self.targets.items()}
+
+    @property
+    def exceeded(self) -> list[str]:
+        """Domains that are limited (not kept, where some are) and get over EXCESS more than their limit."""
+        limited = [d for j, d in enumerate(self.domains) if self.keep and j not in self.keep]
+        return [d for d in limited if self.totals[d] > self.targets[d] * (1 + EXCESS) + 1]
 
 
 def _present(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,21 +129,20 @@ def train(
     domain_col: str = "domain",
     id_col: str = "doc_id",
     max_rows: int = 6000,
+    least_rows: int = 500,
     epochs: int = 60,
     rate: float = 0.05,
     decay: float = 1e-4,
     seed: int = 17,
 ) -> DomainModel:
-    """Fit on at most ``max_rows`` labelled rows with texts of at most MAX_TRAINING_BYTES."""
-    usable = labelled.where(
-        F.col(domain_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= MAX_TRAINING_BYTES)
-    )
+    """Fit on at most ``max_rows`` labelled rows, up to ``least_rows`` of every domain first."""
+    usable = labelled.where(F.col(text_col).isNotNull())
     rows = (
-        bounded_sample(usable, id_col, max_rows, seed)
+        class_sample(usable, id_col, domain_col, text_col, max_rows, least_rows, seed)
         .select(
             F.col(id_col).cast("string").alias("id"),
             F.col(domain_col).cast("string").alias("domain"),
-            F.col(text_col).alias("text"),
+            passages(F.col(text_col), TRAINING_CHARACTERS).alias("text"),
         )
         .mapInArrow(_sample_rows, "id string, domain string, at binary")
         .collect()  # max_rows lists of distinct words
@@ -154,6 +184,7 @@ def posteriors(model: DomainModel, text: Column) -> Column:
             size = len(model.bias)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, size, dtype=np.int32)), pa.array(flat))
             yield pa.StructArray.from_arrays([pa.array(np.concatenate(tokens), pa.int64()), lists], ["tokens", "p"])
+        release_memory()
 
     return run(text)
 
@@ -166,29 +197,20 @@ def _kept(p: Sequence[Column], keep: Sequence[int]) -> Column:
     return clean
 
 
-def rate_of(
-    steps: Sequence[Sequence[float]], p: Sequence[Column], ahead: bool = False, keep: Sequence[int] = ()
-) -> Column:
-    """The rate of a row: all steps so far, replayed from 1; ``ahead`` is the point of the next gradient."""
-    if not steps:
-        return F.lit(1.0)
-    replay = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
-
-    def replayed(bounded: Callable[[Column], Column]) -> Column:
-        def step(state: Column, s: Column) -> Column:
-            move = F.lit(0.0)
-            for j, pj in enumerate(p):
-                move = move + pj * s[j]
-            x = bounded(state["y"] - move)
-            return F.struct(x.alias("x"), (x + s[len(p)] * (x - state["x"])).alias("y"))
+def _bounded(p: Sequence[Column], keep: Sequence[int], free: Column) -> tuple[Column, Column]:
+    """A rate within its bounds, and whether it is inside of them."""
+    if not keep:
+        return F.greatest(F.lit(0.0), free), free > 0
+    kept = _kept(p, keep)
+    low, high = F.when(kept, 1.0).otherwise(0.0), F.when(kept, MOST).otherwise(1.0)
+    return F.least(high, F.greatest(low, free)), (free > low) & (free < high)
 
-        start = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
-        return F.aggregate(replay, start, step, lambda state: state["y" if ahead else "x"])
 
-    if not keep:
-        return replayed(lambda x: F.greatest(F.lit(0.0), x))
-    thinned = replayed(lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x)))
-    return F.when(_kept(p, keep), replayed(lambda x: F.greatest(F.lit(1.0), x))).otherwise(thinned)
+def rate_of(mix: Mix, p: Sequence[Column]) -> Column:
+    """The rate of a row from its posteriors."""
+    if not mix.steps:
+        return F.lit(1.0)
+    return _bounded(p, mix.keep, 1 - sum(pj * float(v) for pj, v in zip(p, mix.steps, strict=True)))[0]
 
 
 def fit(
@@ -196,9 +218,9 @@ def fit(
     domains: Sequence[str],
     weights: Mapping[str, float],
     repeats: float = 1.0,
-    steps: int = 30,
-    tolerance: float = 1e-6,
     keep: Sequence[str] = (),
+    max_passes: int = 40,
+    tolerance: float = 1e-9,
 ) -> Mix:
     """Fit rates for stored rows (tokens, p), one short pass per step.
 
@@ -212,43 +234,76 @@ def fit(
         return Mix([], {})
     t, p = F.col("tokens").cast("double"), [F.col("p")[j] for j in range(n)]
 
-    def totals(*columns: Column) -> np.ndarray:
+    def sums(*columns: Column) -> np.ndarray:
         first = rows.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
         return np.array(list(first), float)
 
-    sums = totals(*[t * p[i] * p[j] for i in range(n) for j in range(n)], *[t * c for c in p])
-    gram, supply = sums[: n * n].reshape(n, n), sums[n * n :]
+    supply = sums(*[t * c for c in p])
     everything = supply.sum()
     share = np.array([max(weights.get(d, 0.0), 0.0) for d in domains])
+    named = dict(zip(domains, supply.tolist(), strict=True))
     if everything == 0 or share.sum() == 0:
-        return Mix(list(domains), dict.fromkeys(domains, 0.0))
+        return Mix(list(domains), named, named)
     share /= share.sum()
     wanted = (share > 0) & (supply > 0)
     kept = np.array([d in keep for d in domains])
     if keep and not (wanted & kept).any():
-        return Mix(list(domains), dict(zip(domains, supply.tolist(), strict=True)))
+        return Mix(list(domains), named, named)
     bound = wanted & kept if keep else wanted
     total = repeats * (supply[bound] / share[bound]).min()
     tokens = np.where(kept, share * total, np.minimum(share * total, supply)) if keep else share * total
     target = tokens / everything
-    places = np.flatnonzero(kept).tolist()
-    mix = Mix(list(domains), dict(zip(domains, tokens.tolist(), strict=True)), keep=places)
-    inverse = np.linalg.pinv(gram / everything, rcond=1e-9)
-    since_restart, last = 0, None
-    for _ in range(steps):
-        y = rate_of(mix.steps, p, ahead=True, keep=places)
-        # Twelve digits: the order in which tasks add up does not show.
-        off = np.round(totals(*[t * c * y for c in p]) / everything, 12) - target
-        mix.residuals.append(float(np.abs(off).max()))
-        # Within the bounds of ``keep`` targets may be out of reach; sums that stand still are the solution.
-        still = keep and last is not None and np.abs(off - last).max() <= tolerance
-        if mix.residuals[-1] <= tolerance or still:
+    mix = Mix(list(domains), dict(zip(domains, tokens.tolist(), strict=True)), keep=np.flatnonzero(kept).tolist())
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    w = t / float(everything)
+
+    def measured(trials: Sequence[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Dual objective, totals and Gram matrix of the rows inside their bounds, at each point."""
+        columns = []
+        for point in trials:
+            free = 1 - sum(c * float(v) for c, v in zip(p, point, strict=True))
+            x, inside = _bounded(p, mix.keep, free)
+            # The gain of a row: -(p . point) x - (x - 1)^2 / 2 at its best x.
+            columns.append(w * ((free - 1) * x - (x - 1) * (x - 1) / 2))
+            columns += [w * c * x for c in p]
+            columns += [F.when(inside, w * p[i] * p[j]).otherwise(0.0) for i, j in pairs]
+        found = sums(*columns).reshape(len(trials), -1)
+        out = []
+        for point, row in zip(trials, found, strict=True):
+            gram = np.zeros((n, n))
+            for (i, j), v in zip(pairs, row[1 + n :], strict=True):
+                gram[i, j] = gram[j, i] = v
+            objective = row[0] + point @ target + RIDGE / 2 * point @ point
+            out.append((objective, row[1 : 1 + n], gram))
+        return out
+
+    point, damping = np.zeros(n), 1e-2
+    objective, reached, gram = measured([point])[0]
+    while True:
+        # Ten digits: the order in which tasks add up does not show.
+        gradient = np.round(reached - target, 10) - RIDGE * point
+        mix.passes, mix.gradient = mix.passes + 1, float(np.abs(gradient).max())
+        mix.converged = mix.gradient <= tolerance
+        if mix.converged or mix.passes >= max_passes:
+            break
+        tried = [d * damping for d in DAMPINGS]
+        trials = [point + np.linalg.solve(gram + (RIDGE + d) * np.eye(n), gradient) for d in tried]
+        found = measured(trials)
+        best = min(range(len(trials)), key=lambda k: found[k][0])
+        if found[best][0] < objective:
+            damping = max(tried[best], damping / 30 if best == 0 else 0) / 3
+            point, (objective, reached, gram) = trials[best], found[best]
+        elif damping > 1e6:  # no digit is left to gain
+            mix.converged = mix.gradient <= 1e-6
             break
-        last = off
-        worse = len(mix.residuals) > 1 and mix.residuals[-1] > mix.residuals[-2]
-        since_restart = 0 if worse else since_restart + 1
-        momentum = max(since_restart - 1, 0) / (since_restart + 2)
-        mix.steps.append([float(v) for v in inverse @ off] + [momentum])
+        else:
+            damping *= 1e4
+    mix.steps = [float(v) for v in point]
+    mix.totals = dict(zip(domains, (reached * everything).tolist(), strict=True))
+    if not mix.converged:
+        warnings.warn(f"mixing stopped after {mix.passes} passes at a gradient of {mix.gradient:.1e}", stacklevel=2)
+    if mix.exceeded:
+        warnings.warn(f"limits out of reach: {', '.join(mix.exceeded)}", stacklevel=2)
     return mix
 
 

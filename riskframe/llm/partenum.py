@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import text as tx
-from riskframe.llm.common import discard, store
+from riskframe.llm.common import discard, release_memory, store
 from riskframe.llm.components import components
 
 FAMILIES = 6
@@ -186,6 +186,7 @@ def _digest(text: Column, n: int) -> Column:
                 rows = [pa.array(c.view(np.int64)) for c in (counts, d1, d2)]
                 parts.append(pa.StructArray.from_arrays(rows, ["n", "d1", "d2"]))
             yield pa.concat_arrays(parts)
+        release_memory()
 
     return run(text)
 
@@ -213,6 +214,7 @@ def _emit(n: int, percent: int):
                 for at in range(0, max(len(columns[0]), 1), EMIT_ROWS):
                     rows = [pa.array(c[at : at + EMIT_ROWS], pa.int64()) for c in columns]
                     yield pa.RecordBatch.from_arrays(rows, ["sig", "id", "pivot"])
+        release_memory()
 
     return run
 
@@ -264,6 +266,7 @@ def _describe(text: Column, n: int, percent: int, seed: int = 0) -> Column:
                     )
                 )
             yield pa.concat_arrays(parts)
+        release_memory()
 
     return run(text)
 
@@ -286,6 +289,7 @@ def _linked(left: Column, right: Column, n: int, percent: int) -> Column:
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 out.append(100 * same >= percent * (len(x) + len(y) - same) and same > 0)
             yield pa.array(out, pa.bool_())
+        release_memory()
 
     return run(left, right)
 

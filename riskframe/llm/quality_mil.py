@@ -6,8 +6,8 @@ learned tanh layer. Gated attention, w . (tanh(V h) * sigmoid(U h)) with a softm
 weighs the passages; the weighted sum of their representations is scored by a logistic unit. Only
 document labels are needed: the gradient finds the passages that decide them.
 
-Training takes a bounded sample of labelled rows (``max_rows`` texts of at most
-``MAX_TRAINING_BYTES`` each, a bound on training alone); scoring reads every passage of every text.
+Training takes a bounded sample of labelled rows (``max_rows`` texts, longer ones with passages of
+``TRAINING_CHARACTERS`` in all, a bound on training alone); scoring reads every passage of every text.
 
 Defined results: null or empty text is a bag with one all-zero passage and gets the score of that
 bag. Without labelled rows of both classes every score is the share of label 1 (0.5 without any).
@@ -25,11 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import text as tx
-from riskframe.llm.common import bounded_sample
+from riskframe.llm.common import class_sample
+from riskframe.llm.common import passages as sample_passages
 
 PASSAGE_WORDS = 64
 WORD_BUCKETS = 32
-MAX_TRAINING_BYTES = 200_000
+TRAINING_CHARACTERS = 200_000
 
 # Classes of bytes: 0 other, then the groups below, then letters, digits, space and non-ASCII.
 _GROUPS = ["#", "*", "$", "%", "&", "|", "<>", "!", "?", ".", ",", ";:", "'\"`", "()[]{}", "-_=+", "/\\@~^", "\n"]
@@ -147,18 +148,20 @@ def train(
     label_col: str = "quality",
     id_col: str = "doc_id",
     max_rows: int = 3000,
+    least_rows: int = 300,
     hidden: int = 24,
     attention: int = 16,
     epochs: int = 25,
     rate: float = 0.01,
     seed: int = 17,
 ) -> Weights:
-    """Fit on at most ``max_rows`` rows of ``labelled`` (text and a label 0 or 1)."""
-    usable = labelled.where(
-        F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= MAX_TRAINING_BYTES)
-    )
-    sample = bounded_sample(usable, id_col, max_rows, seed).select(
-        F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text")
+    """Fit on at most ``max_rows`` rows of ``labelled`` (text and a label 0 or 1), up to ``least_rows``
+    of either label first."""
+    usable = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull())
+    sample = class_sample(usable, id_col, label_col, text_col, max_rows, least_rows, seed).select(
+        F.col(id_col).cast("string").alias("id"),
+        F.col(label_col).cast("int").alias("label"),
+        sample_passages(F.col(text_col), TRAINING_CHARACTERS).alias("text"),
     )
     # max_rows bags of bounded size
     rows = sorted(sample.mapInArrow(_bags, "id string, label int, x binary").collect(), key=lambda r: r.id)

@@ -44,7 +44,7 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents").select("doc_id", "text")
     words = vocabulary()
     lexicon = bpe_lexicon.build_lexicon(docs, words)
-    decoded = bpe_lexicon.decode_docs(bpe_lexicon.encode_docs(docs, words, lexicon), words)
+    decoded = bpe_lexicon.encode_and_decode_docs(docs, words, lexicon)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -79,7 +79,8 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.fit(rows, model.domains, MIX_WEIGHTS, MIX_REPEATS, keep=MIX_KEEP)
     p = [F.col("p")[j] for j in range(len(model.domains))]
     named = [c.alias(f"p_{d}") for c, d in zip(p, model.domains, strict=True)]
-    return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix.steps, p, keep=mix.keep).alias("rate"))
+    fitted = [F.lit(float(v[d])).alias(f"{name}_{d}") for d in model.domains for name, v in (("target", mix.targets), ("total", mix.totals))]
+    return rows.select("doc_id", "tokens", *named, mixing.rate_of(mix, p).alias("rate"), *fitted)
 
 
 TOOL_SCHEMAS = {

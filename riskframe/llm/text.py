@@ -1,7 +1,7 @@
 """Vectorised reading of Arrow text columns: bytes, words and hashes in numpy.
 
 Everything here works on the UTF-8 bytes of whole texts. A batch is walked in chunks of
-about a megabyte, so memory does not depend on the batch; a longer text is a chunk of its own.
+half a megabyte, so memory does not depend on the batch; a longer text is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 WORD_LENGTH_FACTOR = _U(0x9E3779B97F4A7C15)

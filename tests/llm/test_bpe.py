@@ -91,7 +91,10 @@ def test_query_digests(spark, library):
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
-def test_slices_cover_all_rows():
-    texts = ["x" * 700_000, None, "y" * 700_000, "z"]
-    assert [t for part in b._slices(texts) for t in part] == texts
-    assert pa.concat_arrays([pa.array([1])]).to_pylist() == [1]
+def test_slices_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(b, "CHUNK_CHARS", 10)
+    texts = ["abc", None, "", "x" * 50, "éé", "defg", "h" * 10, None]
+    for rows in (texts, [], texts[:1]):
+        assert [t for part in b._slices(pa.array(rows, pa.string())) for t in part] == rows
+    assert [len(p) for p in b._slices(pa.array(["12345"] * 4))] == [1, 1, 1, 1]
+    assert [len(p) for p in b._slices(pa.array(["1"] * 25))] == [9, 9, 7]

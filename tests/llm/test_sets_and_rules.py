@@ -111,6 +111,10 @@ def base_counts(text):
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
 
 
+def folded(text):
+    return [tuple(WORD.findall(line.translate(FOLD))) for line in text.split("\n")]
+
+
 def test_line_rules_counts_and_frequency(spark):
     rng = random.Random(3)
     filler = lambda n: " ".join(rng.choices([f"x{i}" for i in range(5000)], k=n))
@@ -121,10 +125,17 @@ def test_line_rules_counts_and_frequency(spark):
     rows += [(300 + i, f"{boiler}\n{filler(4)}", "a") for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
     found = {r.doc_id: r for r in line_rules.apply_rules(df, min_docs=10, max_share=0.1).collect()}
-    for i, text, _ in rows:
+    holders = Counter()
+    contents = {(host, tuple(f for f in folded(text) if f)) for _, text, host in rows}
+    for host, content in contents:
+        holders.update((host, line) for line in set(content))
+    hosts = Counter(host for host, _ in contents)
+    for i, text, host in rows:
         assert tuple(found[i][c] for c in line_rules._COUNTS) == base_counts(text)
+        gone = [f for f in folded(text) if holders[host, f] > max(10, 0.1 * hosts[host])]
+        assert found[i].n_removed_words == sum(map(len, gone))
     assert found[0].n_removed_words == 6 and found[0].kept
-    assert found[100].n_removed_words == 0 and found[100].kept
+    assert found[100].n_removed_words == 7 and found[100].kept  # a no-break space is a word of its own
     assert found[200].base_failed and not found[200].kept
     assert found[300].depleted and not found[300].kept and not found[300].base_failed
 
