@@ -59,7 +59,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     read = docs.withColumn("__mix", mixing.posteriors(model, F.col("text")))
     rows = store(read.select("__mix.*"), "mix")
     mix = mixing.fit(rows, model.domains, queries.MIX_WEIGHTS, queries.MIX_REPEATS, keep=queries.MIX_KEEP)
-    rate = mixing.rate_of(mix.steps, [F.col("__mix.p")[j] for j in range(len(model.domains))], keep=mix.keep)
+    rate = mixing.rate_of(mix, [F.col("__mix.p")[j] for j in range(len(model.domains))])
     uses = F.explode(F.array_repeat(F.lit(0), mixing.copies(rate, "doc_id")))
     return read.select(*docs.columns, uses.alias("__use")).select(docs.columns)
 
@@ -67,8 +67,8 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words = queries.vocabulary()
     lexicon = bpe_lexicon.build_lexicon(docs, words)
-    encoded = bpe_lexicon.encode_docs(docs.select("doc_id", "lang", "source", "text"), words, lexicon)
-    return bpe_lexicon.decode_docs(encoded, words).select("doc_id", "lang", "source", "ids", "decoded")
+    both = bpe_lexicon.encode_and_decode_docs(docs.select("doc_id", "lang", "source", "text"), words, lexicon)
+    return both.select("doc_id", "lang", "source", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
