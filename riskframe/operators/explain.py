@@ -8,12 +8,11 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.boosting import Ensemble
 from riskframe.operators.models import PlattModel
-from riskframe.session import scratch_path
 
 
 def linear_attribution(
@@ -66,50 +65,26 @@ class Leaf:
     share: list[float]
 
 
-def tree_leaves(model: GBTClassificationModel, df: DataFrame) -> list[Leaf]:
-    """All paths of the ensemble, read back from the saved model (its size is bounded by
-    trees times leaves, not by the data)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "trees")
-    model.save(path)
-    data = spark.read.parquet(f"{path}/data")
-    nodes = data.select(
-        "treeID",
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.rawCount").alias("count"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    ).collect()
-    by_tree: dict[int, dict[int, object]] = {}
-    for n in nodes:
-        by_tree.setdefault(n["treeID"], {})[n["id"]] = n
+def tree_leaves(model: Ensemble) -> list[Leaf]:
+    """All paths of the ensemble (as many as the model has leaves, whatever the data)."""
     leaves: list[Leaf] = []
-    for tree_id, tree in by_tree.items():
-        weight = float(model.treeWeights[tree_id])
-        stack = [(tree[0], {})]
+    for start in model.start.tolist():
+        stack = [(start, {})]
         while stack:
-            node, path_so_far = stack.pop()
-            if node["left"] < 0:
-                names = sorted(path_so_far)
-                leaves.append(
-                    Leaf(
-                        weight * node["prediction"],
-                        names,
-                        [path_so_far[f][0] for f in names],
-                        [path_so_far[f][1] for f in names],
-                        [path_so_far[f][2] for f in names],
-                    )
-                )
+            node, path = stack.pop()
+            f = int(model.feature[node])
+            if f < 0:
+                names = sorted(path)
+                low, high, share = ([path[n][i] for n in names] for i in range(3))
+                leaves.append(Leaf(float(model.value[node]), names, low, high, share))
                 continue
-            f, t = node["feature"], node["threshold"]
-            low, high, share = path_so_far.get(f, (-np.inf, np.inf, 1.0))
-            for side, bounds in (("left", (low, min(high, t))), ("right", (max(low, t), high))):
-                child = tree[node[side]]
-                part = child["count"] / node["count"]
-                stack.append((child, {**path_so_far, f: (*bounds, share * part)}))
+            cut = float(model.threshold[node])
+            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+            sides = ((model.left, (low, min(high, cut))), (model.right, (max(low, cut), high)))
+            for children, bounds in sides:
+                child = start + int(children[node])
+                part = float(model.rows[child] / model.rows[node])
+                stack.append((child, {**path, f: (*bounds, share * part)}))
     return leaves
 
 
@@ -147,11 +122,11 @@ def base_margin(leaves: Sequence[Leaf]) -> float:
 
 
 def tree_attribution(
-    df: DataFrame, model: GBTClassificationModel, cols: Sequence[str], id_col: str
+    df: DataFrame, model: Ensemble, cols: Sequence[str], id_col: str
 ) -> DataFrame:
     """Path-dependent Shapley values of the boosted margin for every row: ``id``, one
     column per feature, ``base``. Row values plus base equal the margin."""
-    return _attribution(df, tree_leaves(model, df), cols, id_col)
+    return _attribution(df, tree_leaves(model), cols, id_col)
 
 
 def calibrated_attribution(df: DataFrame, model: PlattModel, cols: Sequence[str], id_col: str) -> DataFrame:
@@ -164,7 +139,7 @@ def calibrated_attribution(df: DataFrame, model: PlattModel, cols: Sequence[str]
     leaves = [
         replace(leaf, value=leaf.value * slope / n)
         for fold, slope, _ in model.folds
-        for leaf in tree_leaves(fold.stages[-1], df)
+        for leaf in tree_leaves(fold)
     ]
     return _attribution(df, leaves, cols, id_col)
 

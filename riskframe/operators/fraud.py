@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.scores import at_or_above, fraud_label
-from riskframe.operators import models
+from riskframe.operators import boosting, models
 from riskframe.operators.curves import best_threshold
 from riskframe.operators.ordering import quantile_values
 from riskframe.operators.quality import split_valid, transaction_rules
@@ -61,25 +60,18 @@ def training_table(
 def fit_classifier(
     train: DataFrame, id_col: str, label: str, cols: Sequence[str], ratio: float = 0.1,
     seed: int = 42, **options,
-) -> PipelineModel:
+) -> boosting.Ensemble:
     """Boosted trees on the oversampled, class-weighted table."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-
     table = training_table(train, id_col, label, cols, ratio, seed)
     weighted = models.with_class_weight(cut_lineage(table, "smote"), "label")
     stored = models.stable_order(weighted, "row_id", "fraud")
-    steps = [
-        VectorAssembler(inputCols=list(cols), outputCol="features"),
-        models.gbt_estimator(seed=seed, holdout="holdout", weight="weight", **options),
-    ]
-    return Pipeline(stages=steps).fit(stored)
+    return boosting.fit(stored, cols, "row_id", boosting.with_options(seed=seed, **options))[0]
 
 
 def score_transactions(
     df: DataFrame,
     reconstruction: models.ReconstructionModel,
-    classifier: PipelineModel,
+    classifier: boosting.Ensemble,
     threshold: float,
 ) -> DataFrame:
     """Error, probability, flag and label in one projection."""

@@ -1,4 +1,4 @@
-"""Model fits: clusters, projections, boosted trees, baselines and calibration (MLlib)."""
+"""Model fits: clusters, projections, boosted trees, baselines and calibration."""
 
 from __future__ import annotations
 
@@ -7,18 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators import boosting
 from riskframe.operators.metrics import with_class_weight
 from riskframe.operators.ordering import hash_fraction
 from riskframe.operators.sampling import holdout_flag
@@ -107,46 +103,16 @@ def fit_reconstruction(normal: DataFrame, cols: Sequence[str], k: int = 8) -> Re
 
 
 def stable_order(df: DataFrame, id_col: str, name: str) -> DataFrame:
-    """A written table whose partitions do not depend on the input's layout; MLlib's
-    row sampling depends on partitioning. Partitions grow with the rows; small tables take
+    """A written table whose partitions do not depend on the input's layout: MLlib's
+    row sampling and the order of sums depend on it. Partitions grow with the rows; small tables take
     few, because every tree level is a job over all of them."""
     wanted = -(-max(df.count(), 1) // ROWS_PER_PARTITION)
     return cut_lineage(df.repartition(wanted, id_col).sortWithinPartitions(id_col), name)
 
 
-def gbt_estimator(
-    trees: int = 500,
-    depth: int = 6,
-    rate: float = 0.05,
-    row_share: float = 0.8,
-    column_share: float = 0.8,
-    min_rows: int = 1,
-    seed: int = 42,
-    holdout: str | None = None,
-    weight: str | None = None,
-    label: str = "label",
-) -> GBTClassifier:
-    gbt = GBTClassifier(
-        featuresCol="features",
-        labelCol=label,
-        maxIter=trees,
-        maxDepth=depth,
-        stepSize=rate,
-        subsamplingRate=row_share,
-        featureSubsetStrategy=str(column_share),
-        minInstancesPerNode=min_rows,
-        seed=seed,
-    )
-    if holdout:
-        gbt = gbt.setValidationIndicatorCol(holdout)
-    if weight:
-        gbt = gbt.setWeightCol(weight)
-    return gbt
-
-
 def fit_gbt(
     train: DataFrame, cols: Sequence[str], id_col: str, label: str, seed: int = 42, **options
-) -> PipelineModel:
+) -> boosting.Ensemble:
     """Weighted boosted trees with a hashed hold-out for early stopping."""
     flagged = train.withColumn("holdout", holdout_flag(id_col, 0.15, seed))
     table = stable_order(
@@ -154,23 +120,17 @@ def fit_gbt(
         id_col,
         "gbt",
     )
-    steps = [
-        VectorAssembler(inputCols=list(cols), outputCol="features"),
-        gbt_estimator(seed=seed, holdout="holdout", weight="weight", **options),
-    ]
-    return Pipeline(stages=steps).fit(table)
+    return boosting.fit(table, cols, id_col, boosting.with_options(seed=seed, **options))[0]
 
 
 def positive_probability(name: str = "probability") -> Column:
     return vector_to_array(name)[1]
 
 
-def raw_margin(name: str = "rawPrediction") -> Column:
-    return vector_to_array(name)[1]
-
-
-def score_with(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFrame:
+def score_with(model: PipelineModel | boosting.Ensemble, df: DataFrame, name: str = "p") -> DataFrame:
     """Adds the positive-class probability and drops MLlib's working columns."""
+    if isinstance(model, boosting.Ensemble):
+        return df.withColumn(name, boosting.probability_of(model))
     return (
         model.transform(df)
         .withColumn(name, positive_probability())
@@ -178,11 +138,10 @@ def score_with(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFram
     )
 
 
-def feature_importance(model: GBTClassificationModel, cols: Sequence[str], df: DataFrame) -> DataFrame:
-    """Importance per feature, ranked (one row per feature)."""
-    values = model.featureImportances.toArray()
-    rows = [(c, float(v)) for c, v in zip(cols, values)]
-    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
+def feature_importance(model: boosting.Ensemble, spark: SparkSession) -> DataFrame:
+    """Share of all gain per feature, ranked (one row per feature)."""
+    rows = [(c, float(v)) for c, v in zip(model.cols, model.importance())]
+    table = spark.createDataFrame(rows, "feature string, importance double")
     rank = F.row_number().over(
         Window.partitionBy(F.lit(0)).orderBy(F.col("importance").desc(), "feature")
     )
@@ -197,7 +156,7 @@ def fit_baselines(
     seed: int = 42,
     forest_trees: int = 200,
     gbt_trees: int = 300,
-) -> dict[str, PipelineModel]:
+) -> dict[str, PipelineModel | boosting.Ensemble]:
     """Balanced logistic regression, balanced forest and boosted trees on one table."""
     table = stable_order(
         with_class_weight(train, label).withColumn("label", F.col(label).cast("double")),
@@ -208,12 +167,11 @@ def fit_baselines(
     estimators = {
         "logistic": LogisticRegression(maxIter=100, **common),
         "forest": RandomForestClassifier(numTrees=forest_trees, seed=seed, **common),
-        "boosted": gbt_estimator(trees=gbt_trees, seed=seed, weight="weight", row_share=1.0, column_share=1.0),
     }
     assembler = VectorAssembler(inputCols=list(cols), outputCol="features")
-    return {
-        name: Pipeline(stages=[assembler, e]).fit(table) for name, e in estimators.items()
-    }
+    fitted = {name: Pipeline(stages=[assembler, e]).fit(table) for name, e in estimators.items()}
+    whole = boosting.with_options(trees=gbt_trees, seed=seed, row_share=1.0, column_share=1.0, patience=None)
+    return fitted | {"boosted": boosting.fit(table, cols, id_col, whole)[0]}
 
 
 # --- calibration --------------------------------------------------------------------
@@ -223,20 +181,16 @@ def fit_baselines(
 class PlattModel:
     """Per fold: a boosted model and the slope and intercept on its margin."""
 
-    folds: list[tuple[PipelineModel, float, float]]
+    folds: list[tuple[boosting.Ensemble, float, float]]
 
     def score(self, df: DataFrame, name: str = "pd") -> DataFrame:
         """Adds the mean calibrated probability over the folds."""
-        keep = df.columns
-        out, parts = df, []
-        for i, (model, slope, intercept) in enumerate(self.folds):
-            part = f"_p{i}"
-            scored = model.transform(out)
-            p = 1 / (1 + F.exp(-(raw_margin() * F.lit(slope) + F.lit(intercept))))
-            out = scored.withColumn(part, p).select(*keep, *parts, part)
-            parts.append(part)
-        mean = sum((F.col(p) for p in parts), F.lit(0.0)) / len(parts)
-        return out.withColumn(name, mean).select(*keep, name)
+        mean = sum((self.fold_score(i) for i in range(len(self.folds))), F.lit(0.0)) / len(self.folds)
+        return df.withColumn(name, mean)
+
+    def fold_score(self, i: int) -> Column:
+        model, slope, intercept = self.folds[i]
+        return 1 / (1 + F.exp(-(boosting.margin_of(model) * F.lit(slope) + F.lit(intercept))))
 
 
 def fit_platt(
@@ -248,7 +202,8 @@ def fit_platt(
     seed: int = 42,
     **options,
 ) -> PlattModel:
-    """Each fold's model is fitted on the other folds and calibrated on its own rows."""
+    """Each fold's model is fitted on the other folds and calibrated on its own rows; the models of all
+    folds grow in the same passes."""
     table = stable_order(
         df.select(id_col, *cols, F.col(label).cast("double").alias("label"))
         .withColumn("fold", (hash_fraction(id_col, seed) % folds).cast("int"))
@@ -256,18 +211,11 @@ def fit_platt(
         id_col,
         "platt",
     )
-    assembler = VectorAssembler(inputCols=list(cols), outputCol="features")
+    models = boosting.fit(table, cols, id_col, boosting.with_options(seed=seed, **options), folds)
     fitted = []
-    for k in range(folds):
-        estimator = gbt_estimator(seed=seed, holdout="holdout", **options)
-        model = Pipeline(stages=[assembler, estimator]).fit(table.where(F.col("fold") != k))
-        margins = model.transform(table.where(F.col("fold") == k)).select(
-            "label", F.array(raw_margin()).alias("m")
-        )
-        from pyspark.ml.functions import array_to_vector
-
-        lr = LogisticRegression(featuresCol="v", labelCol="label", maxIter=50).fit(
-            margins.withColumn("v", array_to_vector("m"))
-        )
+    for k, model in enumerate(models):
+        own = table.where(F.col("fold") == k)
+        margins = own.select("label", array_to_vector(F.array(boosting.margin_of(model))).alias("v"))
+        lr = LogisticRegression(featuresCol="v", labelCol="label", maxIter=50).fit(margins)
         fitted.append((model, float(lr.coefficients[0]), float(lr.intercept)))
     return PlattModel(fitted)

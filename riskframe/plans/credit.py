@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
-from riskframe.operators import credit, explain, impute, metrics, models, quality, sampling
+from riskframe.operators import boosting, credit, explain, impute, metrics, models, quality, sampling
 from riskframe.plans.fixtures import view
 from riskframe.plans.shape import rounded, sql
 from riskframe.session import cut_lineage
+from riskframe.sources.model_store import session_store
 from riskframe.sources.payload import APPLICANT_FIELDS, explode_payload
 
 LABEL = "serious_dlqin2yrs"
@@ -117,21 +120,56 @@ def payload_explode(spark, sf):
     )
 
 
-def _trees(n: int) -> dict:
-    return dict(trees=n, depth=5, min_rows=50, row_share=1.0, column_share=1.0)
+# Trees, depth, leaves, least rows of a leaf, rate, shares of rows and columns, and trees without
+# improvement of the described model.
+BOOSTED = dict(
+    trees=500, depth=6, max_leaves=31, min_rows=50, rate=0.05, row_share=0.8, column_share=0.8,
+    penalty=0.0, patience=50, metric="logloss",
+)
+
+
+def _split(spark, sf):
+    return cut_lineage(sampling.stratified_split(_features(spark, sf), "applicant_id", LABEL), "applicants")
+
+
+def _stored(spark, sf, name, fit):
+    """The session's model of these tables, fitted once."""
+    key = f"{name}-{hashlib.md5(sf.encode()).hexdigest()}"
+    return session_store(spark).load_or_fit(key, credit.FEATURES, fit)
+
+
+def _boosted(spark, sf):
+    """All applicants with their split, and the model of the training rows."""
+    df = _split(spark, sf)
+    train = df.where("split = 'train'")
+    fit = lambda: models.fit_gbt(train, credit.FEATURES, "applicant_id", LABEL, **BOOSTED)
+    return df, _stored(spark, sf, "credit", fit)
+
+
+# Bin ends for the first histograms of a boosted tree.
+EDGES = {
+    "utilization": [0.1, 0.25, 0.5, 0.9], "age": [30, 40, 50, 60, 70], "late_90": [0, 1, 2],
+    "monthly_income": [2000, 4000, 8000], "debt_ratio": [0.2, 0.5, 1.0],
+}
+
+
+def gradient_histogram(spark, sf):
+    """Gradient, curvature and rows per bin before the first tree."""
+    df = _features(spark, sf).withColumn("label", F.col(LABEL).cast("double"))
+    return rounded(boosting.root_histogram(df, EDGES))
 
 
 def credit_gbt(spark, sf):
-    df = _features(spark, sf)
-    model = models.fit_gbt(df, credit.FEATURES, "applicant_id", LABEL, **_trees(10))
-    return rounded(models.score_with(model, df).select("applicant_id", "p"))
+    df, model = _boosted(spark, sf)
+    return rounded(models.score_with(model, df).select("applicant_id", "split", "p"))
 
 
 def _calibrated(spark, sf):
-    """The model of the training rows, and the test rows, which no fold has seen."""
-    df = cut_lineage(sampling.stratified_split(_features(spark, sf), "applicant_id", LABEL), "applicants")
+    """The calibrated model of the training rows, and the test rows, which no fold has seen."""
+    df = _split(spark, sf)
     train, test = (df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
-    return models.fit_platt(train, credit.FEATURES, "applicant_id", LABEL, **_trees(3)), test
+    fit = lambda: models.fit_platt(train, credit.FEATURES, "applicant_id", LABEL, **BOOSTED)
+    return _stored(spark, sf, "platt", fit), test
 
 
 def platt_calibration(spark, sf):
@@ -154,11 +192,9 @@ def credit_scores(spark, sf):
 
 
 def tree_attribution(spark, sf):
-    df = _features(spark, sf)
-    model = models.fit_gbt(df, credit.FEATURES, "applicant_id", LABEL, **_trees(5))
-    return rounded(
-        explain.tree_attribution(df, model.stages[-1], credit.FEATURES, "applicant_id")
-    )
+    """Of the test rows, which the model has not seen."""
+    df, model = _boosted(spark, sf)
+    return rounded(explain.tree_attribution(df.where("split = 'test'"), model, credit.FEATURES, "applicant_id"))
 
 
 QUERIES = {
@@ -166,7 +202,7 @@ QUERIES = {
     for f in (
         validate_applicants, credit_clean, credit_features, impute_group_median,
         impute_global_median, null_profile, feature_medians, credit_score_map, decision_summary,
-        fairness_by_band, top_factors, mean_abs_attribution, payload_explode, credit_gbt,
+        fairness_by_band, top_factors, mean_abs_attribution, payload_explode, gradient_histogram, credit_gbt,
         platt_calibration, credit_scores, tree_attribution,
     )
 }
@@ -235,7 +271,19 @@ _band = (
     "when age > 60 and age <= 70 then '61-70' when age > 70 and age <= 100 then '71+' end"
 )
 
+_histograms = " union all ".join(
+    f"select '{c}' as feature, cast({' + '.join(f'({c} > {e})::int' for e in ends)} as int) as bin, "
+    f"0.5 - {LABEL} as g from clean"
+    for c, ends in EDGES.items()
+)
 ORACLES = {
+    "gradient_histogram": sql(
+        f"""with {CLEAN_CTE}
+select feature, bin, sum(cast(g as double)) as gradient, 0.25::double * count(*) as curvature, count(*) as rows
+from ({_histograms}) group by feature, bin""",
+        ["gradient", "curvature"],
+        _views,
+    ),
     "validate_applicants": sql(
         f"select applicant_id, concat_ws(',', {_broken}) as violations from applicants", views=_views
     ),

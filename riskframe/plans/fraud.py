@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from riskframe.operators import curves, fraud, impute, metrics, models, quality,
 from riskframe.plans.fixtures import view
 from riskframe.plans.shape import rounded, sql
 from riskframe.session import cut_lineage, scratch_path
+from riskframe.sources.model_store import session_store
 from riskframe.sources.schemas import TRANSACTION_FEATURES
 from riskframe.sources.tables import read_split, write_split
 
@@ -118,11 +121,18 @@ def fraud_risk_label(spark, sf):
     return view(spark, sf, "scored").select("id", fraud_label(F.col("p2")).alias("risk_label"))
 
 
+def _stored(spark, sf, name, columns, fit):
+    """The session's model of these tables, fitted once."""
+    key = f"{name}-{hashlib.md5(sf.encode()).hexdigest()}"
+    return session_store(spark).load_or_fit(key, columns, fit)
+
+
 def _reconstruction(spark, sf):
     train = sampling.stratified_split(_valid(spark, sf), ID, LABEL)
     train = cut_lineage(train, "split")
     normal = train.where((F.col("split") == "train") & (F.col(LABEL) == 0))
-    return train, models.fit_reconstruction(normal, TRANSACTION_FEATURES, 8)
+    fit = lambda: models.fit_reconstruction(normal, TRANSACTION_FEATURES, 8)
+    return train, _stored(spark, sf, "reconstruction", TRANSACTION_FEATURES, fit)
 
 
 def reconstruction_error(spark, sf):
@@ -140,25 +150,29 @@ def reconstruction_error(spark, sf):
 
 
 _FEATURES = [*TRANSACTION_FEATURES, "reconstruction_error"]
-_SMALL = dict(trees=5, depth=4)
+# Trees, depth, rate, shares of rows and columns, and trees without improvement of the described model.
+BOOSTED = dict(trees=500, depth=6, rate=0.05, row_share=0.8, column_share=0.8, patience=30, metric="ap")
 
 
-def fraud_gbt(spark, sf):
+def _classifier(spark, sf):
+    """Enriched rows, the reconstruction and the boosted classifier of the training rows."""
     rows, model = _reconstruction(spark, sf)
     enriched = cut_lineage(fraud.with_error(rows, model), "enriched")
     train = enriched.where(F.col("split") == "train")
-    fitted = fraud.fit_classifier(train, ID, LABEL, _FEATURES, SMOTE_RATIO, **_SMALL)
+    fit = lambda: fraud.fit_classifier(train, ID, LABEL, _FEATURES, SMOTE_RATIO, **BOOSTED)
+    return enriched, model, _stored(spark, sf, "fraud", _FEATURES, fit)
+
+
+def fraud_gbt(spark, sf):
+    enriched, _, fitted = _classifier(spark, sf)
     return rounded(models.score_with(fitted, enriched).select(ID, "split", "p"))
 
 
 def fraud_scores(spark, sf):
-    rows, model = _reconstruction(spark, sf)
-    enriched = cut_lineage(fraud.with_error(rows, model), "enriched")
-    train = enriched.where(F.col("split") == "train")
-    fitted = fraud.fit_classifier(train, ID, LABEL, _FEATURES, SMOTE_RATIO, **_SMALL)
+    enriched, model, fitted = _classifier(spark, sf)
     test = models.score_with(fitted, enriched.where(F.col("split") == "test"))
     threshold = fraud.chosen_threshold(test, "p", LABEL)
-    scored = fraud.score_transactions(rows.drop("split"), model, fitted, threshold)
+    scored = fraud.score_transactions(enriched.drop("split", "reconstruction_error"), model, fitted, threshold)
     return rounded(
         scored.select(ID, "fraud_probability", "is_fraud", "reconstruction_error", "risk_label")
     )
@@ -168,9 +182,7 @@ def baseline_models(spark, sf):
     """Average precision and AUC of the three baselines on the test split."""
     rows = cut_lineage(sampling.stratified_split(_valid(spark, sf), ID, LABEL), "split")
     train, test = (rows.where(F.col("split") == s) for s in ("train", "test"))
-    fitted = models.fit_baselines(
-        train, TRANSACTION_FEATURES, ID, LABEL, forest_trees=20, gbt_trees=5
-    )
+    fitted = models.fit_baselines(train, TRANSACTION_FEATURES, ID, LABEL)
     scored = test
     for name, model in fitted.items():
         scored = models.score_with(model, scored, name)
@@ -189,10 +201,8 @@ def baseline_models(spark, sf):
 
 
 def feature_importance(spark, sf):
-    rows, model = _reconstruction(spark, sf)
-    enriched = cut_lineage(fraud.with_error(rows, model), "enriched")
-    fitted = models.fit_gbt(enriched, _FEATURES, ID, LABEL, **_SMALL)
-    return rounded(models.feature_importance(fitted.stages[-1], _FEATURES, enriched))
+    """Of the model that scores transactions."""
+    return rounded(models.feature_importance(_classifier(spark, sf)[2], spark))
 
 
 QUERIES = {

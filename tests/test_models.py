@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import curves, explain, fraud, models, rfm
+from riskframe.operators import boosting, curves, explain, fraud, models, rfm
 
 
 @pytest.fixture(scope="module")
@@ -28,14 +28,14 @@ def test_boosted_model_beats_the_base_rate_and_is_reproducible(spark, labelled):
     a = {r["id"]: r["p"] for r in scored.collect()}
     b = {r["id"]: r["p"] for r in models.score_with(again, labelled).collect()}
     assert a == pytest.approx(b)
-    table = models.feature_importance(model.stages[-1], COLS, labelled).orderBy("rank").collect()
+    table = models.feature_importance(model, spark).orderBy("rank").collect()
     assert table[0]["feature"] in ("a", "b") and len(table) == 4
 
 
 def test_tree_attributions_add_up_to_the_margin(spark, labelled):
     model = models.fit_gbt(labelled, COLS, "id", "y", trees=4, depth=3)
-    phi = explain.tree_attribution(labelled, model.stages[-1], COLS, "id")
-    margins = model.transform(labelled).select("id", models.raw_margin().alias("m"))
+    phi = explain.tree_attribution(labelled, model, COLS, "id")
+    margins = labelled.select("id", boosting.margin_of(model).alias("m"))
     rows = phi.join(margins, "id").collect()
     assert len(rows) == 400
     for r in rows:
@@ -129,7 +129,7 @@ def test_calibrated_factors_cover_all_folds(spark, labelled):
     phi = explain.calibrated_attribution(labelled, model, COLS, "id").collect()
     mean = dict.fromkeys((r["id"] for r in phi), 0.0)
     for fold, slope, _ in model.folds:
-        for r in fold.transform(labelled).select("id", models.raw_margin().alias("m")).collect():
+        for r in labelled.select("id", boosting.margin_of(fold).alias("m")).collect():
             mean[r["id"]] += slope * r["m"] / 3
     for r in phi:
         assert abs(sum(r[c] for c in COLS) + r["base"] - mean[r["id"]]) < 1e-9
