@@ -192,7 +192,7 @@ def _digest(text: Column, n: int) -> Column:
 
 
 def _emit(n: int, percent: int):
-    """Rows (sig, id, pivot): the first member of a signature in a chunk, with itself as pivot, goes
+    """Rows (sig, id, pivot): the first member of a signature in a chunk, without a pivot, goes
     to its bucket; later members of the chunk only need the comparison with that first one."""
 
     def run(batches):
@@ -210,9 +210,10 @@ def _emit(n: int, percent: int):
                 # Rows that need no bucket are spread by id.
                 sig = np.where(passing, tx.mix(own.astype(np.uint64)), sig)
                 keep = first | (own != pivot)
-                columns = [sig.view(np.int64)[keep], own[keep], pivot[keep]]
-                for at in range(0, max(len(columns[0]), 1), EMIT_ROWS):
-                    rows = [pa.array(c[at : at + EMIT_ROWS], pa.int64()) for c in columns]
+                sig, own, pivot, first = sig.view(np.int64)[keep], own[keep], pivot[keep], first[keep]
+                for at in range(0, max(len(sig), 1), EMIT_ROWS):
+                    part = slice(at, at + EMIT_ROWS)
+                    rows = [pa.array(sig[part]), pa.array(own[part], pa.int64()), pa.array(pivot[part], pa.int64(), mask=first[part])]
                     yield pa.RecordBatch.from_arrays(rows, ["sig", "id", "pivot"])
         release_memory()
 
@@ -223,8 +224,9 @@ def _stars(batches):
     """From rows sorted by (sig, id): pairs (id, pivot) of every bucket with its first member."""
     last_sig, last_pivot = None, 0
     for batch in batches:
-        sig, ids, pivot = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        ready = pivot != ids
+        sig, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        ready = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        pivot = batch.column(2).fill_null(0).to_numpy(zero_copy_only=False)
         done_id, done_pivot = ids[ready], pivot[ready]
         sig, ids = sig[~ready], ids[~ready]
         if len(sig):
@@ -303,6 +305,11 @@ def _near(a: str, b: str, percent: int) -> Column:
     )
 
 
+def _small(side: DataFrame) -> DataFrame:
+    """A stored side of a join, broadcast if it has at most BROADCAST_IDS rows."""
+    return F.broadcast(side) if side.count() <= BROADCAST_IDS else side
+
+
 class _Join:
     """One run: the described candidates and what is known of their components."""
 
@@ -317,8 +324,10 @@ class _Join:
     def verify(self, pairs: DataFrame) -> int:
         """Compare pairs (a, b), add the links and refresh the components; returns the links found."""
         possible = pairs.distinct().join(self.info("a"), "a").join(self.info("b"), "b")
-        possible = possible.where(_near("a", "b", self.percent)).select("a", "b")
-        texts = self.known.select("id", "text")
+        possible = store(possible.where(_near("a", "b", self.percent)).select("a", "b"), "possible")
+        ends = store(possible.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+        # Texts are what costs to move: only those of pairs left by sizes and sketches are.
+        texts = self.known.join(_small(ends), "id", "left_semi").select("id", "text")
         both = possible.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         tested = both.withColumn("linked", _linked(F.col("ta"), F.col("tb"), self.n, self.percent))
@@ -329,15 +338,16 @@ class _Join:
             before, self.links = self.links, store(components(links).select(F.col("node").alias("u"), F.col("root").alias("v")), "stars")
             if before is not None:
                 discard(before)
-        discard(found)
+        discard(found, possible, ends)
         return new
 
     def unresolved(self, rows: DataFrame) -> DataFrame:
         """Rows (sig, id) of buckets with more than one component, with their component."""
         roots = self.links.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        rows = rows.join(roots, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
+        rows = rows.join(_small(roots), "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
         open_ = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        return rows.join(open_.select("sig"), "sig")
+        # Few buckets are open; known as a table, they do not make all rows move once more.
+        return rows.join(_small(store(open_.select("sig"), "open-buckets")), "sig")
 
 
 def _divide(join: _Join, rows: DataFrame, bucket_rows: int) -> DataFrame:
@@ -391,15 +401,12 @@ def jaccard_components(
     )
     copies = store(members.where("rep <> id or n = 0").select("id").distinct(), "copies")
 
-    def keyed(side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if side.count() <= BROADCAST_IDS else side
-
-    distinct = docs.where("id is not null").join(keyed(copies), "id", "left_anti")
+    distinct = docs.where("id is not null").join(_small(copies), "id", "left_anti")
     emitted = distinct.mapInArrow(_emit(n, percent), "sig bigint, id bigint, pivot bigint")
     sorted_rows = emitted.repartition("sig").sortWithinPartitions("sig", "id")
     pairs = store(sorted_rows.mapInArrow(_stars, "a bigint, b bigint").distinct(), "pairs")
     candidates = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    described = distinct.join(keyed(candidates), "id", "left_semi")
+    described = distinct.join(_small(candidates), "id", "left_semi")
     known = store(described.withColumn("d", _describe(F.col("text"), n, percent)).select("id", "text", "d.*"), "known")
 
     join = _Join(known, n, percent)

@@ -211,7 +211,8 @@ def score(model: Weights, text: Column) -> Column:
             out = [np.zeros(0)]
             for chunk in tx.chunks(column):
                 out.append(model.score(*passages(chunk)))
-            yield pa.array(np.concatenate(out), pa.float64())
+            # Twelve digits: how texts are dealt to chunks does not show.
+            yield pa.array(np.round(np.concatenate(out), 12), pa.float64())
 
     return apply(text)
 
