@@ -10,20 +10,23 @@ computed here is exact.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import cut_lineage, join_checked
+from riskframe.session import BROADCAST_ROWS, cut_lineage, join_checked
 
 MIN_BUCKETS = 64
 # Partial sketches meet in this many tasks first, so the last one merges few.
 SKETCH_GROUPS = 256
 # A window over this many aggregated rows is light work for one task.
 WINDOW_ROWS = 100_000
-# Exact percentile aggregates keep every distinct value; this many cells fit one task.
-PERCENTILE_CELLS = 2_000_000
+# A cell of an exact quantile is cut again while it holds more rows than this.
+CELL_ROWS = 100_000
+FINE_CELLS = 1024
 TREE_LEAVES = 64
 
 
@@ -160,94 +163,105 @@ def prefix_sum(
     )
 
 
+def _coarse_cell(value: Column) -> Column:
+    """A whole number that never falls as the value grows: about 1/128 of relative width each."""
+    size = F.least(F.floor(F.log1p(F.abs(value) * 1e6) * 128), F.lit(1_000_000))
+    return (F.signum(value) * size).cast("int")
+
+
+def _fine_cell(value: Column, low: Column, high: Column) -> Column:
+    """Likewise within [low, high]; both ends have a cell of their own."""
+    share = F.nanvl((value - low) / (high - low), F.lit(0.5))
+    inside = 1 + F.floor(share * (FINE_CELLS - 3)).cast("int")
+    return F.when(value <= low, 0).when(value >= high, FINE_CELLS - 1).otherwise(inside)
+
+
+def _join_null_safe(df: DataFrame, side: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which nulls are equal; the stored side is broadcast if it is small."""
+    named = side.select(*[F.col(c).alias(f"_{c}_") for c in on], *[c for c in side.columns if c not in on])
+    small = side.count() <= BROADCAST_ROWS
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in on]
+    joined = df.join(F.broadcast(named) if small else named, reduce(operator.and_, same))
+    return joined.drop(*[f"_{c}_" for c in on])
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_cells: int = PERCENTILE_CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per (by, series).
 
     Output: ``by``, ``series`` (column name), ``n`` (non-null values) and ``q``, an
     array aligned with ``probs``. Null and NaN are skipped.
 
-    Small tables (checked: rows x columns within ``small_cells``) take Spark's exact
-    percentile. Otherwise two light passes locate, per series, the buckets that hold the wanted ranks (a table
-    of a few rows per group, broadcast when it is small); only the rows of those buckets
-    are shuffled and sorted.
+    Radix selection over cells of an order-preserving code, for all columns, groups and
+    ranks at once. One pass counts rows per cell and keeps each cell's least and greatest
+    value; running counts name the cells that hold a wanted rank. Cells of a single value
+    are done. The others are cut again between their own least and greatest value, as often
+    as any still holds more than ``cell_rows`` rows, and only then are values sorted, cell by
+    cell. Counts combine before they shuffle, so a value or group of any size is one row, and
+    only rows of wanted cells ever move. Nothing depends on the size of the table.
     """
     by, cols = list(by), list(cols)
-    clean = df.select(
-        *by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]
-    )
-    if at_most(clean, small_cells // len(cols)):
-        wide = clean.groupBy(*by).agg(
-            *[
-                F.struct(
-                    F.lit(c).alias("series"),
-                    F.count(c).alias("n"),
-                    F.percentile(c, double_array(probs)).alias("q"),
-                ).alias(f"_{i}")
-                for i, c in enumerate(cols)
-            ]
-        )
-        return wide.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(cols))]))).where(
-            "n > 0"
-        )
-    cuts = _cut_points(clean, {c: F.col(c) for c in cols}, bucket_count(df))
-    series = [
-        F.struct(
-            F.lit(c).alias("series"),
-            F.col(c).alias("value"),
-            _bucket_of(c, cuts[c]).alias("_b"),
-        )
-        for c in cols
-    ]
-    long = clean.select(*by, F.inline(F.array(*series))).where(F.col("value").isNotNull())
+    series = [F.struct(F.lit(c).alias("series"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value")) for c in cols]
+    long = df.select(*by, F.inline(F.array(*series))).where(F.col("value").isNotNull())
+    long = long.withColumn("_b", _coarse_cell(F.col("value")))
     key = [*by, "series"]
     group = Window.partitionBy(*key)
+    measures = [F.count(F.lit(1)).alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high")]
+
     cells = (
         long.groupBy(*key, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(*measures)
         .withColumn("n", F.sum("_n").over(group))
-        .withColumn("_upto", F.sum("_n").over(group.orderBy("_b")))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .withColumn("_before", F.sum("_n").over(group.orderBy("_b")) - F.col("_n"))
     )
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ranks = [(F.floor(a), F.ceil(a)) for a in at]
 
-    def holds(rank: Column, first: Column, after: Column) -> Column:
-        return (first <= rank) & (rank < after)
-
-    wanted = F.lit(False)
-    for pair in ranks:
-        for r in pair:
-            wanted = wanted | holds(r, F.col("_before"), F.col("_upto"))
-    picked = (
-        join_checked(
-            long, cells.where(wanted).select(*key, "_b", "n", "_before"), [*key, "_b"]
-        )
-        .groupBy(*key, "_b", "n", "_before", "value")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn(
-            "_upto",
-            F.col("_before")
-            + F.sum("_c").over(Window.partitionBy(*key, "_b").orderBy("value")),
-        )
-        .withColumn("_first", F.col("_upto") - F.col("_c"))
-    )
-    found = picked.groupBy(*key, "n").agg(
+    def holds(rank: Column) -> Column:
+        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+
+    wanted = reduce(operator.or_, [holds(r) for pair in ranks for r in pair], F.lit(False))
+    cells = cut_lineage(cells.where(wanted), "cells")
+    done = cells.where("_low = _high").select(*key, "n", "_before", "_n", F.col("_low").alias("_value"))
+    rows, place = long, [*key, "_b"]
+    while True:
+        open_ = cells.where("_low < _high").drop("_n")
+        largest = cells.where("_low < _high").agg(F.max("_n")).first()[0]
+        if largest is None:
+            break
+        picked = _join_null_safe(rows, cut_lineage(open_, "open-cells"), place)
+        if largest <= cell_rows:
+            within = Window.partitionBy(*place).orderBy("value")
+            values = picked.groupBy(*place, "n", "_before", "value").agg(F.count(F.lit(1)).alias("_n"))
+            values = values.withColumn("_before", F.col("_before") + F.sum("_n").over(within) - F.col("_n"))
+            done = done.unionByName(values.select(*key, "n", "_before", "_n", F.col("value").alias("_value")))
+            break
+        # Rows of wanted cells only, so this table shrinks by the width of a cell each time.
+        picked = picked.withColumn("_c", _fine_cell(F.col("value"), F.col("_low"), F.col("_high")))
+        rows = cut_lineage(picked.select(*place, "n", "_before", "value", "_c"), "wanted-rows")
+        fine = rows.groupBy(*place, "n", "_before", "_c").agg(*measures)
+        inside = Window.partitionBy(*place).orderBy("_c")
+        fine = fine.withColumn("_before", F.col("_before") + F.sum("_n").over(inside) - F.col("_n")).where(wanted)
+        # A number per cell in place of the two codes; the next turn only needs it to tell cells apart.
+        cells = cut_lineage(fine.withColumn("_b", F.struct("_b", "_c").cast("string")).drop("_c"), "cells")
+        done = done.unionByName(cells.where("_low = _high").select(*key, "n", "_before", "_n", F.col("_low").alias("_value")))
+        rows = rows.select(*key, F.struct("_b", "_c").cast("string").alias("_b"), "value")
+    found = done.groupBy(*key, "n").agg(
         *[
-            F.max(F.when(holds(r, F.col("_first"), F.col("_upto")), F.col("value"))).alias(
-                f"_{i}_{side}"
-            )
+            F.max(F.when(holds(r), F.col("_value"))).alias(f"_{i}_{side}")
             for i, pair in enumerate(ranks)
             for side, r in zip(("lo", "hi"), pair)
         ]
     )
     values = [
-        F.col(f"_{i}_lo") + (F.col(f"_{i}_hi") - F.col(f"_{i}_lo")) * (a - F.floor(a))
+        F.when(F.col(f"_{i}_lo") == F.col(f"_{i}_hi"), F.col(f"_{i}_lo")).otherwise(
+            F.col(f"_{i}_lo") + (F.col(f"_{i}_hi") - F.col(f"_{i}_lo")) * (a - F.floor(a))
+        )
         for i, a in enumerate(at)
     ]
     return found.select(*key, "n", F.array(*values).alias("q"))

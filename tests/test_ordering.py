@@ -16,14 +16,14 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, g string, x double, y int").repartition(8).cache()
 
 
-@pytest.mark.parametrize("cells", [0, 10**9])
-def test_quantiles_match_numpy_on_both_paths(spark, skewed, cells):
+@pytest.mark.parametrize("cells", [0, 20, 10**9])
+def test_quantiles_match_numpy_however_often_cells_are_cut(spark, skewed, cells):
     probs = [0.0, 0.01, 0.25, 0.5, 0.95, 0.99, 1.0]
     data = skewed.dropna().where(~F.isnan("x")).toPandas()
-    whole = ordering.exact_quantiles(skewed, ["x"], probs, small_cells=cells).collect()
+    whole = ordering.exact_quantiles(skewed, ["x"], probs, cell_rows=cells).collect()
     assert whole[0]["n"] == len(data)
     assert whole[0]["q"] == pytest.approx(list(np.quantile(data["x"], probs)))
-    for r in ordering.exact_quantiles(skewed, ["x"], probs, ["g"], small_cells=cells).collect():
+    for r in ordering.exact_quantiles(skewed, ["x"], probs, ["g"], cell_rows=cells).collect():
         part = data[data["g"] == r["g"]]["x"]
         assert r["n"] == len(part)
         assert r["q"] == pytest.approx(list(np.quantile(part, probs)))
@@ -32,7 +32,27 @@ def test_quantiles_match_numpy_on_both_paths(spark, skewed, cells):
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert ordering.quantile_values(df, ["x"], [0.5]) == {"x": [None]}
-    assert ordering.exact_quantiles(df, ["x"], [0.5], small_cells=0).count() == 0
+    assert ordering.exact_quantiles(df, ["x"], [0.5], cell_rows=0).count() == 0
+
+
+@pytest.mark.parametrize("cells", [0, 10**9])
+def test_quantiles_of_wild_values_and_null_groups(spark, cells):
+    rng = np.random.default_rng(9)
+    signs, powers = rng.choice([-1.0, 1.0], 400), rng.uniform(-290, 290, 400)
+    x = [*(signs * 10.0**powers), 0.0, -0.0, 5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf")]
+    y = [*map(float, rng.integers(-5, 5, len(x) - 1)), None]
+    g = [None if i % 3 == 0 else str(i % 3) for i in range(len(x))]
+    df = spark.createDataFrame(list(zip(g, map(float, x), y, strict=True)), "g string, x double, y double").repartition(4)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = {(r["g"], r["series"]): (r["n"], r["q"]) for r in ordering.exact_quantiles(df, ["x", "y"], probs, ["g"], cell_rows=cells).collect()}
+    assert len(found) == 6
+    for (group, series), (n, q) in found.items():
+        own = sorted(v for v, k in zip(x if series == "x" else y, g, strict=True) if k == group and v is not None)
+        assert n == len(own)
+        for p, got in zip(probs, q, strict=True):
+            low, high = own[int(p * (n - 1))], own[-int(-p * (n - 1) // 1)]
+            share = p * (n - 1) - int(p * (n - 1))
+            assert got == (low if low == high else pytest.approx(low + (high - low) * share, nan_ok=True))
 
 
 @pytest.mark.parametrize("rows", [0, 10**9])
