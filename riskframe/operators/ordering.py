@@ -185,6 +185,40 @@ def _join_null_safe(df: DataFrame, side: DataFrame, on: Sequence[str]) -> DataFr
     return joined.drop(*[f"_{c}_" for c in on])
 
 
+def as_of(df: DataFrame, at: str, points: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Adds structs ``before`` (the point with the greatest ``key`` <= ``at``) and ``after`` (the least
+    ``key`` >= ``at``), with the key and ``cols``; null where there is none or ``at`` is null.
+
+    Both sides may be of any size. Distinct values and points are one sequence, cut into buckets;
+    within a bucket the last (next) point is carried along, and the points at the ends of buckets
+    are carried across those without any. Points must be unique by ``key``.
+    """
+    point = F.struct(F.col(key).cast("double").alias(key), *cols)
+    asked = df.select(F.col(at).cast("double").alias("_v"), F.lit(None).cast(points.select(point.alias("p")).schema["p"].dataType).alias("_p"))
+    given = points.select(F.col(key).cast("double").alias("_v"), point.alias("_p"))
+    marks = asked.where(F.col("_v").isNotNull() & ~F.isnan("_v")).unionByName(given).groupBy("_v").agg(F.max("_p").alias("_p"))
+    marks = cut_lineage(marks, "marks")
+    cuts = _cut_points(marks, {"v": F.col("_v")}, bucket_count(df))["v"]
+    rows = marks.withColumn("_b", _bucket_of("_v", cuts))
+    # A row per bucket: the first and last point in it.
+    ends = rows.where("_p is not null").groupBy("_b").agg(F.min_by("_p", "_v").alias("_first"), F.max_by("_p", "_v").alias("_last"))
+    ends = rows.select("_b").distinct().join(ends, "_b", "left")
+    buckets = Window.partitionBy(F.lit(0)).orderBy("_b")
+    ends = ends.select(
+        "_b",
+        F.last("_last", ignorenulls=True).over(buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
+        F.first("_first", ignorenulls=True).over(buckets.rowsBetween(1, Window.unboundedFollowing)).alias("_coming"),
+    )
+    inside = Window.partitionBy("_b").orderBy("_v")
+    before = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("_p", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+    found = rows.withColumns({"_before": before, "_after": after}).join(F.broadcast(ends), "_b")  # at most a row per bucket
+    found = found.select(
+        F.col("_v").alias("_at"), F.coalesce("_before", "_carried").alias("before"), F.coalesce("_after", "_coming").alias("after")
+    )
+    return join_checked(df.withColumn("_at", F.col(at).cast("double")), found, ["_at"], "left").drop("_at")
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],

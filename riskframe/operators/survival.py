@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskframe.functions.scores import loan_tier
-from riskframe.operators.ordering import count_below, double_array, prefix_sum
+from riskframe.operators.ordering import as_of, prefix_sum
 from riskframe.session import cut_lineage, join_checked
 
 # Published coefficients on standardised features; the others are 0.
@@ -71,40 +71,15 @@ def median_survival(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return curve.groupBy(*by).agg(F.min(F.when(reached, F.col("t"))).alias("median_t"))
 
 
-def curve_values(curve: DataFrame, t: str = "t", s: str = "s") -> list[tuple[float, float]]:
-    """A curve as sorted numbers.
-
-    For curves over the loan durations only: at most 720 distinct times, because
-    durations have one decimal and end at 72 months.
-    """
-    return sorted((r[0], r[1]) for r in curve.select(t, s).collect())
-
-
-def interpolate_at(
-    curve: Sequence[tuple[float, float]], df: DataFrame, at: str, out: str = "s"
-) -> DataFrame:
-    """Adds ``out``: the curve read at column ``at``, linear between its steps and constant
-    beyond them."""
-    times = [t for t, _ in curve]
-    if not times:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    ts, ss = double_array(times), double_array([s for _, s in curve])
-    placed = df.withColumn("_k", count_below(at, times, inclusive=True))
-    left, right = F.greatest(F.col("_k"), F.lit(1)), F.least(F.col("_k") + 1, F.lit(len(times)))
-    placed = placed.withColumns(
-        {
-            "_t0": F.element_at(ts, left),
-            "_s0": F.element_at(ss, left),
-            "_t1": F.element_at(ts, right),
-            "_s1": F.element_at(ss, right),
-        }
-    )
-    x, t0, s0 = F.col(at).cast("double"), F.col("_t0"), F.col("_s0")
-    inside = s0 + (F.col("_s1") - s0) * (x - t0) / (F.col("_t1") - t0)
-    value = F.when((F.col("_k") == 0) | (t0 == F.col("_t1")) | (x == t0), s0).otherwise(inside)
-    return placed.withColumn(out, F.when(x.isNotNull(), value)).drop(
-        "_k", "_t0", "_s0", "_t1", "_s1"
-    )
+def interpolate_at(curve: DataFrame, df: DataFrame, at: str, out: str = "s", t: str = "t", s: str = "s") -> DataFrame:
+    """Adds ``out``: the curve (a table of times ``t`` and values ``s``) read at column ``at``, linear
+    between its steps and constant beyond them."""
+    placed = as_of(df, at, curve, t, [s])
+    left, right = F.coalesce("before", "after"), F.coalesce("after", "before")
+    t0, s0, t1, s1 = left[t], left[s], right[t], right[s]
+    inside = s0 + (s1 - s0) * (F.col(at).cast("double") - t0) / (t1 - t0)
+    value = F.when(t0 == t1, s0).when(t0 < t1, inside)
+    return placed.withColumn(out, value).select(*[c for c in df.columns if c != out], out)
 
 
 def concordance(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
@@ -202,13 +177,10 @@ def baseline_hazard(
     )
 
 
-def survival_at(
-    h0: Sequence[tuple[float, float]], hazard: Column, at: float
-) -> Column:
+def survival_at(near: Row, hazard: Column, at: float) -> Column:
     """S(at|x) = exp(-H0 x hazard), linear between the steps of the curve. The steps next
     to ``at`` are the same for every row, so they are constants."""
-    left = max((p for p in h0 if p[0] <= at), default=None)
-    right = min((p for p in h0 if p[0] >= at), default=None)
+    left, right = near[f"l_{at}"], near[f"r_{at}"]
     if left is None and right is None:
         return F.lit(None).cast("double")
     if left is None or right is None or left[0] == right[0]:
@@ -219,32 +191,29 @@ def survival_at(
 
 
 def score_loans(df: DataFrame, baseline: DataFrame, horizons=(12, 24, 36)) -> DataFrame:
-    """S at the horizons, median time, PD at the first horizon and the tier, in one pass.
+    """S at the horizons, median time, PD at the first horizon and the tier.
 
-    ``df`` holds ``hazard_ratio``; ``baseline`` is the (bounded) table of
-    :func:`baseline_hazard`.
+    ``df`` holds ``hazard_ratio``; ``baseline`` is the table of :func:`baseline_hazard`, of any size.
     """
-    curve = curve_values(baseline, "t", "h0")
-    hazard = F.col("hazard_ratio")
+    curve = cut_lineage(baseline.select(F.col("t").cast("double").alias("t"), "h0"), "baseline")
+    hazard, step = F.col("hazard_ratio"), F.struct("t", "h0")
+    # One row: the steps next to each horizon.
+    near = curve.agg(
+        *[F.max(F.when(F.col("t") <= h, step)).alias(f"l_{h}") for h in horizons],
+        *[F.min(F.when(F.col("t") >= h, step)).alias(f"r_{h}") for h in horizons],
+    ).first()
     first = min(horizons)
     # S(t|x) <= 1/2 from the first step on where H0 >= ln 2 / hazard. Steps without events
     # repeat H0; only the first of equal values can be the crossing.
-    steps, levels = [], []
-    for t, h in curve:
-        if not levels or h > levels[-1]:
-            steps.append(t)
-            levels.append(h)
-    needed = df.withColumn("_need", F.lit(math.log(2)) / hazard)
-    crossing = F.try_element_at(
-        double_array(steps), count_below("_need", levels) + F.lit(1)
-    )
+    levels = curve.groupBy("h0").agg(F.min("t").alias("step"))
+    needed = as_of(df.withColumn("_need", F.lit(math.log(2)) / hazard), "_need", levels, "h0", ["step"])
     return (
-        needed.withColumns({f"s_{h}m": survival_at(curve, hazard, h) for h in horizons})
-        .withColumn("median_months", crossing)
+        needed.withColumns({f"s_{h}m": survival_at(near, hazard, h) for h in horizons})
+        .withColumn("median_months", F.col("after.step"))
         .withColumn(f"pd_{first}m", 1 - F.col(f"s_{first}m"))
         .withColumn("risk_tier", loan_tier(F.col(f"pd_{first}m")))
         .withColumn("is_low_risk", F.col("risk_tier") == "LOW")
-        .drop("_need")
+        .drop("_need", "before", "after")
     )
 
 

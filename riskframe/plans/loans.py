@@ -87,7 +87,7 @@ def interpolate_curve(spark, sf):
     table = cut_lineage(_table(spark, sf), "survival")
     curve = survival.kaplan_meier(table, DURATION, EVENT)
     at = table.select("loan_id", (F.col("loan_amnt") % 80).alias("months"))
-    return rounded(survival.interpolate_at(survival.curve_values(curve), at, "months"))
+    return rounded(survival.interpolate_at(curve, at, "months"))
 
 
 def c_index(spark, sf):
@@ -153,16 +153,10 @@ def survival_by_grade(spark, sf):
     placed = survival.partial_hazard(
         rfm.standardize(profile, loans.FEATURES, fit_on=raw), model.coefficients()
     )
-    curve = survival.curve_values(baseline, "t", "h0")
-    points = F.arrays_zip(
-        survival.double_array([t for t, _ in curve]).alias("t"),
-        survival.double_array([h for _, h in curve]).alias("h0"),
-    )
-    return rounded(
-        placed.select("grade", "hazard_ratio", F.inline(points)).toDF(
-            "grade", "hazard_ratio", "t", "h0"
-        ).select("grade", "t", F.exp(-F.col("h0") * F.col("hazard_ratio")).alias("s"))
-    )
+    # A row per grade, joined to every step by its number.
+    steps = baseline.select("t", "h0", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("grade"))
+    curves = steps.join(F.broadcast(placed.select("grade", "hazard_ratio")), "grade")
+    return rounded(curves.select("grade", "t", F.exp(-F.col("h0") * F.col("hazard_ratio")).alias("s")))
 
 
 QUERIES = {

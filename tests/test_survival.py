@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,12 +112,26 @@ def test_scored_curves_fall_and_order_by_hazard(spark):
 
 def test_interpolation_is_linear_and_clamped(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,), (9.0,), (None,)], "x double")
-    got = [r["s"] for r in survival.interpolate_at([(1.0, 0.9), (3.0, 0.5)], df, "x").collect()]
-    assert got[:5] == pytest.approx([0.9, 0.9, 0.7, 0.5, 0.5]) and got[5] is None
+    curve = spark.createDataFrame([(3.0, 0.5), (1.0, 0.9)], "t double, s double")
+    got = {r["x"]: r["s"] for r in survival.interpolate_at(curve, df, "x").collect()}
+    assert got.pop(None) is None and got == pytest.approx({0.0: 0.9, 1.0: 0.9, 2.0: 0.7, 3.0: 0.5, 9.0: 0.5})
+    nothing = survival.interpolate_at(curve.where("false"), df, "x").collect()
+    assert len(nothing) == 6 and all(r["s"] is None for r in nothing)
+
+
+def test_a_curve_of_many_times_is_read_like_numpy(spark):
+    rng = np.random.default_rng(8)
+    t = np.sort(rng.choice(10**7, 300_000, replace=False)) / 10.0
+    s = np.exp(-np.cumsum(rng.random(300_000)) / 1e5)
+    at = np.concatenate([rng.uniform(-10, 1e6 + 10, 3000), t[:50], np.repeat(t[77], 2000)])
+    curve = spark.createDataFrame(pd.DataFrame({"t": t, "s": s})).repartition(6)
+    df = spark.createDataFrame(pd.DataFrame({"x": at}))
+    got = survival.interpolate_at(curve, df, "x").toPandas()
+    assert len(got) == len(at) and np.allclose(got.s, np.interp(got.x, t, s), atol=1e-12)
 
 
 def test_median_is_the_first_crossing(spark):
     base = spark.createDataFrame([(1.0, 0.1), (2.0, 0.1), (3.0, 0.5), (4.0, 1.0)], "t double, h0 double")
     df = spark.createDataFrame([(0.5,), (1.0,), (2.0,), (10.0,)], "hazard_ratio double")
-    got = [r["median_months"] for r in survival.score_loans(df, base).collect()]
-    assert got == [None, 4.0, 3.0, 1.0]
+    got = {r["hazard_ratio"]: r["median_months"] for r in survival.score_loans(df, base).collect()}
+    assert got == {0.5: None, 1.0: 4.0, 2.0: 3.0, 10.0: 1.0}
