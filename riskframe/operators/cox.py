@@ -39,16 +39,18 @@ class CoxModel:
         return dict(zip(self.features, map(float, self.beta)))
 
     def table(self, spark: SparkSession, z: float = 1.96) -> DataFrame:
-        """One row per feature: coefficient, hazard ratio, standard error, 95 % interval."""
+        """One row per feature, the largest coefficient first: coefficient, hazard ratio, standard
+        error, 95 % interval and rank."""
         se = np.sqrt(np.diag(self.covariance))
+        order = sorted(range(len(self.features)), key=lambda i: (-self.beta[i], self.features[i]))
         rows = [
-            (f, float(b), float(math.exp(b)), float(s), float(b - z * s), float(b + z * s))
-            for f, b, s in zip(self.features, self.beta, se)
+            (f, float(b), float(math.exp(b)), float(s), float(b - z * s), float(b + z * s), rank)
+            for rank, (f, b, s) in enumerate(((self.features[i], self.beta[i], se[i]) for i in order), 1)
         ]
         return spark.createDataFrame(
             rows,
             "feature string, coef double, hazard_ratio double, se double, "
-            "lower_95 double, upper_95 double",
+            "lower_95 double, upper_95 double, rank int",
         )
 
 

@@ -131,40 +131,40 @@ def mean_differences(df: DataFrame, cols: Sequence[str], label: str) -> DataFram
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Lower triangle of the Pearson matrix, one row per pair.
+    """Lower triangle of the Pearson matrix, one row per pair, over the rows in which both are known.
 
-    Tasks add up products of their rows, shifted by rough means, in one matrix each; a matrix is
-    one row per pair, so what is summed over tasks stays small. A constant column of ones gives
-    counts and sums. Rows with a null or NaN are left out.
+    Tasks add up four matrices of their rows, shifted by rough means: products, and under the mask of
+    known values counts, sums and squares of one column where the other is known. A matrix is one row
+    per pair, so what is summed over tasks stays small.
     """
     cols = list(cols)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     rough = data.agg(*[F.avg(nan_to_null(F.col(c))).alias(c) for c in cols]).first()
     shift = np.array([m or 0.0 for m in rough], float)
-    low, high = np.triu_indices(len(cols) + 1)
+    k = len(cols)
 
     def products(batches):
-        total = np.zeros((len(cols) + 1, len(cols) + 1))
+        total = np.zeros((4, k, k))
         for batch in batches:
             x = batch.to_numpy(dtype=float) - shift
-            x = x[~np.isnan(x).any(axis=1)]
-            x = np.hstack([x, np.ones((len(x), 1))])
-            total += x.T @ x
-        yield pd.DataFrame({"i": high, "j": low, "s": total[low, high]})
-
-    sums = data.mapInPandas(products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
-    # One row per pair of columns: (k + 1)(k + 2) / 2 numbers.
-    total = np.zeros((len(cols) + 1, len(cols) + 1))
+            known = ~np.isnan(x)
+            x[~known] = 0.0
+            known = known.astype(float)
+            total += np.stack([x.T @ x, known.T @ known, x.T @ known, (x * x).T @ known])
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pd.DataFrame({"i": i, "j": j, **{c: m.ravel() for c, m in zip("pnsq", total)}})
+
+    parts = data.mapInPandas(products, "i int, j int, p double, n double, s double, q double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in "pnsq"])
+    p, n, s, q = np.zeros((4, k, k))
+    # One row per pair of columns.
     for r in sums.collect():
-        total[r.i, r.j] = total[r.j, r.i] = r.s
-    count, by_column = total[-1, -1], total[:-1, -1]
-    centred = total[:-1, :-1] - np.outer(by_column, by_column) / max(count, 1)
-    deviation = np.sqrt(np.diag(centred))
-    rows = [
-        (cols[i], cols[j], float(centred[i, j] / (deviation[i] * deviation[j])) if deviation[i] * deviation[j] else None)
-        for i in range(len(cols))
-        for j in range(i)
-    ]
+        p[r.i, r.j], n[r.i, r.j], s[r.i, r.j], q[r.i, r.j] = r.p, r.n, r.s, r.q
+    n = np.maximum(n, 1)
+    centred = p - s * s.T / n
+    squares = np.maximum(q - s * s / n, 0.0)
+    scale = np.sqrt(squares * squares.T)
+    rows = [(cols[i], cols[j], float(centred[i, j] / scale[i, j]) if scale[i, j] else None) for i in range(k) for j in range(i)]
     return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 

@@ -153,9 +153,9 @@ def stream_rejected(spark, sf):
 
 
 def stream_unique_ids(spark, sf):
-    """Ids left after repeats within the watermark are dropped."""
+    """Rows left after repeats of an id within the watermark are dropped, as the stream wrote them."""
     first = scoring.first_per_id(_stream(spark, sf), "ts", "user_id")
-    return scoring.run_to_table(first.select("user_id"), "unique").distinct()
+    return scoring.run_to_table(first.select("user_id"), "unique")
 
 
 def stream_summary(spark, sf):

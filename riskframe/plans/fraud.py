@@ -61,7 +61,7 @@ def mean_diff_rank(spark, sf):
 
 
 def corr_pairs(spark, sf):
-    return rounded(metrics.correlations(_raw(spark, sf), [*TRANSACTION_FEATURES]))
+    return rounded(metrics.correlations(_valid(spark, sf), [*TRANSACTION_FEATURES]))
 
 
 def winsorize(spark, sf):

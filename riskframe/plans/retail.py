@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from riskframe.operators.impute import keep_up_to_quantile
 from riskframe.operators.ordering import exact_quantiles
 from riskframe.plans.fixtures import table, view
 from riskframe.plans.shape import rounded, sql
+from riskframe.sources.model_store import session_store
 
 # Centroids in robust-scaled RFM space.
 CENTROIDS = [
@@ -151,8 +154,15 @@ def validate_customers(spark, sf):
     return checked.select("customer_id", F.concat_ws(",", "violations").alias("violations"))
 
 
+def _clusters(spark, sf):
+    """Centroids and cost of the best of ten starts, fitted once a session."""
+    key = f"kmeans-{hashlib.md5(sf.encode()).hexdigest()}"
+    fit = lambda: models.fit_kmeans(scaled_rfm(spark, sf), rfm.RFM, 5, starts=10)
+    return session_store(spark).load_or_fit(key, rfm.RFM, fit)
+
+
 def kmeans_segments(spark, sf):
-    centroids, cost = models.fit_kmeans(scaled_rfm(spark, sf), rfm.RFM, 5, starts=3)
+    centroids, cost = _clusters(spark, sf)
     order = rfm.value_order(centroids)
     ranked = [centroids[k] for k in order]
     return rounded(
@@ -170,7 +180,7 @@ def project_2d(spark, sf):
 def segment_customers(spark, sf):
     """Scale, assign, label, place and score in one projection; clusters in value order."""
     scaled = scaled_rfm(spark, sf)
-    centroids, _ = models.fit_kmeans(scaled, rfm.RFM, 5, starts=3)
+    centroids, _ = _clusters(spark, sf)
     ranked = [centroids[k] for k in rfm.value_order(centroids)]
     placed = models.project_2d(rfm.assign_nearest(scaled, rfm.RFM, ranked), rfm.RFM, fit_on=scaled)
     scored = rfm.rfm_score(placed)

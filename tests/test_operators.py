@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,11 +208,19 @@ def test_money_is_summed_at_full_precision(spark):
     assert rfm.rfm_table(clean).first()["monetary"] == 0.013
 
 
-def test_correlations_equal_numpy_and_skip_incomplete_rows(spark):
-    x = np.random.default_rng(2).normal(1e6, 1.0, (300, 3))
+def test_correlations_are_pairwise_over_known_values(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(1e6, 1.0, (300, 4))
     x[:, 2] = x[:, 0] * 2 + 5
-    rows = [[float(v) for v in r] for r in x] + [[None, 1.0, 1.0], [float("nan"), 1.0, 2.0]]
-    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
-    got = {(r["a"], r["b"]): r["corr"] for r in metrics.correlations(df, ["a", "b", "c"]).collect()}
-    want = np.corrcoef(x.T)
-    assert np.allclose([got["b", "a"], got["c", "a"], got["c", "b"]], [want[1, 0], want[2, 0], want[2, 1]], atol=1e-9)
+    x[:, 3] = 7.0
+    x[rng.random((300, 4)) < 0.2] = np.nan
+    x[:5, 0] = np.nan
+    rows = [[None if np.isnan(v) and i % 2 else float(v) for v in r] for i, r in enumerate(x)]
+    cols = list("abcd")
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    want = pd.DataFrame(x, columns=cols).corr()
+    for r in metrics.correlations(df, cols).collect():
+        if "d" in (r["a"], r["b"]):
+            assert r["corr"] is None
+        else:
+            assert r["corr"] == pytest.approx(want.loc[r["a"], r["b"]], abs=1e-9)
