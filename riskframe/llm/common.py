@@ -83,21 +83,20 @@ def class_sample(
     """At most ``rows`` rows with an id and a label, always the same ones: up to ``least`` of every
     label first, in turns, then those with the smallest hashed ids.
 
-    Of rows that share an id the one with the least hashed label and text counts. Ids and hashes
-    alone are ranked, and each task passes on no more than ``rows`` of a label; the rows come by a
-    join with at most ``rows`` ids.
+    Of rows that share an id the ones with the least label count, and of these the one with the least
+    hashed text. Ids and labels alone are ranked, so texts do not move for it, and each task passes on
+    no more than ``rows`` of a label; the rows come by a join with at most ``rows`` ids.
     """
-    content = F.xxhash64(F.col(label_col), F.col(text_col))
     keyed = df.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    ids = keyed.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(content.alias("content"), F.col(label_col).alias("label"))).alias("__row"))
-    ids = ids.select("__id", "__row.*", F.xxhash64(F.col("__id"), F.lit(seed)).alias("order"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "__id"))
+    ids = keyed.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.col(label_col)).alias("__label"))
+    ids = ids.withColumn("order", F.xxhash64(F.col("__id"), F.lit(seed)))
+    rank = F.row_number().over(Window.partitionBy("__label").orderBy("order", "__id"))
     ranked = ids.withColumn("rank", rank).where(F.col("rank") <= rows)
     chosen = ranked.orderBy(F.least("rank", F.lit(least + 1)), "order", "__id").limit(rows)
     # ``rows`` bounds the broadcast side.
-    chosen = F.broadcast(chosen.select("__id", F.col("content").alias("__content")))
-    found = df.join(chosen, (F.col(id_col) == F.col("__id")) & (content == F.col("__content")), "left_semi")
-    return found.dropDuplicates([id_col])
+    chosen = F.broadcast(chosen.select("__id", "__label"))
+    found = df.join(chosen, (F.col(id_col) == F.col("__id")) & (F.col(label_col) == F.col("__label")), "left_semi")
+    return found.groupBy(id_col).agg(F.min_by(F.struct(*df.columns), F.xxhash64(text_col)).alias("__row")).select("__row.*")
 
 
 def passages(text: Column, characters: int, pieces: int = 8) -> Column:
