@@ -18,7 +18,7 @@ from riskframe.operators.ordering import (
     row_hash,
 )
 from riskframe.operators.tiles import nearest_neighbours
-from riskframe.session import join_checked
+from riskframe.session import cut_lineage, join_checked
 
 
 def stratified_split(
@@ -74,7 +74,7 @@ def smote(
     neighbour and position on the line come from md5 of (id, i).
     """
     cols = list(cols)
-    minority = df.where(F.col(label) == 1).select(F.col(id_col).alias("id"), *cols)
+    minority = cut_lineage(df.where(F.col(label) == 1).select(F.col(id_col).alias("id"), *cols), "minority")
     n_maj, n_min = df.agg(
         F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)
     ).first()
@@ -95,9 +95,8 @@ def smote(
             ).alias("i"),
         )
     )
-    near = nearest_neighbours(minority, "id", cols, k, rows_per_tile).select(
-        "id", "rank", "neighbour"
-    )
+    near = nearest_neighbours(minority, "id", cols, k, rows_per_tile)
+    near = cut_lineage(near.select("id", "rank", "neighbour"), "neighbours")
     found = near.groupBy("id").agg(F.max("rank").alias("_k"))
     pick_hash = F.md5(
         F.concat_ws(":", F.col("id").cast("string"), F.col("i").cast("string"), F.lit(str(seed)))
@@ -107,7 +106,7 @@ def smote(
         return F.conv(F.substring("_m", start, 8), 16, 10).cast("long")
 
     chosen = (
-        slots.join(found, "id")
+        join_checked(slots, found, ["id"])
         .withColumn("_m", pick_hash)
         .select(
             "id",
@@ -115,13 +114,13 @@ def smote(
             (digits(1) % F.col("_k") + 1).cast("int").alias("rank"),
             (digits(9) / F.lit(4294967296.0)).alias("_u"),
         )
-        .join(near, ["id", "rank"])
     )
+    chosen = join_checked(chosen, near, ["id", "rank"])
     base = minority.select("id", F.struct(*cols).alias("_x"))
     other = minority.select(F.col("id").alias("neighbour"), F.struct(*cols).alias("_y"))
+    # A few base rows may have huge shares: small sides are broadcast, else Spark splits hot ids.
     return (
-        chosen.join(base, "id")
-        .join(other, "neighbour")
+        join_checked(join_checked(chosen, base, ["id"]), other, ["neighbour"])
         .select(
             "id",
             "i",

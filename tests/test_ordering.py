@@ -120,6 +120,31 @@ def test_neighbours_across_tiles_match_brute_force(spark):
         assert [got[i][k] for k in range(1, 6)] == order
 
 
+def test_clustered_rows_visit_few_tiles(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 3)) * 100
+    x = np.round(centres[rng.integers(0, 30, 2400)] + rng.normal(size=(2400, 3)), 2)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
+    report = {}
+    found = tiles.nearest_neighbours(df, "id", list("abc"), 4, rows_per_tile=25, report=report).toPandas()
+    assert report["all"] > 1000 and report["visited"] < report["all"] / 10
+    got = found.sort_values(["id", "rank"]).neighbour.to_numpy().reshape(2400, 4)
+    for i in range(2400):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        assert got[i].tolist() == np.lexsort((np.arange(2400), d))[:4].tolist()
+
+
+def test_neighbours_of_odd_tables(spark):
+    schema = "id long, a double, b double"
+    rows = [(1, 0.0, 0.0), (2, -0.0, 0.0), (3, 0.0, 0.0), (4, None, 1.0), (5, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, schema)
+    got = {(r["id"], r["rank"]): (r["neighbour"], r["dist"]) for r in tiles.nearest_neighbours(df, "id", ["a", "b"], 5).collect()}
+    assert got == {(1, 1): (2, 0.0), (1, 2): (3, 0.0), (2, 1): (1, 0.0), (2, 2): (3, 0.0), (3, 1): (1, 0.0), (3, 2): (2, 0.0)}
+    assert tiles.nearest_neighbours(df.where("id = 4"), "id", ["a", "b"], 5).count() == 0
+    assert tiles.nearest_neighbours(df.where("id = 1"), "id", ["a", "b"], 5).count() == 0
+
+
 def test_oversampling_reaches_the_ratio_between_real_neighbours(spark):
     rng = np.random.default_rng(5)
     rows = [(i, int(i < 7), *map(float, rng.normal(size=2))) for i in range(207)]
