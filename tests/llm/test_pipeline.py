@@ -13,10 +13,11 @@ def test_stages_keep_columns_and_take_effect(spark):
         if number != 3:
             assert docs.columns == before.columns, name
         if number == 8:
-            assert docs.count() == len(rows)
+            lettered = [r for r in rows if r.text and any(c.isalpha() for c in r.text)]
+            assert 0.97 * len(lettered) <= docs.count() <= len(lettered)
         if number == 9:
-            kept = brute_components([(r.doc_id, r.text) for r in rows], 85)
-            assert {r.doc_id for r in docs.select("doc_id").collect()} == {root for _, root in kept.values()}
+            found = brute_components([(r.doc_id, r.text) for r in before.select("doc_id", "text").collect()], 80, 5)
+            assert {r.doc_id for r in docs.select("doc_id").collect()} == {root for _, root in found.values()}
         if number == 6:
             assert docs.count() == before.count() and docs.exceptAll(before).count() > 0
     assert docs.columns == ["doc_id", "lang", "source", "ids", "decoded"] and docs.count() > 0

@@ -23,8 +23,8 @@ def grams(text, n=4):
     return frozenset(zip(*[words[k:] for k in range(n)], strict=False)) or frozenset([tuple(words)])
 
 
-def brute_components(rows, percent):
-    sets = {i: grams(t) for i, t in rows}
+def brute_components(rows, percent, n=4):
+    sets = {i: grams(t, n) for i, t in rows}
     root = {i: i for i in sets}
 
     def find(x):
