@@ -99,6 +99,17 @@ def class_sample(
     return found.groupBy(id_col).agg(F.min_by(F.struct(*df.columns), F.xxhash64(text_col)).alias("__row")).select("__row.*")
 
 
+# What a derived side of a join may hold when it is broadcast.
+BROADCAST_BYTES = 16 << 20
+
+
+def small_side(stored: DataFrame, size: Column) -> DataFrame:
+    """A stored side of a join, broadcast if its rows have at most BROADCAST_BYTES together (``size``
+    is that of a row); beyond, Spark joins by shuffle."""
+    total = stored.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(stored) if total <= BROADCAST_BYTES else stored
+
+
 def passages(text: Column, characters: int, pieces: int = 8) -> Column:
     """A text, or of a longer one evenly spaced passages of ``characters`` in all."""
     n, size = F.char_length(text), characters // pieces

@@ -27,13 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import text as tx
-from riskframe.llm.common import store
+from riskframe.llm.common import small_side, store
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A side of at most this many (host, line) rows is broadcast; more are joined by shuffle.
-BROADCAST_LINES = 100_000
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = 1
@@ -197,21 +196,22 @@ def clean_texts(
     read = docs.select(F.col(id_col).alias("id"), host.alias("host"), text.alias("text"), measure(text).alias("m"))
     measured = store(read.select("host", "m.content", "m.line"), "lines")
     frequent = store(frequent_lines(measured, min_docs, max_share).select("host", "line"), "frequent-lines")
-    small = frequent.count() <= BROADCAST_LINES
     lines = measured.select("host", "content", F.explode("line").alias("line"))
     dead = store(
-        lines.join(F.broadcast(frequent) if small else frequent, ["host", "line"])
+        lines.join(small_side(frequent, F.length("host") + 32), ["host", "line"])
         .groupBy("host", "content")
         .agg(F.collect_set("line").alias("dead")),
         "removed-lines",
     )
     found = read.select("id", "host", "text", *[f"m.{c}" for c in [*_COUNTS, "content"]])
-    found = found.join(F.broadcast(dead) if dead.count() <= BROADCAST_LINES else dead, ["host", "content"], "left")
-    found = found.withColumn("left", without_lines(F.col("text"), F.col("dead")))
-    left = F.col("left.n_words")
+    found = found.join(small_side(dead, F.length("host") + 8 * F.size("dead") + 64), ["host", "content"], "left")
+    # Only texts that lose a line are rebuilt.
+    loses = F.col("dead").isNotNull()
+    found = found.withColumn("left", without_lines(F.when(loses, F.col("text")), F.col("dead")))
+    left = F.when(loses, F.col("left.n_words")).otherwise(F.col("n_words"))
     return (
         found.withColumn("n_removed_words", F.col("n_words") - left)
-        .withColumn("cleaned", F.when(F.col("text").isNotNull(), F.col("left.text")))
+        .withColumn("cleaned", F.when(loses, F.col("left.text")).otherwise(F.col("text")))
         .withColumns({"base_failed": base_failed(), "depleted": left / F.greatest(F.col("n_words"), F.lit(1)) < min_left})
         # A text without words has nothing to lose.
         .withColumn("depleted", F.col("depleted") & (F.col("n_removed_words") > 0))

@@ -117,26 +117,46 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schem
 def message_lines(messages: DataFrame, linked: DataFrame) -> DataFrame:
     """One row per message (conv_id, turn, role, text): call_id, status, depth, errors and ``line``.
 
-    A message that issues a call carries it, one that answers a call names it. Sort by conv_id,
-    depth, turn to write whole conversations in dependency order.
+    A message that issues a call carries it as ``call``, one that answers a call names it in
+    ``answers``. Parallel calls of a message are its ``calls``, in order of their ids, and parallel
+    answers its ``answer_ids``; ``call_id``, ``status`` and ``errors`` then list all, joined by
+    ``;``, and ``depth`` is the greatest. Sort by conv_id, depth, turn to write whole conversations in
+    dependency order.
     """
-    calls = linked.where("status <> 'orphan'").select("conv_id", "turn", "call_id", "status", "depth", "errors", "tool", "parent_id", "arguments")
-    answered = linked.where("result_turn is not null").select(
-        "conv_id", F.col("result_turn").alias("turn"), F.col("call_id").alias("answers"), F.col("depth").alias("answered_depth"),
-        F.col("status").alias("answered_status"),
-    )
+    calls = linked.where("status <> 'orphan'").groupBy("conv_id", "turn").agg(
+        F.sort_array(F.collect_list(F.struct("call_id", "status", "depth", "errors", "tool", "parent_id", "arguments"))).alias("issued")
+    )
+    answered = linked.where("result_turn is not null").groupBy("conv_id", F.col("result_turn").alias("turn")).agg(
+        F.sort_array(F.collect_list(F.struct("call_id", "status", "depth"))).alias("given")
+    )
+    # A row per message with calls, and per message with answers: messages stay one row each.
     rows = messages.select("conv_id", "turn", "role", "text").join(calls, ["conv_id", "turn"], "left")
     rows = rows.join(answered, ["conv_id", "turn"], "left")
-    call = F.struct(
-        F.try_parse_json("arguments").alias("arguments"), F.col("parent_id").alias("depends_on"),
-        F.col("call_id").alias("id"), "tool", (F.size("errors") == 0).alias("valid"),
-    )
+
+    def written(c: Column) -> Column:
+        return F.struct(
+            F.try_parse_json(c["arguments"]).alias("arguments"), c["parent_id"].alias("depends_on"),
+            c["call_id"].alias("id"), c["tool"].alias("tool"), (F.size(c["errors"]) == 0).alias("valid"),
+        )
+
+    def listed(name: str) -> Column:
+        return F.when(F.size("issued") > 0, F.array_join(F.col(f"issued.{name}"), ";")).otherwise(F.array_join(F.col(f"given.{name}"), ";"))
+
+    one, many = F.size("issued") == 1, F.size("issued") > 1
     line = F.to_json(
-        F.struct("answers", F.when(F.col("call_id").isNotNull(), call).alias("call"), F.col("text").alias("content"), "role", "turn")
+        F.struct(
+            F.when(F.size("given") > 1, F.col("given.call_id")).alias("answer_ids"),
+            F.when(F.size("given") == 1, F.col("given")[0]["call_id"]).alias("answers"),
+            F.when(one, written(F.col("issued")[0])).alias("call"),
+            F.when(many, F.transform("issued", written)).alias("calls"),
+            F.col("text").alias("content"),
+            "role",
+            "turn",
+        )
     )
+    errors = F.transform(F.col("issued.errors"), lambda e: F.array_join(e, ","))
     return rows.select(
-        "conv_id", "turn", "role", F.coalesce("call_id", "answers").alias("call_id"),
-        F.coalesce("status", "answered_status", F.lit("plain")).alias("status"),
-        F.coalesce("depth", "answered_depth").alias("depth"),
-        F.array_join("errors", ",").alias("errors"), line.alias("line"),
+        "conv_id", "turn", "role", listed("call_id").alias("call_id"), F.coalesce(listed("status"), F.lit("plain")).alias("status"),
+        F.coalesce(F.array_max("issued.depth"), F.array_max("given.depth")).alias("depth"),
+        F.array_join(errors, ";").alias("errors"), line.alias("line"),
     )

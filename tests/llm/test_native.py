@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import itertools
+import json
 import sys
 from pathlib import Path
 
@@ -158,6 +159,24 @@ def test_lines_are_canonical_and_empty_tables_work(spark):
     assert nothing.count() == 0 and toolcalls.message_lines(m.where("false"), nothing).count() == 0
 
 
+def test_parallel_calls_and_answers_keep_one_row_per_message(spark):
+    long = "word " * 50_000
+    m = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", "done"), (1, 2, "user", "thanks")], "conv_id bigint, turn bigint, role string, text string")
+    c = spark.createDataFrame(
+        [(1, "b", None, 0, "f", '{"a": 1, "b": "s"}'), (1, "a", None, 0, "f", "[]"), (1, "c", "a", 0, "f", "{}")],
+        "conv_id bigint, call_id string, parent_id string, turn bigint, tool string, arguments string",
+    )
+    r = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "conv_id bigint, call_id string, turn bigint")
+    rows = sorted(toolcalls.message_lines(m, toolcalls.link_calls(c, r, SCHEMAS)).collect(), key=lambda x: x.turn)
+    assert len(rows) == 3
+    first, second = json.loads(rows[0].line), json.loads(rows[1].line)
+    assert [x["id"] for x in first["calls"]] == ["a", "b", "c"] and first["content"] == long and "call" not in first
+    assert (rows[0].call_id, rows[0].status, rows[0].depth) == ("a;b;c", "answered;answered;unanswered", 1)
+    assert rows[0].errors.split(";")[0] == "object" and rows[0].errors.count(";") == 2
+    assert second == {"answer_ids": ["a", "b"], "content": "done", "role": "assistant", "turn": 1}
+    assert (rows[2].call_id, rows[2].status, rows[2].depth, rows[2].errors) == (None, "plain", None, None)
+
+
 def brute_top(rows, queries_, k):
     ids = sorted({(i, tuple(x >= 0 for x in v)) for i, v in rows if i is not None and v is not None})
     out = set()
@@ -196,6 +215,6 @@ def test_queries_equal_their_sql(spark, con, name):
     assert status == "ok" and n > 0, note
 
 
-def test_all_ten_are_registered():
-    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+def test_all_are_registered():
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 14))
     assert list(itertools.islice(queries.QUERIES, 1)) == ["op1_quality"]
