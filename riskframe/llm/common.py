@@ -95,7 +95,9 @@ def class_sample(
     chosen = ranked.orderBy(F.least("rank", F.lit(least + 1)), "order", "__id").limit(rows)
     # ``rows`` bounds the broadcast side.
     chosen = F.broadcast(chosen.select("__id", "__label"))
-    found = df.join(chosen, (F.col(id_col) == F.col("__id")) & (F.col(label_col) == F.col("__label")), "left_semi")
+    # By id alone first: that join reaches below the one that brought the labels.
+    found = df.join(chosen.select("__id"), F.col(id_col) == F.col("__id"), "left_semi")
+    found = found.join(chosen, (F.col(id_col) == F.col("__id")) & (F.col(label_col) == F.col("__label")), "left_semi")
     return found.groupBy(id_col).agg(F.min_by(F.struct(*df.columns), F.xxhash64(text_col)).alias("__row")).select("__row.*")
 
 

@@ -20,6 +20,7 @@ are replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -126,6 +127,18 @@ def _unseen(chunk: tx.Chunk, seen: np.ndarray, language: np.ndarray) -> tuple[np
     return np.stack([total(new & plain), total(new)], axis=1), total(plain), total(places < MEMORY)
 
 
+def _squeezed(kinds: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending numbers and their counts (to 255), small enough to send thousands of lists to the driver."""
+    steps = np.diff(kinds, prepend=0).astype(np.uint32)
+    return zlib.compress(steps.tobytes() + np.minimum(times, 255).astype(np.uint8).tobytes(), 1)
+
+
+def _stretched(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    n = len(raw) // 5
+    return np.cumsum(np.frombuffer(raw, np.uint32, n).astype(np.int64)), np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64)
+
+
 def _sample_features(buckets: int):
     """Rows (id, label, at, value, memory): the mean bucket vector of each text, sparse, and its
     remembered subwords with their counts."""
@@ -145,7 +158,7 @@ def _sample_features(buckets: int):
                     value.append((n[n > 0] / max(n.sum(), 1)).astype(np.float32).tobytes())
                     mine = marked[:, chunk.start[i] : chunk.start[i + 1]].ravel()
                     kinds, times = np.unique(mine[mine < 2 * MEMORY], return_counts=True)
-                    memory.append(np.stack([kinds, times]).astype(np.int32).tobytes())
+                    memory.append(_squeezed(kinds, times))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -226,7 +239,7 @@ def train(
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.value, np.float32)
     y = np.array([languages.index(r.label) for r in rows])
-    memory = [np.frombuffer(r.memory, np.int32).reshape(2, -1) for r in rows]
+    memory = [r.memory for r in rows]
     del rows
     rng = np.random.default_rng(seed)
     apart = rng.random(len(y)) < calibration_share
@@ -236,7 +249,7 @@ def train(
     model = LanguageModel(languages, logits.astype(np.float32), bias.astype(np.float64))
     model.seen = np.zeros((len(languages), MEMORY + 1), bool)
     for i in np.flatnonzero(~apart):
-        model.seen[y[i], memory[i][0] >> 1] = True
+        model.seen[y[i], _stretched(memory[i])[0] >> 1] = True
     own = np.flatnonzero(apart) if apart.any() else np.arange(len(y))
     xc, yc = x[own], y[own]
     sums, ones = xc @ model.logits, np.ones(len(xc))
@@ -252,7 +265,7 @@ def train(
         model.threshold = float(np.quantile(p.max(axis=1)[right], reject_share))
         shares = []
         for i in right:
-            kinds, times = memory[own[i]]
+            kinds, times = _stretched(memory[own[i]])
             new = ~model.seen[yc[i], kinds >> 1]
             plain = (kinds & 1) * times
             use = plain if plain.sum() >= PLAIN_SHARE * times.sum() else times
