@@ -9,7 +9,8 @@
 5. BPE (op 3): encodes and decodes every remaining text.
 
 Stages 1 to 4 return the columns of ``documents``. Null ids are of no component and stay; null and
-empty texts have no letter and go in stage 1. Stages are fitted models, a similarity join over
+empty texts have no letter and go in stage 1. Each stage starts with what the one before
+left in memory and in shuffle files given back. Stages are fitted models, a similarity join over
 hashes and a tokeniser, which SQL cannot express; tests compare them with brute force.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import bpe_lexicon, langid, mixing, partenum, pii, queries
-from riskframe.llm.common import held_out, store
+from riskframe.llm.common import free_finished, held_out, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,11 +30,14 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_finished(spark)
     model = langid.train(docs.where(~held_out()))
+    free_finished(spark)
     return langid.keep_identified(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_finished(spark)
     found = partenum.jaccard_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     extra = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
     small = extra.count() <= partenum.BROADCAST_IDS
@@ -46,6 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_finished(spark)
     done = pii.pseudonymise(docs, queries.PII_KEY)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -54,6 +59,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_finished(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = queries.mixing_model(docs, labels)
     read = docs.withColumn("__mix", mixing.posteriors(model, F.col("text")))
@@ -65,8 +71,10 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_finished(spark)
     words = queries.vocabulary()
     lexicon = bpe_lexicon.build_lexicon(docs, words)
+    free_finished(spark)
     both = bpe_lexicon.encode_and_decode_docs(docs.select("doc_id", "lang", "source", "text"), words, lexicon)
     return both.select("doc_id", "lang", "source", "ids", "decoded")
 

@@ -67,6 +67,13 @@ def release_memory() -> None:
         return
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Let go of what finished jobs hold: memory of the driver, and shuffle files on the executors, which
+    Spark deletes only when the driver's garbage collection finds their plans unused."""
+    release_memory()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc32_text(column: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes, as a long."""
     return F.crc32(column.cast("binary"))

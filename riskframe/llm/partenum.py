@@ -6,13 +6,14 @@ everything below works on one representative per class (the smallest id).
 
 Signatures. Sizes are cut into bands; a set signs for its own band, and for the next one if a
 partner there is possible, so linked sets share a band. In a band with largest size r, linked sets
-differ in at most K = 2r (100 - percent) / (100 + percent) features. The feature domain is hashed
-into K + 1 + x partitions; linked sets agree on at least 1 + x of them, whatever else differs, and
-every nonempty partition content is one signature (the subsets enumerated are single partitions).
-A set with more than x empty partitions also signs in a second, independent partitioning, and so
-on; in the last one it signs its empty partitions too. So linked sets always share a signature,
-and no signature says merely "empty" except in that last resort. x is chosen per band so that even
-its smallest sets rarely have more empty partitions than that.
+differ in at most K = 2r (100 - percent) / (100 + percent) features, a set and its partners there in
+at most k <= K. The feature domain is hashed into some more than K partitions, and the content of a
+partition is a signature. A set signs only the k + 1 with the most features (ties by content), because
+what few features say chance says too. Linked sets share one: of the k + 1 of either set at least one
+is untouched by any difference, so the other set has it as well; and as both sets rank contents alike,
+the one of them whose last signature ranks higher finds its untouched one among those of the other.
+A set that fills no more than k partitions signs them all, and in a second, independent partitioning
+too, and so on; in the last one it signs its empty partitions as well.
 
 Search. Rows (signature, id) are sorted by signature, and every member of a bucket is compared
 with one pivot; equal signatures inside one task keep one row each before the shuffle. Verified
@@ -20,7 +21,7 @@ links give components. Buckets that still hold several components are compared w
 and what remains is compared pair by pair across components, so no link that could join two
 components is missed, while members already connected are never paired. Buckets that stay large
 are first divided by signatures of an independent partitioning, which linked sets share as well.
-Before texts are compared, sizes and 512-bit parity sketches (their difference is at most the
+Before texts are compared, sizes and 2048-bit parity sketches (their difference is at most the
 true one) rule out most pairs.
 
 Defined results: null or empty text, or text without words, has 0 n-grams, links with nothing and
@@ -31,6 +32,7 @@ Only id and text are read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,12 +41,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import text as tx
-from riskframe.llm.common import discard, release_memory, store
+from riskframe.llm.common import discard, free_finished, release_memory, store
 from riskframe.llm.components import components
 
 FAMILIES = 6
 BAND_RATIO = 1.45
-SKETCH_LONGS = 8
+# Partitions beyond those in which linked sets may differ, in tenths of these.
+SPARE_TENTHS = 3
+# 2048 bits tell sets of some 4,000 features apart; pairs inside a bucket carry a folded sketch of 512.
+SKETCH_LONGS, FOLDED_LONGS = 32, 8
 # Up to this many rows an id list is broadcast; more are joined by shuffle.
 BROADCAST_IDS = 100_000
 # Buckets above this size are divided before their pairs are compared.
@@ -65,15 +70,9 @@ def smallest(percent: int) -> int:
 SMALLEST = smallest(85)
 
 
-def _spare(differ: int, size: int) -> int:
-    """Partitions beyond differ + 1 such that ``size`` features rarely leave more than these empty;
-    at most half of ``differ``, where small sets leave too many anyway."""
-    for spare in range(differ // 2 + 1):
-        parts = differ + 1 + spare
-        empty = parts * np.exp(-size / parts)
-        if spare >= empty + np.sqrt(empty):
-            return spare
-    return differ // 16
+def _differ(percent: int, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The most features in which linked sets of these sizes differ."""
+    return (100 - percent) * (size + other) // (100 + percent)
 
 
 class Bands:
@@ -88,10 +87,13 @@ class Bands:
             self.high.append(high)
             low = high + 1
         self.low, self.high = np.array(self.low), np.array(self.high)
-        self.differ = 2 * self.high * (100 - percent) // (100 + percent)
-        # The smallest set that signs for a band has a partner of its smallest size.
-        least = -(-percent * self.low // 100)
-        self.spare = np.array([_spare(int(k), int(m)) for k, m in zip(self.differ, least, strict=True)])
+        differ = _differ(percent, self.high, self.high)
+        # In integers, so that all machines agree on it.
+        self.parts = differ + 1 + -(-SPARE_TENTHS * differ // 10)
+
+    def differ(self, size: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """The most features in which sets differ from those in a band that they link with."""
+        return _differ(self.percent, size, np.minimum(self.high[band], 100 * size // self.percent))
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.high, size)
@@ -130,6 +132,15 @@ def _sum_hashes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _largest(who: np.ndarray, held: np.ndarray, content: np.ndarray, filled: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Of each set's filled partitions the ``differ`` + 1 of most features, ties by content (all of
+    those that tie for the last place too); rows are in order of ``who``."""
+    low = tx.mix(content) >> _U(32)
+    key = (who.astype(np.uint64) << _U(40)) | (_U(255) - np.minimum(held, 255).astype(np.uint64)) << _U(32) | low
+    last = np.cumsum(filled) - filled + np.minimum(differ, filled - 1)
+    return key <= np.sort(key)[last][who]
+
+
 def signatures(
     values: np.ndarray, counts: np.ndarray, percent: int, seed: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -144,9 +155,8 @@ def signatures(
             if not len(chosen):
                 break
             band = bands.of(counts[chosen]) + step
-            differ = bands.differ[band]
-            parts = differ + 1 + bands.spare[band]
             size = counts[chosen]
+            differ, parts = bands.differ(size, band), bands.parts[band]
             own = np.repeat(np.arange(len(chosen)), size)
             at = np.repeat(start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             h = tx.mix(values[at] ^ _U((seed * FAMILIES + family + 1) * 0x9E3779B97F4A7C15 % 2**64))
@@ -157,11 +167,14 @@ def signatures(
             cell, h = cell[order], tx.mix(h[order] + _U(1))
             first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             content = np.add.reduceat(h, first)
+            held = np.diff(np.append(first, len(cell)))
             cell, who = cell[first], own[order][first]
             filled = np.bincount(who, minlength=len(chosen))
-            sparse = parts - filled > parts - differ - 1
+            sparse = filled <= differ
+            largest = _largest(who, held, content, filled, differ)
+            cell, who, content = cell[largest], who[largest], content[largest]
             if family == FAMILIES - 1 and sparse.any():
-                gone = np.setdiff1d(np.arange(parts.sum()), cell)
+                gone = np.setdiff1d(np.arange(parts.sum()), cell)  # sparse sets sign all they fill
                 gone_who = np.searchsorted(offset, gone, side="right") - 1
                 gone, gone_who = gone[sparse[gone_who]], gone_who[sparse[gone_who]]
                 cell, who = np.append(cell, gone), np.append(who, gone_who)
@@ -254,8 +267,9 @@ def _describe(text: Column, n: int, percent: int, seed: int = 0) -> Column:
                 at = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(counts)))]).astype(np.int32)
                 bits = SKETCH_LONGS * 64
                 cell = np.repeat(np.arange(len(counts)), counts) * bits + (tx.mix(values) % _U(bits)).astype(np.int64)
-                odd = (np.bincount(cell, minlength=len(counts) * bits) & 1).astype(np.uint8)
-                packed = np.packbits(odd).view(np.int64)
+                octets = np.zeros(len(counts) * bits // 8, np.uint8)
+                np.bitwise_xor.at(octets, cell >> 3, np.uint8(1) << (cell & 7).astype(np.uint8))
+                packed = octets.view(np.int64)
                 fixed = np.arange(0, len(packed) + 1, SKETCH_LONGS, dtype=np.int32)
                 parts.append(
                     pa.StructArray.from_arrays(
@@ -296,10 +310,16 @@ def _linked(left: Column, right: Column, n: int, percent: int) -> Column:
     return run(left, right)
 
 
-def _near(a: str, b: str, percent: int) -> Column:
-    """Whether sizes n<a>, n<b> and sketches s<a>, s<b> allow a link."""
+def _folded(sketch: Column) -> Column:
+    """The sketch of FOLDED_LONGS that the same features have."""
+    parts = [[sketch[j] for j in range(i, SKETCH_LONGS, FOLDED_LONGS)] for i in range(FOLDED_LONGS)]
+    return F.array(*[functools.reduce(Column.bitwiseXOR, p) for p in parts])
+
+
+def _near(a: str, b: str, percent: int, longs: int = SKETCH_LONGS) -> Column:
+    """Whether sizes n<a>, n<b> and sketches s<a>, s<b> of ``longs`` allow a link."""
     na, nb, sa, sb = (F.col(c) for c in (f"n{a}", f"n{b}", f"s{a}", f"s{b}"))
-    differ = sum(F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(SKETCH_LONGS))
+    differ = sum(F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(longs))
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
         differ * (100 + percent) <= (100 - percent) * (na + nb)
     )
@@ -317,9 +337,10 @@ class _Join:
         self.known, self.n, self.percent = known, n, percent
         self.links = self.roots = None
 
-    def info(self, end: str) -> DataFrame:
+    def info(self, end: str, folded: bool = False) -> DataFrame:
         """Size and sketch of every candidate, named after one end of a pair."""
-        return self.known.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
+        sketch = _folded(F.col("sketch")) if folded else F.col("sketch")
+        return self.known.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), sketch.alias(f"s{end}"))
 
     def verify(self, pairs: DataFrame) -> int:
         """Compare pairs (a, b), add the links and refresh the components; returns the links found."""
@@ -339,6 +360,8 @@ class _Join:
             if before is not None:
                 discard(before)
         discard(found, possible, ends)
+        del tested, both, texts
+        free_finished(self.known.sparkSession)
         return new
 
     def unresolved(self, rows: DataFrame) -> DataFrame:
@@ -406,6 +429,9 @@ def jaccard_components(
     sorted_rows = emitted.repartition("sig").sortWithinPartitions("sig", "id")
     pairs = store(sorted_rows.mapInArrow(_stars, "a bigint, b bigint").distinct(), "pairs")
     candidates = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
+    # The signatures are the largest shuffle; its files are not needed any more.
+    del emitted, sorted_rows
+    free_finished(docs.sparkSession)
     described = distinct.join(_small(candidates), "id", "left_semi")
     known = store(described.withColumn("d", _describe(F.col("text"), n, percent)).select("id", "text", "d.*"), "known")
 
@@ -424,10 +450,10 @@ def jaccard_components(
             break
     rows = store(join.unresolved(rows.select("id", "sig")), "open")
     rows = _divide(join, rows, bucket_rows)
-    left = rows.withColumnRenamed("id", "a").join(join.info("a"), "a")
-    right = rows.select("sig", F.col("id").alias("b"), F.col("root").alias("other")).join(join.info("b"), "b")
+    left = rows.withColumnRenamed("id", "a").join(join.info("a", folded=True), "a")
+    right = rows.select("sig", F.col("id").alias("b"), F.col("root").alias("other")).join(join.info("b", folded=True), "b")
     across = left.join(right, "sig").where((F.col("a") > F.col("b")) & (F.col("root") != F.col("other")))
-    join.verify(across.where(_near("a", "b", percent)).select("a", "b"))
+    join.verify(across.where(_near("a", "b", percent, FOLDED_LONGS)).select("a", "b"))
     # The result reads members and links only.
     discard(pairs, candidates, known)
 
