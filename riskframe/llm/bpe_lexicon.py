@@ -459,8 +459,10 @@ def encode_and_decode(text: Column, vocabulary: Vocabulary, lexicon: str) -> Col
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, tokens = _Encoder(vocabulary, lexicon), pa.array(vocabulary.tokens, pa.string())
         for column in batches:
-            ids = encoder.encode_column(column)
-            yield pa.StructArray.from_arrays([ids, _decoded(ids, tokens)], ["ids", "decoded"])
+            # A slice at a time: ids and strings of a whole Arrow batch are never in memory together.
+            for texts in _slices(column):
+                ids = encoder.encode(texts)
+                yield pa.StructArray.from_arrays([ids, _decoded(ids, tokens)], ["ids", "decoded"])
         del encoder, tokens
         release_memory()
 
