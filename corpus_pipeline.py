@@ -10,7 +10,7 @@
 
 Stages 1 to 4 return the columns of ``documents``. Null ids are of no component and stay; null and
 empty texts have no letter and go in stage 1. Each stage starts with what the one before
-left in memory and in shuffle files given back. Stages are fitted models, a similarity join over
+left in memory and in shuffle files given back; fits do so again before their model is used. Stages are fitted models, a similarity join over
 hashes and a tokeniser, which SQL cannot express; tests compare them with brute force.
 """
 
@@ -62,9 +62,11 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     free_finished(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = queries.mixing_model(docs, labels)
+    free_finished(spark)
     read = docs.withColumn("__mix", mixing.posteriors(model, F.col("text")))
     rows = store(read.select("__mix.*"), "mix")
     mix = mixing.fit(rows, model.domains, queries.MIX_WEIGHTS, queries.MIX_REPEATS, keep=queries.MIX_KEEP)
+    free_finished(spark)
     rate = mixing.rate_of(mix, [F.col("__mix.p")[j] for j in range(len(model.domains))])
     uses = F.explode(F.array_repeat(F.lit(0), mixing.copies(rate, "doc_id")))
     return read.select(*docs.columns, uses.alias("__use")).select(docs.columns)
