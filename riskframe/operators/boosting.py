@@ -8,7 +8,11 @@ alone, never on the rows. With ``max_leaves`` a tree is cut back to the splits t
 would have made within the same depth: a node's split depends on its own histogram only, so the
 order of growth changes nothing else.
 
-Rows keep their margins as of some trees ago; the latest trees go with each pass and are folded into
+A binned table that fits the memory of a task (``WHOLE_BYTES``) needs no pass per level: a task per
+model holds it, grows all trees from the same sums and keeps the place of every row between levels.
+Beyond that size passes run over the cluster, where a job per level costs more than its work on few rows.
+
+In passes, rows keep their margins as of some trees ago; the latest trees go with each pass and are folded into
 stored margins every ``REFRESH`` trees, which also cuts lineage: whatever executors are lost, at most
 that many trees are evaluated again. Rows are sampled per tree by a hash of their id, columns by the
 tree's number, so results do not depend on how rows are dealt out, up to the order of sums.
@@ -38,6 +42,9 @@ BINS = 64
 BIN_SAMPLE = 20_000
 REFRESH = 8
 SCORE_BUCKETS = 4096
+# A binned table of up to so many bytes fits the memory of a task, with so many bytes a row besides its bins.
+WHOLE_BYTES = 64 << 20
+ROW_BYTES = 40
 _U = np.uint64
 
 
@@ -64,17 +71,9 @@ class Ensemble:
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
-        x = np.where(np.isnan(x), -np.inf, x)
-        every = np.arange(len(x))
-        for s in self.start.tolist():
-            node = np.full(len(x), s)
-            while True:
-                f = self.feature[node]
-                if (f < 0).all():
-                    break
-                goes = x[every, np.maximum(f, 0)] <= self.threshold[node]
-                node = np.where(f < 0, node, s + np.where(goes, self.left[node], self.right[node]))
-            out += self.value[node]
+        x = np.ascontiguousarray(np.where(np.isnan(x), -np.inf, x).T)
+        for s, e in zip(self.start.tolist(), np.append(self.start[1:], len(self.feature)).tolist()):
+            _add_tree(out, x, tuple(c[s:e] for c in (self.feature, self.threshold, self.left, self.right, self.value)))
         return out
 
     def importance(self) -> np.ndarray:
@@ -84,18 +83,36 @@ class Ensemble:
         return total / (total.sum() or 1.0)
 
 
+def _matrix(columns: Sequence[pa.Array]) -> np.ndarray:
+    return np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns], axis=1)
+
+
 def margin_of(model: Ensemble) -> Column:
     """The model's margin of a row, from its columns."""
 
     @F.arrow_udf("double")
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in batches:
-            x = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns]
-            yield pa.array(model.margin(np.stack(x, axis=1)), pa.float64())
+            yield pa.array(model.margin(_matrix(columns)), pa.float64())
 
     return run(*[F.col(c).cast("double") for c in model.cols])
 
 
+def margin_of_fold(models: Sequence[Ensemble], fold: str) -> Column:
+    """The margin of a row by the model of its own fold, all models of the same columns."""
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for number, *columns in batches:
+            x, of = _matrix(columns), number.to_numpy(zero_copy_only=False)
+            out = np.full(len(x), np.nan)
+            for k, model in enumerate(models):
+                out[of == k] = model.margin(x[of == k])
+            yield pa.array(out, pa.float64())
+
+    return run(F.col(fold), *[F.col(c).cast("double") for c in models[0].cols])
+
+
 def probability_of(model: Ensemble) -> Column:
     return 1 / (1 + F.exp(-margin_of(model)))
 
@@ -168,17 +185,38 @@ def _routed(bins: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
         node = np.where(inner, np.where(goes, left[node], right[node]), node)
 
 
+def _add_tree(margin: np.ndarray, x: np.ndarray, tree: tuple[np.ndarray, ...]) -> None:
+    """Adds the values of a tree to the margins of rows; ``x`` has a row per column, of bins or of values.
+
+    Rows part at every node, so each is looked at once a level."""
+    feature, cut, left, right, value = (c.tolist() for c in tree)
+    stack: list[tuple[int, np.ndarray | None]] = [(0, None)]  # None: all rows
+    while stack:
+        node, rows = stack.pop()
+        f = feature[node]
+        if f < 0:
+            margin[slice(None) if rows is None else rows] += value[node]
+            continue
+        goes = (x[f] if rows is None else x[f][rows]) <= cut[node]
+        for child, side in ((left[node], goes), (right[node], ~goes)):
+            part = np.flatnonzero(side) if rows is None else rows[side]
+            if len(part):
+                stack.append((child, part))
+
+
 def _margins(block: dict, m: int, recent: Sequence[tuple[np.ndarray, ...]]) -> np.ndarray:
     out = block["margin"][:, m].copy()
     for tree in recent:
-        out += tree[4][_routed(block["bins"], tree)]
+        _add_tree(out, block["bins"].T, tree)
     return out
 
 
 def histogram(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, slots: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Sums (slot, column, bin, [gradient, curvature, rows]) over rows whose slot is not -1."""
     keep = slot >= 0
-    bins, slot, g, h = bins[keep], slot[keep] * BINS, g[keep], h[keep]
+    if not keep.all():
+        bins, slot, g, h = bins[keep], slot[keep], g[keep], h[keep]
+    slot = slot * BINS
     out = np.zeros((slots, len(columns), BINS, 3))
     for i, c in enumerate(columns.tolist()):
         key = slot + bins[:, c]
@@ -215,15 +253,19 @@ def _pass(block: dict, tasks: dict[int, _Task], options: Options, folds: int) ->
         out[m] = histogram(block["bins"], task.columns, slot, len(task.slots), w * (p - y), w * p * (1 - p))
         if 0 in task.slots:
             test = others & block["hold"]
-            if options.metric == "ap":
-                bucket = np.minimum((p[test] * SCORE_BUCKETS).astype(np.int64), SCORE_BUCKETS - 1)
-                out[m, "metric"] = np.stack([np.bincount(bucket, v, SCORE_BUCKETS) for v in (y[test], 1 - y[test])])
-            else:
-                q = np.clip(np.where(y[test] > 0, p[test], 1 - p[test]), 1e-15, 1)
-                out[m, "metric"] = np.array([-(w[test] * np.log(q)).sum(), w[test].sum()])
+            out[m, "metric"] = _test_sums(y[test], w[test], p[test], options)
     return out
 
 
+def _test_sums(y: np.ndarray, w: np.ndarray, p: np.ndarray, options: Options) -> np.ndarray:
+    """What the metric of hold-out rows is made of."""
+    if options.metric == "ap":
+        bucket = np.minimum((p * SCORE_BUCKETS).astype(np.int64), SCORE_BUCKETS - 1)
+        return np.stack([np.bincount(bucket, v, SCORE_BUCKETS) for v in (y, 1 - y)])
+    q = np.clip(np.where(y > 0, p, 1 - p), 1e-15, 1)
+    return np.array([-(w * np.log(q)).sum(), w.sum()])
+
+
 def _added(a: dict, b: dict) -> dict:
     return {k: a[k] + b[k] for k in a}
 
@@ -324,6 +366,8 @@ def bin_edges(df: DataFrame, cols: Sequence[str], id_col: str, bins: int = BINS)
 
 
 _BLOCK = "n int, bins binary, y binary, w binary, ids binary, fold binary, hold binary, margin binary"
+# What a task that grows a whole model reads, ids first; margins start at 0.
+_WHOLE = ["ids", "bins", "y", "w", "fold", "hold"]
 _SCHEMA = pa.schema([("n", pa.int32()), *((c.split(" ")[0], pa.binary()) for c in _BLOCK.split(", ")[1:])])
 
 
@@ -363,8 +407,8 @@ def _read(row, columns: int, models: int) -> dict:
 
     return {
         "bins": get("bins", np.uint8).reshape(-1, columns), "y": get("y", np.float64), "w": get("w", np.float64), "ids": get("ids", np.uint64),
-        "fold": get("fold", np.int8), "hold": get("hold", bool), "margin": get("margin", np.float64).reshape(-1, models),
-    }
+        "fold": get("fold", np.int8), "hold": get("hold", bool),
+    } | ({"margin": get("margin", np.float64).reshape(-1, models)} if "margin" in row else {})
 
 
 def _refreshed(blocks: DataFrame, recent: dict[int, list], columns: int, models: int) -> DataFrame:
@@ -380,32 +424,90 @@ def _refreshed(blocks: DataFrame, recent: dict[int, list], columns: int, models:
     return cut_lineage(blocks.mapInArrow(run, _BLOCK), "blocks")
 
 
-def fit(df: DataFrame, cols: Sequence[str], id_col: str, options: Options, folds: int = 0) -> list[Ensemble]:
-    """One model, or one per fold, of column ``label`` (0 or 1). Optional columns: ``weight``,
-    ``holdout`` (true rows stop the descent and are not learnt from) and, with folds, ``fold``."""
-    cols, models = list(cols), max(folds, 1)
-    edges = bin_edges(df, cols, id_col)
-    blocks = _blocks(df, cols, id_col, edges, models)
-    trees: dict[int, list[_Tree]] = {m: [] for m in range(models)}
-    scores: dict[int, list[float]] = {m: [] for m in range(models)}
-    live = set(range(models))
+class _Spread:
+    """The binned table as blocks all over the cluster; a pass is a job over all of them."""
+
+    every = REFRESH
 
-    def opened(table: DataFrame):
-        read = table.rdd.map(lambda row: _read(row, len(cols), models))
-        return read.persist(StorageLevel.MEMORY_AND_DISK)
+    def __init__(self, blocks: DataFrame, columns: int, models: int, options: Options, folds: int):
+        self.blocks, self.columns, self.models, self.options, self.folds = blocks, columns, models, options, folds
+        self.state = self._opened()
 
-    state, folded = opened(blocks), 0
+    def _opened(self):
+        columns, models = self.columns, self.models
+        return self.blocks.rdd.map(lambda row: _read(row, columns, models)).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def summed(tasks: dict[int, _Task]) -> dict:
+    def add(self, recent: dict[int, list]) -> None:
+        self.blocks = _refreshed(self.blocks, recent, self.columns, self.models)
+        old, self.state = self.state, self._opened()
+        old.unpersist()
+
+    def sums(self, tasks: dict[int, _Task]) -> dict:
         # Not a DataFrame: the sum of arrays over a few thousand short passes.
-        return state.map(lambda block: _pass(block, tasks, options, folds)).treeReduce(_added, 2) if tasks else {}
+        options, folds = self.options, self.folds
+        return self.state.map(lambda block: _pass(block, tasks, options, folds)).treeReduce(_added, 2) if tasks else {}
+
+
+class _Whole:
+    """The rows of one model in the memory of a task. A pass goes on where the one before ended: a level
+    moves rows one step down, and a tree is added to the margins once."""
+
+    every = 1
+
+    def __init__(self, block: dict, m: int, options: Options, folds: int):
+        # Of its own fold a model sees nothing.
+        seen = block["fold"] != m if folds else np.ones(len(block["y"]), bool)
+        self.bins = np.ascontiguousarray(block["bins"][seen].T)
+        self.y, self.w, self.ids, self.hold = (block[c][seen] for c in ("y", "w", "ids", "hold"))
+        self.m, self.options, self.margin = m, options, np.zeros(len(self.y))
+
+    def add(self, recent: dict[int, list]) -> None:
+        for tree in recent[self.m]:
+            _add_tree(self.margin, self.bins, tree)
+
+    def _begin(self, task: _Task) -> dict:
+        p = 1 / (1 + np.exp(-self.margin))
+        rows = np.flatnonzero(~self.hold & sampled(self.ids, task.tree, self.options.row_share, self.options.seed))
+        self.own = np.stack([self.bins[c][rows] for c in task.columns.tolist()])
+        y, w, p_own = self.y[rows], self.w[rows], p[rows]
+        self.g, self.h = w * (p_own - y), w * p_own * (1 - p_own)
+        self.node = np.zeros(len(rows), np.int64)
+        return {(self.m, "metric"): _test_sums(self.y[self.hold], self.w[self.hold], p[self.hold], self.options)}
+
+    def _step(self, task: _Task) -> None:
+        feature, cut, left, right, _ = task.grown
+        place = np.zeros(len(self.bins), np.int64)
+        place[task.columns] = np.arange(len(task.columns))
+        split = feature[self.node] >= 0
+        if not split.all():
+            self.own, self.g, self.h, self.node = self.own[:, split], self.g[split], self.h[split], self.node[split]
+        goes = self.own[place[feature[self.node]], np.arange(len(self.node))] <= cut[self.node]
+        self.node = np.where(goes, left[self.node], right[self.node])
+
+    def sums(self, tasks: dict[int, _Task]) -> dict:
+        if not tasks:
+            return {}
+        task, out = tasks[self.m], {}
+        if 0 in task.slots:
+            out |= self._begin(task)
+        else:
+            self._step(task)
+        slot = np.zeros(len(task.grown[0]), np.int64)
+        for n, s in task.slots.items():
+            slot[n] = s
+        return out | {self.m: histogram(self.own.T, np.arange(len(self.own)), slot[self.node], len(task.slots), self.g, self.h)}
+
 
+def _grown(table: _Spread | _Whole, models: Sequence[int], columns_all: int, options: Options) -> tuple[dict[int, list[_Tree]], dict[int, list[float]]]:
+    """Trees and scores of each model, from the sums of the table's rows."""
+    trees: dict[int, list[_Tree]] = {m: [] for m in models}
+    scores: dict[int, list[float]] = {m: [] for m in models}
+    live, folded = set(models), 0
     for number in range(options.trees + 1):
-        if number - folded >= REFRESH:
-            blocks = _refreshed(blocks, {m: [t.arrays() for t in trees[m][folded:]] for m in range(models)}, len(cols), models)
-            old, state, folded = state, opened(blocks), number
-            old.unpersist()
-        columns = columns_of(number, len(cols), options.column_share, options.seed)
+        if number - folded >= table.every:
+            table.add({m: [t.arrays() for t in trees[m][folded:]] for m in models})
+            folded = number
+        columns = columns_of(number, columns_all, options.column_share, options.seed)
         growing = {m: _Tree() for m in live}
         frontier = {m: [0] for m in live}
         for level in range(options.depth):
@@ -414,7 +516,7 @@ def fit(df: DataFrame, cols: Sequence[str], id_col: str, options: Options, folds
                 for m in live
                 if frontier[m]
             }
-            found = summed(tasks)
+            found = table.sums(tasks)
             for m in tasks:
                 if level == 0:
                     score = _metric(found[m, "metric"], options.metric)
@@ -440,11 +542,50 @@ def fit(df: DataFrame, cols: Sequence[str], id_col: str, options: Options, folds
                     after += [tree.left[n], tree.right[n]]
                 frontier[m] = after
             frontier = {m: frontier[m] for m in live}
+            if not any(frontier.values()):
+                break
         if not live:
             break
         for m in live:
             trees[m].append(_pruned(growing[m], options.max_leaves))
-    state.unpersist()
+    return trees, scores
+
+
+def _grown_whole(blocks: DataFrame, columns: int, models: int, options: Options, folds: int) -> tuple[dict[int, list[_Tree]], dict[int, list[float]]]:
+    """The same with a task per model, which holds the table and so needs no job per level."""
+
+    def grow(pairs: Iterator[tuple[int, tuple]]) -> Iterator[tuple]:
+        rows: dict[int, list] = {}
+        for m, row in pairs:
+            rows.setdefault(m, []).append(row)
+        for m in sorted(rows):
+            # Of blocks in any order: sums come in that of their first ids.
+            parts = [_read(dict(zip(_WHOLE, row, strict=True)), columns, models) for row in sorted(rows.pop(m), key=lambda row: row[0])]
+            block = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+            del parts
+            trees, scores = _grown(_Whole(block, m, options, folds), [m], columns, options)
+            yield m, trees[m], scores[m]
+
+    dealt = blocks.select(*_WHOLE).rdd.flatMap(lambda row: [(m, tuple(row)) for m in range(models)]).partitionBy(models, int)
+    found = dealt.mapPartitions(grow).collect()  # models
+    return {m: t for m, t, _ in found}, {m: s for m, _, s in found}
+
+
+def fit(df: DataFrame, cols: Sequence[str], id_col: str, options: Options, folds: int = 0, whole_bytes: int = WHOLE_BYTES) -> list[Ensemble]:
+    """One model, or one per fold, of column ``label`` (0 or 1). Optional columns: ``weight``,
+    ``holdout`` (true rows stop the descent and are not learnt from) and, with folds, ``fold``."""
+    cols, models = list(cols), max(folds, 1)
+    edges = bin_edges(df, cols, id_col)
+    blocks = _blocks(df, cols, id_col, edges, models)
+    rows = blocks.agg(F.sum("n")).first()[0]
+    if not rows:
+        raise ValueError("no rows to learn from")
+    if rows * (len(cols) + ROW_BYTES) <= whole_bytes:
+        trees, scores = _grown_whole(blocks, len(cols), models, options, folds)
+    else:
+        table = _Spread(blocks, len(cols), models, options, folds)
+        trees, scores = _grown(table, range(models), len(cols), options)
+        table.state.unpersist()
     return [_ensemble(cols, trees[m], edges, scores[m], options.patience is not None) for m in range(models)]
 
 

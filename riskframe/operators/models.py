@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -212,10 +213,13 @@ def fit_platt(
         "platt",
     )
     models = boosting.fit(table, cols, id_col, boosting.with_options(seed=seed, **options), folds)
-    fitted = []
-    for k, model in enumerate(models):
-        own = table.where(F.col("fold") == k)
-        margins = own.select("label", array_to_vector(F.array(boosting.margin_of(model))).alias("v"))
+    own = cut_lineage(table.select("fold", "label", boosting.margin_of_fold(models, "fold").alias("m")), "margins")
+
+    def calibrated(k: int) -> tuple[boosting.Ensemble, float, float]:
+        margins = own.where(F.col("fold") == k).select("label", array_to_vector(F.array("m")).alias("v"))
         lr = LogisticRegression(featuresCol="v", labelCol="label", maxIter=50).fit(margins)
-        fitted.append((model, float(lr.coefficients[0]), float(lr.intercept)))
-    return PlattModel(fitted)
+        return models[k], float(lr.coefficients[0]), float(lr.intercept)
+
+    # Some dozens of short jobs each, which leave most cores idle one after the other.
+    with ThreadPoolExecutor(folds) as pool:
+        return PlattModel(list(pool.map(calibrated, range(folds))))
