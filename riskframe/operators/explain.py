@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -14,6 +13,11 @@ from pyspark.sql import functions as F
 from riskframe.operators.boosting import Ensemble
 from riskframe.operators.models import PlattModel
 
+# Tables of Shapley values by pattern: for leaves of up to so many features, so many patterns at once.
+TABLE_FEATURES, TABLE_CELLS = 8, 1 << 16
+# Rows that share those tables, and the least that a task is made for.
+ROWS_AT_ONCE, ROWS_OF_TASK = 16_384, 1_024
+
 
 def linear_attribution(
     df: DataFrame, coefficients: Mapping[str, float]
@@ -88,32 +92,102 @@ def tree_leaves(model: Ensemble) -> list[Leaf]:
     return leaves
 
 
-def _leaf_attribution(leaf: Leaf, x: np.ndarray, out: np.ndarray) -> None:
-    """Adds the leaf's Shapley values for all rows of ``x`` to ``out``.
+def _shapley(share: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Shapley values of the product over path features (the last axis) of 1 if known and inside, 0 if
+    known and outside, training share if unknown.
 
-    The leaf's value reaches a row in proportion to the product over path features of
-    (1 if known and inside, 0 if known and outside, training share if unknown). For each
-    feature, coalitions of the others are summed by size through the coefficients of a
-    polynomial.
+    The weights of coalitions by size are Beta integrals, so a feature's value is (inside - share) times
+    the integral over u in [0, 1] of the product of share * (1 - u) + inside * u over the others: a
+    polynomial, which Gauss-Legendre sums exactly.
     """
-    m = len(leaf.features)
-    inside = [
-        ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-        for f, lo, hi in zip(leaf.features, leaf.low, leaf.high)
-    ]
-    weights = [factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)]
-    for i, f in enumerate(leaf.features):
-        by_size = [np.ones(len(x))]
-        for j in range(m):
-            if j == i:
+    m = share.shape[-1]
+    nodes, weights = np.polynomial.legendre.leggauss(m // 2 + 1)
+    total = 0.0
+    for u, w in zip((nodes + 1) / 2, weights / 2):
+        part = share * (1 - u) + inside * u
+        before, after = np.ones_like(part), np.ones_like(part)
+        before[..., 1:] = np.cumprod(part[..., :-1], axis=-1)
+        after[..., :-1] = np.cumprod(part[..., :0:-1], axis=-1)[..., ::-1]
+        total = total + w * before * after
+    return (inside - share) * total
+
+
+def _leaf_attribution(leaf: Leaf, x: np.ndarray, out: np.ndarray) -> None:
+    """Adds the leaf's Shapley values for all rows of ``x`` to ``out``."""
+    if not leaf.features:
+        return
+    at = x[:, leaf.features]
+    inside = ((at > np.array(leaf.low)) & (at <= np.array(leaf.high))).astype(float)
+    out[:, leaf.features] += leaf.value * _shapley(np.array(leaf.share), inside)
+
+
+@dataclass
+class _Paths:
+    """Leaves with the same number of features: arrays of a row per leaf and a column per feature.
+
+    Bounds are places among the cuts of the feature, so that rows are compared as small numbers."""
+
+    value: np.ndarray
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+
+
+def _packed(leaves: Sequence[Leaf], columns: int) -> tuple[list[np.ndarray], list[_Paths]]:
+    """The cuts of each column, and the leaves by number of features."""
+    found: list[set] = [set() for _ in range(columns)]
+    sizes: dict[int, list[Leaf]] = {}
+    for leaf in leaves:
+        for f, low, high in zip(leaf.features, leaf.low, leaf.high):
+            found[f].update((low, high))
+        if leaf.features:
+            sizes.setdefault(len(leaf.features), []).append(leaf)
+    cuts = [np.array(sorted(v for v in some if np.isfinite(v))) for some in found]
+    packed = []
+    for _, group in sorted(sizes.items()):
+        features = np.array([leaf.features for leaf in group])
+        low, high = np.array([leaf.low for leaf in group]), np.array([leaf.high for leaf in group])
+        for f, c in enumerate(cuts):
+            own = features == f
+            # A row's place is the number of cuts below it: over low from there on, up to high until there.
+            low[own] = np.where(np.isfinite(low[own]), np.searchsorted(c, low[own]) + 1, 0)
+            high[own] = np.where(np.isfinite(high[own]), np.searchsorted(c, high[own]), len(c))
+        packed.append(_Paths(np.array([leaf.value for leaf in group]), features, low.astype(int), high.astype(int), np.array([leaf.share for leaf in group])))
+    return cuts, packed
+
+
+def _placed(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
+    """Per column the number of cuts below each value; one beyond all for values that no interval holds."""
+    kind = np.uint8 if max(map(len, cuts), default=0) < 255 else np.int32
+    return np.stack([np.where(np.isnan(v) | (v == -np.inf), len(c) + 1, np.searchsorted(c, v)).astype(kind) for v, c in zip(x.T, cuts, strict=True)])
+
+
+def _add_paths(paths: _Paths, places: np.ndarray, out: np.ndarray) -> None:
+    """Adds the Shapley values of all leaves to ``out``, a row per column.
+
+    Rows differ only in which features of a leaf they are inside of: up to TABLE_FEATURES of them, values
+    are worked out once per leaf and such pattern, and rows look theirs up."""
+    m = paths.features.shape[1]
+    patterns = (np.arange(2**m)[:, None] >> np.arange(m) & 1).astype(float) if m <= TABLE_FEATURES else None
+    step = max(TABLE_CELLS // 2**m, 1)
+    for start in range(0, len(paths.value), step):
+        end = min(start + step, len(paths.value))
+        if patterns is not None:
+            tables = paths.value[start:end, None, None] * _shapley(paths.share[start:end, None, :], patterns[None])
+            tables = np.ascontiguousarray(tables.transpose(0, 2, 1))
+        for i in range(start, end):
+            columns = paths.features[i].tolist()
+            inside = [(places[f] >= lo) & (places[f] <= hi) for f, lo, hi in zip(columns, paths.low[i].tolist(), paths.high[i].tolist())]
+            if patterns is None:
+                out[columns] += paths.value[i] * _shapley(paths.share[i], np.stack(inside, axis=1).astype(float)).T
                 continue
-            grown = [np.zeros(len(x)) for _ in range(len(by_size) + 1)]
-            for s, c in enumerate(by_size):
-                grown[s] += c * leaf.share[j]
-                grown[s + 1] += c * inside[j]
-            by_size = grown
-        total = sum(w * c for w, c in zip(weights, by_size))
-        out[:, f] += leaf.value * total * (inside[i] - leaf.share[i])
+            code = inside[0].view(np.uint8)
+            for j in range(1, m):
+                code = code | inside[j].view(np.uint8) << j
+            code = code.astype(np.intp)
+            for f, values in zip(columns, tables[i - start]):
+                out[f] += values[code]
 
 
 def base_margin(leaves: Sequence[Leaf]) -> float:
@@ -145,22 +219,36 @@ def calibrated_attribution(df: DataFrame, model: PlattModel, cols: Sequence[str]
 
 
 def _attribution(df: DataFrame, leaves: list[Leaf], cols: Sequence[str], id_col: str) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
-    base = base_margin(leaves)
     cols = list(cols)
+    shared = df.sparkSession.sparkContext.broadcast(_packed(leaves, len(cols)))
+    base = base_margin(leaves)
+
+    def explained(held: list[pd.DataFrame]) -> pd.DataFrame:
+        batch = pd.concat(held)
+        cuts, packed = shared.value
+        places = _placed(batch[cols].to_numpy(dtype=float), cuts)
+        phi = np.zeros((len(cols), len(batch)))
+        for paths in packed:
+            _add_paths(paths, places, phi)
+        out = pd.DataFrame(phi.T, columns=cols)
+        out.insert(0, "id", batch["id"].to_numpy())
+        out["base"] = base
+        return out
 
     def explain(batches):
+        held = []
         for batch in batches:
-            x = batch[cols].to_numpy(dtype=float)
-            phi = np.zeros_like(x)
-            for leaf in shared.value:
-                _leaf_attribution(leaf, x, phi)
-            out = pd.DataFrame(phi, columns=cols)
-            out.insert(0, "id", batch["id"].to_numpy())
-            out["base"] = base
-            yield out
+            held.append(batch)
+            if sum(map(len, held)) >= ROWS_AT_ONCE:
+                yield explained(held)
+                held = []
+        if held:
+            yield explained(held)
 
     data = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
     id_type = dict(data.dtypes)["id"]
     fields = ", ".join(f"{c} double" for c in cols)
-    return data.mapInPandas(explain, f"id {id_type}, {fields}, base double")
+    # A row takes thousands of leaves, so few rows are work for all cores.
+    rows, cores = data.count(), df.sparkSession.sparkContext.defaultParallelism
+    spread = data.repartition(max(-(-rows // ROWS_AT_ONCE), min(cores, -(-rows // ROWS_OF_TASK)), 1))
+    return spread.mapInPandas(explain, f"id {id_type}, {fields}, base double")
