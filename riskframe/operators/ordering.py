@@ -209,9 +209,10 @@ def as_of(df: DataFrame, at: str, points: DataFrame, key: str, cols: Sequence[st
         F.last("_last", ignorenulls=True).over(buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
         F.first("_first", ignorenulls=True).over(buckets.rowsBetween(1, Window.unboundedFollowing)).alias("_coming"),
     )
-    inside = Window.partitionBy("_b").orderBy("_v")
-    before = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_p", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+    # Both from running frames: one that ends with its bucket is worked out anew for every row.
+    inside, reverse = (Window.partitionBy("_b").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("_v").asc(), F.col("_v").desc()))
+    before = F.last("_p", ignorenulls=True).over(inside)
+    after = F.last("_p", ignorenulls=True).over(reverse)
     found = rows.withColumns({"_before": before, "_after": after}).join(F.broadcast(ends), "_b")  # at most a row per bucket
     found = found.select(
         F.col("_v").alias("_at"), F.coalesce("_before", "_carried").alias("before"), F.coalesce("_after", "_coming").alias("after")
