@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from riskframe.functions.parse import text_id, whole_days
 from riskframe.functions.scores import HIGH_VALUE_SEGMENTS
 from riskframe.operators.impute import keep_up_to_quantile
 from riskframe.operators.ordering import quantile_values
-from riskframe.operators.tiles import squared_distances, tile_join
+from riskframe.operators.tiles import paired_distance_sums
 from riskframe.session import cut_lineage
 
 RFM = ["recency", "frequency", "monetary"]
+LEAST_TILE_ROWS = 4_096
 
 # Segment names by cluster rank, richest first.
 SEGMENT_LABELS = {
@@ -182,45 +185,56 @@ def inertia(assigned: DataFrame) -> DataFrame:
 
 
 def silhouette_exact(
-    assigned: DataFrame, id_col: str, cols: Sequence[str], rows_per_tile: int = 2048
+    assigned: DataFrame, id_col: str, cols: Sequence[str], rows_per_tile: int = 65_536
 ) -> DataFrame:
     """Mean Euclidean silhouette, one row.
 
-    Work is quadratic by definition. Tiles of bounded size return one distance sum per
-    (row, cluster), never pairs. For very large tables use :func:`silhouette_squared`.
+    Work is quadratic by definition. Pairs of tiles of bounded size meet once each and return one
+    distance sum per row and cluster for both sides, never pairs. For very large tables use
+    :func:`silhouette_squared`.
     """
-    import numpy as np
     import pandas as pd
 
-    data = assigned.select(
-        F.col(id_col).alias("id"), "cluster_id", F.array(*cols).alias("x")
+    cols = list(cols)
+    fields = [f"x{i}" for i in range(len(cols))]
+    data = cut_lineage(
+        assigned.select(
+            F.col(id_col).alias("id"), F.col("cluster_id").cast("int").alias("own"), *[F.col(c).cast("double").alias(f) for c, f in zip(cols, fields)]
+        ),
+        "silhouette",
     )
-
-    def distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"id": [], "own": [], "cluster_id": [], "total": []})
-        d = np.sqrt(squared_distances(np.vstack(left["x"]), np.vstack(right["x"])))
-        out = []
-        for k in np.unique(right["cluster_id"]):
-            total = d[:, (right["cluster_id"] == k).to_numpy()].sum(axis=1)
-            out.append(
-                pd.DataFrame(
-                    {"id": left["id"], "own": left["cluster_id"], "cluster_id": k, "total": total}
-                )
-            )
+    sizes = data.where("own is not null").groupBy("own").count().orderBy("own").collect()  # clusters
+    if not sizes:
+        return _silhouette(data.select("id", "own", F.col("own").alias("cluster_id"), F.lit(0).alias("n"), F.lit(0.0).alias("total")).limit(0))
+    clusters = [r["own"] for r in sizes]
+    totals = [f"t{k}" for k in range(len(clusters))]
+    n, cores = data.count(), assigned.sparkSession.sparkContext.defaultParallelism
+    # Smaller tiles where few rows would leave cores idle.
+    parts = max(-(-n // rows_per_tile), min(-(-n // LEAST_TILE_ROWS), 2 * math.isqrt(2 * cores) + 1))
+
+    def distance_sums(rows: pd.DataFrame) -> pd.DataFrame:
+        # Rows without a cluster are nobody's neighbours.
+        codes = pd.Categorical(rows["own"], categories=clusters).codes
+        rows = rows.assign(code=np.where(codes < 0, len(clusters), codes)).sort_values("code", kind="stable")
+        i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
+        sides = [rows[rows["part"] == p] for p in ((i,) if i == j else (i, j))]
+        sums = paired_distance_sums(*[(side[fields].to_numpy(float), side["code"].to_numpy()) for side in sides], clusters=len(clusters) + 1)
+        out = [side[["id", "own"]].assign(**{t: total[:, k] for k, t in enumerate(totals)}) for side, total in zip(sides, sums)]
         return pd.concat(out)
 
-    id_type = dict(data.dtypes)["id"]
-    partial = tile_join(
-        data, data, "id", distance_sums,
-        f"id {id_type}, own int, cluster_id int, total double", rows_per_tile,
-    )
-    sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-    per_row = (
-        partial.groupBy("id", "own", "cluster_id")
-        .agg(F.sum("total").alias("total"))
-        .join(sizes, "cluster_id")
+    part, other = F.col("part"), F.col("other")
+    pairs = (
+        data.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .select("id", "own", *fields, "part", F.least(part, other).alias("i"), F.greatest(part, other).alias("j"))
+        .repartition(parts * (parts + 1) // 2, "i", "j")
     )
+    id_type = dict(data.dtypes)["id"]
+    partial = pairs.groupBy("i", "j").applyInPandas(distance_sums, f"id {id_type}, own int, {', '.join(f'{t} double' for t in totals)}")
+    per_cluster = [
+        F.struct(F.lit(r["own"]).alias("cluster_id"), F.lit(r["count"]).alias("n"), F.col(t).alias("total")) for r, t in zip(sizes, totals)
+    ]
+    per_row = partial.groupBy("id", "own").agg(*[F.sum(t).alias(t) for t in totals]).select("id", "own", F.inline(F.array(*per_cluster)))
     return _silhouette(per_row)
 
 

@@ -56,6 +56,48 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return d
 
 
+# Distances at once, which stay in a core's cache.
+CACHE_ROWS, CACHE_COLUMNS = 128, 256
+
+
+def _runs(codes: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(code, start, end) of the pieces of sorted codes, of one code and at most so many rows each."""
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)]).tolist()
+    return [(int(codes[a]), i, min(i + most, b)) for a, b in zip(first, [*first[1:], len(codes)]) for i in range(a, b, most)]
+
+
+def paired_distance_sums(
+    left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray] | None = None, *, clusters: int
+) -> list[np.ndarray]:
+    """Per side and row the sums of Euclidean distances to the rows of each cluster of the other side.
+
+    A side is its places and its sorted cluster codes; one side alone meets itself. Every distance
+    serves both of its ends."""
+    alone = right is None
+    right = left if alone else right
+    (x, own), (y, other) = left, right
+    x, y = np.ascontiguousarray(x), np.ascontiguousarray(y.T)
+    to_left, to_right = np.zeros((len(own), clusters)), np.zeros((clusters, len(other)))
+    columns = _runs(other, CACHE_COLUMNS)
+    ones = np.ones(max(CACHE_ROWS, CACHE_COLUMNS))
+    buffers = np.empty((2, CACHE_ROWS * CACHE_COLUMNS))
+    for a, i, i_end in _runs(own, CACHE_ROWS):
+        rows = x[i:i_end]
+        for b, j, j_end in columns:
+            d, gap = (m[: len(rows) * (j_end - j)].reshape(len(rows), -1) for m in buffers)
+            for c in range(x.shape[1]):
+                to = gap if c else d
+                np.subtract(rows[:, c : c + 1], y[c, j:j_end], out=to)
+                np.multiply(to, to, out=to)
+                if c:
+                    np.add(d, gap, out=d)
+            np.sqrt(d, out=d)
+            to_left[i:i_end, b] += d @ ones[: j_end - j]
+            if not alone:
+                to_right[a, j:j_end] += ones[: len(rows)] @ d
+    return [to_left] if alone else [to_left, to_right.T]
+
+
 PIVOTS, PIVOT_SAMPLE = 48, 2000
 PACK_TILES = 2048
 # Rounding of distances never rules out a tile.
